@@ -4,19 +4,57 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import contained_items
+from .langid import identify
+from .mixing import mix
 from .nearcopies import near_duplicates
+from .sharding import shard
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(_table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
+    "op3_mixing": op3_mixing,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_sharding": op6_sharding,
+    "op9_language_id": op9_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+_SHINGLES = """
+{p}_w AS (SELECT DISTINCT {id} AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM {table} WHERE text IS NOT NULL AND {id} IS NOT NULL),
+{p} AS (SELECT DISTINCT id, CASE WHEN len(w) >= 5 THEN array_to_string(w[i:i + 4], ' ') ELSE array_to_string(w, ' ') END AS s
+        FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM {p}_w WHERE len(w) > 0))"""
+
+ORACLES: dict[str, str] = {
+    "op2_decontamination": "WITH "
+    + _SHINGLES.format(p="d", id="doc_id", table="documents")
+    + ","
+    + _SHINGLES.format(p="b", id="item_id", table="benchmark")
+    + """,
+q AS (SELECT id, count(*) AS n FROM b GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, any_value(q.n) AS item_shingles, count(*) AS shared, round(count(*) / any_value(q.n), 6) AS containment
+FROM d JOIN b ON d.s = b.s JOIN q ON q.id = b.id GROUP BY d.id, b.id HAVING count(*) * 100 >= any_value(q.n) * 75""",
+}
