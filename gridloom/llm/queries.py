@@ -2,19 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import licenses, urlfilter
 from .decontaminate import contained_items
 from .langid import identify
+from .media import media_digest
 from .mixing import mix
 from .nearcopies import near_duplicates
+from .quality import score
 from .sharding import shard
+from .warc import round_trip
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _captures(pages: DataFrame) -> DataFrame:
+    """page_id, url and a fetch date, spread over 2023 and 2024 by page_id: the tables have no dates of their own."""
+    return pages.select("page_id", "url", F.expr("date_add(date'2023-01-01', cast(pmod(page_id * 37, 700) as int))").alias("fetched"))
+
+
+def _entries(pages: DataFrame) -> DataFrame:
+    """A dated list from the hosts and site sections of the pages: each has up to three entries, chosen by the digits of its MD5."""
+    hosts = pages.select(F.lower(F.regexp_extract("url", urlfilter.HOST, 1)).alias("host"), F.lower(F.regexp_extract("url", urlfilter.PATH, 1)).alias("section")).where("host <> ''").distinct()
+    names = hosts.select(F.lit("domain").alias("kind"), F.col("host").alias("pattern")).union(hosts.select(F.lit("domain"), F.regexp_extract("host", r"([^.]+\.[^.]+\.[^.]+)$", 1)).where("regexp_extract(host, '([^.]+\\.[^.]+\\.[^.]+)$', 1) <> ''"))
+    names = names.union(hosts.where("section <> ''").select(F.lit("section"), F.concat("host", F.lit("/"), "section"))).distinct().withColumn("m", F.md5("pattern"))
+    number = lambda at, n: F.conv(F.substring("m", at, n), 16, 10).cast("int")
+    found = []
+    for k, action in enumerate(("block", "remove", "allow")):
+        day = F.date_add(F.lit("2023-01-01").cast("date"), number(2 + 4 * k, 3) % 300 + 200 * k)
+        found.append(names.where(number(1 + 4 * k, 1) < 6).select("kind", "pattern", F.lit(action).alias("action"), day.alias("since")))
+    return found[0].union(found[1]).union(found[2])
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(_captures(pages), _entries(pages))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -23,6 +50,19 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
+def _files(docs: DataFrame) -> DataFrame:
+    """Documents as files of a source tree: doc_id gives directory and name, every seventh is its directory's LICENSE."""
+    name = F.when(F.expr("pmod(doc_id, 7) = 0"), F.lit("LICENSE")).otherwise(F.concat(F.lit("file"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    number = lambda expr: F.expr(f"cast({expr} as string)")
+    path = F.concat(F.coalesce("source", F.lit("none")), F.lit("/p"), number("pmod(doc_id div 7, 40)"), F.when(F.expr("pmod(doc_id, 3) > 0"), F.concat(F.lit("/d"), number("pmod(doc_id div 21, 6)"))).otherwise(""), F.when(F.expr("pmod(doc_id, 3) = 2"), F.concat(F.lit("/s"), number("pmod(doc_id, 4)"))).otherwise(""), F.lit("/"), name)
+    return docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
+
+
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    templates = spark.createDataFrame(list(licenses.TEMPLATES), "licence string, notice string")
+    return licenses.scan(_files(_table(spark, sf_dir, "documents")), templates).withColumnRenamed("file_id", "doc_id")
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -31,16 +71,33 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"))
 
 
+def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_digest(_table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_url_filters": op1_url_filters,
     "op2_decontamination": op2_decontamination,
     "op3_mixing": op3_mixing,
+    "op4_license_scans": op4_license_scans,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_sharding": op6_sharding,
+    "op7_media_columns": op7_media_columns,
+    "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
+    "op10_quality": op10_quality,
 }
 
 _SHINGLES = """
@@ -57,4 +114,27 @@ ORACLES: dict[str, str] = {
 q AS (SELECT id, count(*) AS n FROM b GROUP BY id)
 SELECT d.id AS doc_id, b.id AS item_id, any_value(q.n) AS item_shingles, count(*) AS shared, round(count(*) / any_value(q.n), 6) AS containment
 FROM d JOIN b ON d.s = b.s JOIN q ON q.id = b.id GROUP BY d.id, b.id HAVING count(*) * 100 >= any_value(q.n) * 75""",
+    "op1_url_filters": r"""
+WITH c AS (SELECT page_id, url, DATE '2023-01-01' + CAST(((page_id * 37) % 700) AS INTEGER) AS fetched, lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)', 1)) AS host,
+                  lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/([^/?#]+)/', 1)) AS section FROM pages),
+h AS (SELECT DISTINCT host, section FROM c WHERE host <> ''),
+p AS (SELECT 'domain' AS kind, host AS pattern FROM h
+      UNION SELECT 'domain', regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) FROM h WHERE regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) <> ''
+      UNION SELECT 'section', host || '/' || section FROM h WHERE section <> ''),
+m AS (SELECT *, md5(pattern) AS m FROM p),
+e AS (SELECT kind, pattern, 'block' AS action, DATE '2023-01-01' + CAST(('0x' || m[2:4])::INTEGER % 300 AS INTEGER) AS since FROM m WHERE ('0x' || m[1])::INTEGER < 6
+      UNION ALL SELECT kind, pattern, 'remove', DATE '2023-01-01' + CAST(('0x' || m[6:8])::INTEGER % 300 + 200 AS INTEGER) FROM m WHERE ('0x' || m[5])::INTEGER < 6
+      UNION ALL SELECT kind, pattern, 'allow', DATE '2023-01-01' + CAST(('0x' || m[10:12])::INTEGER % 300 + 400 AS INTEGER) FROM m WHERE ('0x' || m[9])::INTEGER < 6),
+d AS (SELECT kind, pattern, since, max(action) AS action FROM e GROUP BY kind, pattern, since),
+v AS (SELECT *, lead(since) OVER (PARTITION BY kind, pattern ORDER BY since) AS until FROM d),
+t AS (SELECT page_id, fetched, 1 AS rank, 'section' AS kind, host || '/' || section AS pattern FROM c WHERE host <> '' AND section <> ''
+      UNION ALL SELECT page_id, fetched, 1 + i, 'domain', array_to_string(string_split(host, '.')[i:], '.') FROM (SELECT *, unnest(range(1, greatest(len(string_split(host, '.')), 2))) AS i FROM c WHERE host <> '')),
+a AS (SELECT t.page_id, t.rank, v.kind, v.pattern, v.action, v.since, row_number() OVER (PARTITION BY t.page_id ORDER BY t.rank, v.kind, v.pattern) AS k
+      FROM t JOIN v ON t.kind = v.kind AND t.pattern = v.pattern AND v.since <= t.fetched AND (v.until IS NULL OR t.fetched < v.until) WHERE v.action <> 'remove')
+SELECT c.page_id, c.url, c.fetched, c.host, coalesce(a.action, 'pass') AS verdict, a.kind, a.pattern, a.since AS listed_since FROM c LEFT JOIN a ON a.page_id = c.page_id AND a.k = 1""",
+    "op8_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS o FROM p WHERE n >= 100 GROUP BY d)
+SELECT p.page_id, pages.url, n AS payload_bytes, p.d AS payload_digest, CASE WHEN o IS NULL OR o = p.page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN o <> p.page_id THEN o END AS refers_to
+FROM p JOIN pages ON pages.page_id = p.page_id LEFT JOIN f ON f.d = p.d AND n >= 100""",
 }
