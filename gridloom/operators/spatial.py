@@ -47,12 +47,12 @@ def scanline_join(cells: DataFrame, edges: DataFrame) -> DataFrame:
     return keyed.join(one, ["row", "col"], "left").drop("row", "col")
 
 
-def parity_join(points: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
+def parity_join(points: DataFrame, edges: DataFrame, keys: list[str], height: float = 0.01) -> DataFrame:
     """points (keys, x, y) with the geo_id that holds them (null: none), by the parity of crossings to the right.
 
-    Works for any coordinates; meant for few points, since candidates are the edges of a point's latitude band.
+    Works for any coordinates; meant for few points, since candidates are the edges of a point's band, ``height`` high.
     """
-    band = lambda y: F.floor(F.col(y) * 100).cast("int")
+    band = lambda y: F.floor(F.col(y) / height).cast("long")
     up = _upward(edges)
     lines = up.select("*", F.explode(F.sequence(band("y1"), band("y2"))).alias("band"))
     met = points.withColumn("band", band("y")).join(lines, "band").where((F.col("y1") <= F.col("y")) & (F.col("y2") > F.col("y")) & (F.col("x") < _crossing(F.col("y"))))
@@ -98,7 +98,7 @@ def nearest(points: DataFrame, edges: DataFrame, keys: list[str], start: float,
 
 def adjudicate(points: DataFrame, edges: DataFrame, keys: list[str], radius: float) -> DataFrame:
     """(keys, distance, within): distance 0 inside a unit, else to the nearest; within tells whether snapping would reach it."""
-    held = settle(parity_join(points, edges, keys), "held")
+    held = settle(parity_join(points, edges, keys, radius), "held")
     inside = held.where("geo_id is not null").select(*keys, F.lit(0.0).alias("distance"))
     outside = nearest(held.where("geo_id is null"), edges, keys, radius).select(*keys, "distance")
     return inside.unionByName(outside).withColumn("within", F.col("distance") <= radius)

@@ -331,10 +331,10 @@ def default_year(spark, sf):
     return qy.default_year(_catalog(spark, sf))
 
 
-@register("SELECT n_regionkey AS level_rank, n_nationkey::text AS geo_id, n_name AS name FROM nation WHERE lower(n_name) LIKE '%an%' OR n_nationkey::text LIKE 'an%' ORDER BY 1, 3, 2 LIMIT 8")
+@register("SELECT n_regionkey AS level_rank, n_nationkey::text AS geo_id, n_name AS name FROM nation WHERE contains(lower(n_name), 'n_1') OR starts_with(n_nationkey::text, 'n_1') ORDER BY 1, 3, 2 LIMIT 8")
 def place_search(spark, sf):
     n = fx.table(spark, sf, "nation").select(F.col("n_regionkey").alias("level_rank"), F.col("n_nationkey").cast("string").alias("geo_id"), F.col("n_name").alias("name"))
-    return qy.place_search(n, "an")
+    return qy.place_search(n, "N_1")
 
 
 @register("SELECT geo_id, n_cells, race_ethnicity FROM (SELECT '72001' AS geo_id, 1 AS n_cells, 'x' AS race_ethnicity) WHERE false UNION ALL SELECT geo_id, n_cells, race_ethnicity FROM county")
