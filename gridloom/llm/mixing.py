@@ -83,7 +83,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
         whole, target = int(pdf["source_size"].iloc[0]), float(pdf["target"].iloc[0])
         pdf = pdf.sort_values("size")
         copies = int(target // whole) if whole else 0
-        took = fit(pdf["size"].tolist(), pdf["n"].tolist(), round(target - copies * whole))
+        sizes, counts, rest = pdf["size"].tolist(), pdf["n"].tolist(), round(target - copies * whole)
+        met = lambda took: sum(a * t for a, t in zip(sizes, took))
+        took = fit(sizes, counts, rest)
+        if copies and rest > met(took):  # few documents: give one whole round up, and take each up to twice instead
+            twice = fit(sizes, [2 * n for n in counts], rest + whole)
+            if met(twice) - whole > met(took):
+                copies, took = copies - 1, twice
         return pd.DataFrame({"source": pdf["source"], "size": pdf["size"], "n": pdf["n"], "source_size": whole, "target": target, "copies": copies, "more": took})
 
     def beside(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
@@ -93,17 +99,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
 
     plan = settle(beside(lengths, goal, "source").groupBy("source").applyInPandas(knapsack, "source string, size long, n long, source_size long, target double, copies long, more long"), "plan")
     bucket = F.floor(F.shiftrightunsigned("u", 11) / F.lit(float(1 << 53)) * F.ceil(F.col("n") / GROUP)).cast("long")
-    dealt = beside(rows, plan, "source", "size").withColumn("bucket", bucket).drop("n")
+    dealt = beside(rows, plan, "source", "size").withColumn("bucket", bucket)
     held = dealt.groupBy("source", "size", "bucket").agg(F.count("*").alias("c"))
     held = held.withColumn("before", F.sum("c").over(W.partitionBy("source", "size").orderBy("bucket")) - F.col("c")).drop("c")
     ranked = beside(dealt, held, "source", "size", "bucket")
     rank = F.row_number().over(W.partitionBy("source", "size", "bucket").orderBy("u", "doc_id")) + F.col("before")
-    copies = F.when(F.col("size") > 0, F.col("copies") + (rank <= F.col("more")).cast("long")).otherwise(F.lit(0)).cast("long")
+    copies = F.when(F.col("size") > 0, F.col("copies") + (rank <= F.col("more")).cast("long") + (rank + F.col("n") <= F.col("more")).cast("long")).otherwise(F.lit(0)).cast("long")
     out = ranked.select("doc_id", "size", "source_size", "target", copies.alias("copies"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as the mix takes them, each as often as it is taken; all columns stay.  Rows need a doc_id of their own; rows without one are left out."""
-    times = mix(docs, **options).where("copies > 0").select("doc_id", "copies").dropDuplicates(["doc_id"])
-    return docs.join(times, "doc_id").withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*docs.columns)
+    times = mix(docs, **options).where("copies > 0").select("doc_id", F.col("copies").alias("__copies")).dropDuplicates(["doc_id"])
+    each = F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))
+    return docs.join(times, "doc_id").withColumn("__copies", each).select(*docs.columns)

@@ -25,15 +25,15 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def patterns(captures: DataFrame) -> DataFrame:
-    """captures with a column tests: structs (rank, kind, pattern) of what can be listed, the narrowest first: site section, host, parent domains."""
+    """captures with a column __tests: structs (rank, kind, pattern) of what can be listed, the narrowest first: site section, host, parent domains."""
     host = F.lower(F.regexp_extract("url", HOST, 1))
-    labels = F.split("host", r"\.")
+    labels = F.split("__host", r"\.")
     parents = F.transform(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size(labels) - 1)), lambda i: F.struct((i + 1).cast("int").alias("rank"), F.lit("domain").alias("kind"), F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("pattern")))
-    section = F.struct(F.lit(1).alias("rank"), F.lit("section").alias("kind"), F.concat("host", F.lit("/"), "section").alias("pattern"))
-    own = F.struct(F.lit(2).alias("rank"), F.lit("domain").alias("kind"), F.col("host").alias("pattern"))
-    tests = F.concat(F.when(F.col("section") != "", F.array(section)).otherwise(F.array().cast("array<struct<rank:int,kind:string,pattern:string>>")), F.array(own), F.when(F.size(labels) > 2, parents).otherwise(F.array().cast("array<struct<rank:int,kind:string,pattern:string>>")))
-    named = captures.withColumns({"host": F.coalesce(host, F.lit("")), "section": F.coalesce(F.lower(F.regexp_extract("url", PATH, 1)), F.lit(""))})
-    return named.withColumn("tests", F.when(F.col("host") != "", tests))
+    section = F.struct(F.lit(1).alias("rank"), F.lit("section").alias("kind"), F.concat("__host", F.lit("/"), "__section").alias("pattern"))
+    own = F.struct(F.lit(2).alias("rank"), F.lit("domain").alias("kind"), F.col("__host").alias("pattern"))
+    tests = F.concat(F.when(F.col("__section") != "", F.array(section)).otherwise(F.array().cast("array<struct<rank:int,kind:string,pattern:string>>")), F.array(own), F.when(F.size(labels) > 2, parents).otherwise(F.array().cast("array<struct<rank:int,kind:string,pattern:string>>")))
+    named = captures.withColumns({"__host": F.coalesce(host, F.lit("")), "__section": F.coalesce(F.lower(F.regexp_extract("url", PATH, 1)), F.lit(""))})
+    return named.withColumn("__tests", F.when(F.col("__host") != "", tests))
 
 
 def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
@@ -43,18 +43,19 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     one the verdict is ``pass``.  A url that is null, empty or has no host, or a capture without a date, is ``pass``.
     Repeated captures are judged alike, each in a row of its own; repeated entries count once.  Entries may be empty.
     """
-    named = patterns(captures).withColumn("day", F.col("fetched").cast("date"))
+    named = patterns(captures).withColumn("__day", F.col("fetched").cast("date"))
     # what is judged is (section or host, day), not the capture
-    keys = ["host", "section", "day"]
-    probes = named.where("tests is not null and day is not null").select(*keys, "tests").dropDuplicates(keys)
-    asked = probes.select(*keys, F.inline("tests")).withColumn("month", F.trunc("day", "month"))
-    unique = asked.select("kind", "pattern", "day", "month").distinct()
+    keys = ["__host", "__section", "__day"]
+    probes = named.where("__tests is not null and __day is not null").select(*keys, "__tests").dropDuplicates(keys)
+    asked = probes.select(*keys, F.inline("__tests")).withColumn("month", F.trunc("__day", "month"))
+    unique = asked.select("kind", "pattern", "__day", "month").distinct()
     last = captures.agg(F.max(F.col("fetched").cast("date"))).first()[0]  # one date: no interval need be posted beyond it
     spans = intervals(entries).withColumn("last", F.lit(last).cast("date")).where("since <= last")
     months = F.sequence(F.trunc("since", "month"), F.trunc(F.coalesce(F.date_sub("until", 1), F.greatest("last", "since")), "month"), F.expr("interval 1 month"))
     posted = spans.select("kind", "pattern", "action", "since", "until", F.explode(months).alias("month"))
-    active = unique.join(posted, ["kind", "pattern", "month"]).where("since <= day and (until is null or day < until) and action <> 'remove'")
-    ruled = asked.join(active.select("kind", "pattern", "day", "action", "since"), ["kind", "pattern", "day"])
-    verdicts = ruled.groupBy(*keys).agg(F.min(F.struct("rank", "kind", "pattern", "action", "since")).alias("r"))
+    active = unique.join(posted, ["kind", "pattern", "month"]).where("since <= __day and (until is null or __day < until) and action <> 'remove'")
+    ruled = asked.join(active.select("kind", "pattern", "__day", "action", "since"), ["kind", "pattern", "__day"])
+    verdicts = ruled.groupBy(*keys).agg(F.min(F.struct("rank", "kind", "pattern", "action", "since")).alias("__r"))
     out = named.join(verdicts, keys, "left")
-    return out.select(*captures.columns, "host", F.coalesce("r.action", F.lit("pass")).alias("verdict"), F.col("r.kind").alias("kind"), F.col("r.pattern").alias("pattern"), F.col("r.since").alias("listed_since"))
+    own = [c for c in captures.columns if c not in ("host", "verdict", "kind", "pattern", "listed_since")]  # the result's columns take the place of others of that name
+    return out.select(*own, F.col("__host").alias("host"), F.coalesce("__r.action", F.lit("pass")).alias("verdict"), F.col("__r.kind").alias("kind"), F.col("__r.pattern").alias("pattern"), F.col("__r.since").alias("listed_since"))
