@@ -16,13 +16,13 @@ GROUP = 256
 def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     """How many documents of each length to take so that their words come to ``budget``, or as near below it as found.
 
-    A share of every length equal to the budget's share of all words comes first, then long lengths until at most
-    DP_WORDS words are open; these are met by a bounded knapsack: a bit for each reachable sum, lengths split into
+    The same share of every length comes first, as far as it leaves DP_WORDS words open, then long lengths until no more
+    than these are open; these are met by a bounded knapsack: a bit for each reachable sum, lengths split into
     power-of-two lots, with the bitmaps kept to trace the lots that make up the best sum.
     """
     total = sum(a * n for a, n in zip(lengths, counts))
     budget = max(0, min(budget, total))
-    took = [n * budget // total if a and total else 0 for a, n in zip(lengths, counts)]
+    took = [n * max(0, budget - DP_WORDS) // total if a and total else 0 for a, n in zip(lengths, counts)]
     rest = budget - sum(a * n for a, n in zip(lengths, took))
     order = sorted((i for i, a in enumerate(lengths) if a), key=lambda i: -lengths[i])
     for i in order:
