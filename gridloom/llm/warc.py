@@ -86,14 +86,16 @@ def reachable(found: DataFrame) -> DataFrame:
     Pointer jumping: in each round every candidate's pointer skips twice as far, and what a reached candidate points at
     is reached; the rounds are the logarithm of the records in a file.
     """
-    now = settle(found.select("file", "at", F.col("next").alias("to"), (F.col("at") == 0).alias("live"), F.lit(True).alias("open")).dropDuplicates(["file", "at"]), "chain")
+    found = found.select("file", "at", F.col("next").alias("to"), (F.col("at") == 0).alias("live")).dropDuplicates(["file", "at"])
+    starts = found.select("file", F.col("at").alias("to"), F.lit(True).alias("known"))
+    now = settle(found.join(starts, ["file", "to"], "left").select("file", "at", "to", "live", F.coalesce("known", F.lit(False)).alias("open")), "chain")
     before = -1
     while (n := now.where("live").count()) != before:
         before = n
-        jump = now.select("file", F.col("at").alias("to"), F.col("to").alias("further"))
-        hit = now.where("live").select("file", F.col("to").alias("at")).distinct().withColumn("hit", F.lit(True))
-        # pointers that have left the chain stay out of the join: those of a whole file end at one offset
-        moved = now.where("open").join(jump, ["file", "to"], "left").select("file", "at", F.coalesce("further", "to").alias("to"), "live", F.col("further").isNotNull().alias("open"))
+        # open pointers lead to a candidate; those that have left the chain, all to their file's end, join nothing
+        jump = now.select("file", F.col("at").alias("to"), F.col("to").alias("further"), F.col("open").alias("on"))
+        hit = now.where("live and open").select("file", F.col("to").alias("at")).distinct().withColumn("hit", F.lit(True))
+        moved = now.where("open").join(jump, ["file", "to"]).select("file", "at", F.col("further").alias("to"), "live", F.col("on").alias("open"))
         moved = moved.unionByName(now.where("not open"))
         now = settle(moved.join(hit, ["file", "at"], "left").select("file", "at", "to", (F.col("live") | F.coalesce("hit", F.lit(False))).alias("live"), "open"), "chain")
     return now.where("live").select("file", "at")
