@@ -19,11 +19,26 @@ from .store import new_path, settle
 
 MAGIC, BREAK = b"WARC/1.1\r\n", "\r\n\r\n"
 LEAST_BYTES = 100
-#: Most records in a file, which bounds the bytes that a reader task holds.
-FILE_RECORDS = 4000
+#: A file has at most so many records, and so few that records of mean size make up the bytes: what a reader task holds.
+FILE_RECORDS, FILE_BYTES = 4000, 64 << 20
+#: A payload's pages are dealt over so many groups, so that the pages of a very common payload don't meet in one task.
+GROUPS = 1024
 URN = "urn:page:"
 
 
+def _revisits(sizes: DataFrame) -> DataFrame:
+    """(page_id_, digest_, original) of the pages (page_id, digest) whose payload a page of a lower page_id has, that is the original.
+
+    Pages meet by digest and group, groups by digest, so that neither is unbounded; payloads are not shuffled for it.
+    """
+    sizes = sizes.select("page_id", "digest", F.pmod(F.xxhash64("page_id"), F.lit(GROUPS)).alias("group"))
+    groups = sizes.groupBy("digest", "group").agg(F.min("page_id").alias("least"), F.count("*").alias("n"))
+    first = groups.groupBy("digest").agg(F.min("least").alias("original"), F.sum("n").alias("n")).where("n > 1 and original is not null").drop("n")
+    known = groups.select("digest", "group").join(first, "digest")
+    found = sizes.join(known, ["digest", "group"]).where(~F.col("page_id").eqNullSafe(F.col("original")))
+    return settle(found.select(F.col("page_id").alias("page_id_"), F.col("digest").alias("digest_"), "original").distinct(), "revisits")
+
+
 def write_archive(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None:
     """Write pages (page_id, url, html) as WARC records under ``path``.
 
@@ -32,16 +47,17 @@ def write_archive(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None
     """
     body = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long"), F.coalesce("url", F.lit("")).alias("url"), body.alias("body"), F.octet_length(body).cast("long").alias("bytes"), F.sha2(body, 256).alias("digest"))
-    first = settle(rows.where(F.col("bytes") >= least).groupBy("digest").agg(F.min("page_id").alias("original"), F.count("*").alias("n")).where("n > 1").drop("n"), "originals")
-    typed = rows.join(first, "digest", "left")
-    again = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original")) & (F.col("bytes") >= least)
+    sizes = settle(rows.select("page_id", "bytes", "digest"), "digests")
+    typed = rows.join(_revisits(sizes.where(F.col("bytes") >= least)), [rows["page_id"].eqNullSafe(F.col("page_id_")), rows["digest"] == F.col("digest_")], "left").drop("page_id_", "digest_")
+    again = F.col("original").isNotNull()
+    records = min(FILE_RECORDS, max(1, int(FILE_BYTES // ((sizes.agg(F.avg("bytes")).first()[0] or 0) + 512))))
     line = lambda name, value: F.concat(F.lit(f"\r\n{name}: "), value)
     urn = lambda key: F.concat(F.lit(f"<{URN}"), key.cast("string"), F.lit(">"))
     head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.when(again, "revisit").otherwise("response"), line("WARC-Record-ID", F.coalesce(urn(F.col("page_id")), F.lit("<urn:page:>"))), line("WARC-Target-URI", F.regexp_replace("url", r"[\x00-\x20\x7f]", "")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "digest")), F.when(again, line("WARC-Refers-To", urn(F.col("original")))).otherwise(""), line("Content-Length", F.when(again, F.lit(0)).otherwise(F.col("bytes")).cast("string")), F.lit(BREAK),
     )
-    typed.select(F.concat(head, F.when(again, "").otherwise(F.col("body"))).alias("value")).write.option("lineSep", BREAK).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    typed.select(F.concat(head, F.when(again, "").otherwise(F.col("body"))).alias("value")).write.option("lineSep", BREAK).option("maxRecordsPerFile", records).text(path)
 
 
 _FIELDS = pa.schema([("file", pa.int64()), ("at", pa.int64()), ("next", pa.int64()), ("type", pa.string()), ("page_id", pa.int64()), ("refers_to", pa.int64()), ("url", pa.string()), ("said", pa.string()), ("bytes", pa.int64()), ("digest", pa.string())])
