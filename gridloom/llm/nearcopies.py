@@ -11,6 +11,9 @@
    visitors into slices, so a group of any size is dealt over many tasks, and no pair is ever
    a row: a task counts coordinate collisions of its block in numpy, keeps pairs of T matches
    or more, confirms them on the full sets, and emits a spanning forest of confirmed links.
+   In a home of more than a block, some pivots are held against all first; what they join to one
+   component is not compared within itself, so a large group of near copies costs about one row
+   for each member instead of a number that grows with the group.
 4. Star steps over these links give the components.
 
 With K = 64 and T = 30 a pair of similarity 0.75 is missed with a chance below one in a million
@@ -31,6 +34,8 @@ from .store import settle
 
 WORDS, COORDINATES, MATCHES = 5, 64, 30
 BLOCK_ROWS, BLOCK_SHINGLES, SLICE_ROWS = 512, 1 << 18, 2048
+#: About so many classes of a large home are held against all others first.
+PIVOTS = 32
 
 
 def sketches(docs: DataFrame, size: int = COORDINATES) -> DataFrame:
@@ -65,22 +70,43 @@ def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
     return short.join(classes.select("rep", "n_shingles"), "rep").select("rep", "n_shingles", F.element_at("keys", -1).alias("home"), "keys")
 
 
-def _dealt(prefix: DataFrame) -> DataFrame:
-    """(rep, home, block, slice, role): where each class is compared; role bit 1: belongs to the block, bit 2: is held against it."""
-    at = prefix.select("rep", "home", F.explode("keys").alias("key"))
+def _visits(prefix: DataFrame) -> DataFrame:
+    """(rep, home, n_shingles, dwells): the homes where each class is compared, and whether it is its own."""
+    at = prefix.select("rep", "home", "n_shingles", F.explode("keys").alias("key"))
     homes = at.groupBy("key").agg(F.collect_set("home").alias("homes"))
-    visits = at.join(homes, "key").groupBy("rep", "home").agg(F.array_distinct(F.flatten(F.collect_list("homes"))).alias("homes"))
-    visits = visits.select("rep", F.explode(F.expr("filter(homes, h -> h <= home)")).alias("home"))
-    dwell = prefix.groupBy("home").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
-    sizes = visits.groupBy("home").agg(F.count("*").alias("v")).where("v > 1").join(dwell, "home")
+    visits = at.join(homes, "key").groupBy("rep", "home", "n_shingles").agg(F.array_distinct(F.flatten(F.collect_list("homes"))).alias("homes"))
+    return visits.select("rep", F.col("home").alias("own"), "n_shingles", F.explode(F.expr("filter(homes, h -> h <= home)")).alias("home")).select("rep", "home", "n_shingles", (F.col("own") == F.col("home")).alias("dwells"))
+
+
+def _dealt(inner: DataFrame, visits: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(rep, home, block, slice, role): all of ``visits`` held against all of ``inner`` (both rep, home); role bit 1: belongs to the block, bit 2: is held against it.
+
+    sizes: home, n and s (classes of inner and their shingles), v (visits).
+    """
     sizes = sizes.select("home", F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"), F.ceil(F.col("v") / SLICE_ROWS).cast("int").alias("slices"))
     spot = lambda n, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = prefix.select("rep", "home").join(sizes, "home").select("rep", "home", spot("blocks", 1).alias("block"), every("slices").alias("slice"), F.lit(1).alias("role"))
-    held = visits.join(sizes, "home").select("rep", "home", every("blocks").alias("block"), spot("slices", 2).alias("slice"), F.lit(2).alias("role"))
+    own = inner.select("rep", "home").join(sizes, "home").select("rep", "home", spot("blocks", 1).alias("block"), every("slices").alias("slice"), F.lit(1).alias("role"))
+    held = visits.select("rep", "home").join(sizes, "home").select("rep", "home", every("blocks").alias("block"), spot("slices", 2).alias("slice"), F.lit(2).alias("role"))
     return own.union(held).groupBy("rep", "home", "block", "slice").agg(F.bit_or("role").alias("role"))
 
 
+def _unsettled(visits: DataFrame, sizes: DataFrame, reached: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The (inner, sizes) that are still to be compared in large homes, where ``reached`` (rep, component) are the links that pivots gave.
+
+    Classes of a home's largest component need no comparison with each other, so only those outside it make up the blocks;
+    where these are more than the home's own classes, the latter do, as in small homes.
+    """
+    found = visits.join(sizes.select("home"), "home").join(reached, "rep", "left").select("rep", "home", "n_shingles", "dwells", F.coalesce("component", "rep").alias("component"))
+    parts = found.groupBy("home", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    most = parts.groupBy("home").agg(F.max_by("component", F.struct("n", "component")).alias("most"), F.sum("n").alias("all"), F.max("n").alias("in_most"), F.sum("s").alias("s_all"), F.max_by("s", F.struct("n", "component")).alias("s_most"))
+    rest = F.col("all") - F.col("in_most")
+    plan = sizes.join(most, "home").where(rest > 0).withColumn("outside", rest <= F.col("n"))
+    inner = found.join(plan.select("home", "most", "outside"), "home").where(F.when(F.col("outside"), F.col("component") != F.col("most")).otherwise(F.col("dwells")))
+    left = plan.select("home", F.when(F.col("outside"), rest).otherwise(F.col("n")).alias("n"), F.when(F.col("outside"), F.col("s_all") - F.col("s_most")).otherwise(F.col("s")).alias("s"), "v")
+    return inner.select("rep", "home"), left
+
+
 def _links_of_block(ids: np.ndarray, role: np.ndarray, sig: np.ndarray, offs: np.ndarray, sets: np.ndarray, matches: int, percent: int) -> list[tuple[int, int]]:
     inside = np.flatnonzero(role & 1)
     held = np.flatnonzero(role & 2)
@@ -172,9 +198,26 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = COORDINATES,
     classes = sk.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
     classes = settle(classes, "classes")
     prefix = settle(_prefixes(classes, matches), "prefixes")
-    dealt = _dealt(prefix).join(classes.select("rep", "sig"), "rep")
-    rows = dealt.join(docs.where("doc_id is not null").withColumnRenamed("doc_id", "rep"), "rep")
-    reached = components(_links(rows, matches, percent)).withColumnRenamed("node", "rep")
+    visits = settle(_visits(prefix), "visits")
+    sizes = visits.groupBy("home").agg(F.count_if("dwells").alias("n"), F.sum(F.when(F.col("dwells"), F.col("n_shingles")).otherwise(0)).alias("s"), F.count("*").alias("v"))
+    sizes = settle(sizes.where("v > 1"), "homes")
+    texts = docs.where("doc_id is not null").withColumnRenamed("doc_id", "rep")
+
+    def linked(dealt: DataFrame) -> DataFrame:
+        return _links(dealt.join(classes.select("rep", "sig"), "rep").join(texts, "rep"), matches, percent)
+
+    many = (F.col("n") > BLOCK_ROWS) | (F.col("s") > BLOCK_SHINGLES)  # in one block each visit is one row, with or without pivots
+    small, large = sizes.where(~many), sizes.where(many)
+    inner, left, links = visits.where("dwells"), small, None
+    if not large.isEmpty():
+        chosen = F.pmod(F.xxhash64("rep", F.lit(3)), F.ceil(F.col("v") / PIVOTS)) == 0
+        pivots = settle(visits.join(large.select("home", "v"), "home").where(chosen).select("rep", "home", "n_shingles"), "pivots")
+        about = pivots.groupBy("home").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s")).join(large.select("home", "v"), "home")
+        links = settle(linked(_dealt(pivots, visits, about)), "pivot-links")
+        more, of_large = _unsettled(visits, large, components(links).withColumnRenamed("node", "rep"))
+        inner, left = inner.join(small.select("home"), "home", "left_semi").select("rep", "home").union(more), small.union(of_large.select(*small.columns))
+    found = linked(_dealt(inner, visits, left))
+    reached = components(found if links is None else found.union(links)).withColumnRenamed("node", "rep")
     of_class = classes.select(*key, "rep").join(reached, "rep", "left").select(*key, F.coalesce("component", "rep").alias("component_id"))
     out = sk.select("doc_id", *key).join(of_class, key, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))

@@ -87,6 +87,26 @@ def test_blocks_and_slices(spark, monkeypatch):
     assert {r.component_id for r in got.collect()} == {0}
 
 
+def test_pivots(spark, monkeypatch):
+    """Large homes in which pivots settle all, some or hardly any of the links."""
+    for name, value in (("BLOCK_ROWS", 16), ("SLICE_ROWS", 40), ("PIVOTS", 2)):
+        monkeypatch.setattr(nearcopies, name, value)
+    used, unsettled = [], nearcopies._unsettled
+    monkeypatch.setattr(nearcopies, "_unsettled", lambda *x: used.append(1) or unsettled(*x))
+    rng = np.random.default_rng(4)
+    rows = []
+    for group, edits in enumerate((1, 9, 14)):  # of the last, most pairs lie below the bound
+        base = [f"g{group}w{k}" for k in range(300)]
+        for k in range(60):
+            w = list(base)
+            for i in rng.integers(0, 300, rng.integers(0, edits + 1)):
+                w[i] = f"v{rng.integers(10000)}"
+            rows.append((1000 * group + k, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held_against_brute_force(nearcopies.near_duplicates(docs), dict(rows))
+    assert used
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (250, 2))] + [(400 + k, 401 + k) for k in range(60)]
