@@ -2,50 +2,72 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from itertools import accumulate
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .store import settle
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Greatest budget of the dynamic programme in words, and its greatest number of steps; what is above goes to long documents first.
-DP_WORDS, DP_STEPS = 1 << 16, 4096
+#: The dynamic programme has so many steps at most, of so many bits together; it starts so many documents before the budget is full.
+DP_STEPS, DP_BITS, OPEN = 4096, 1 << 28, 64
 GROUP = 256
 
 
-def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
+def spread(counts: list[int], part: int, whole: int, start: float) -> list[int]:
+    """part / whole of each count, rounded so that any run of counts is less than one off its share; ``start`` in [0, 1) shifts what is rounded up."""
+    first, out, before, upto = int(start * whole), [], 0, 0
+    for n in counts:
+        upto += n
+        now = (part * upto + first) // whole
+        out.append(now - before)
+        before = now
+    return out
+
+
+def fit(lengths: list[int], counts: list[int], budget: int, seed: int = 7) -> list[int]:
     """How many documents of each length to take so that their words come to ``budget``, or as near below it as found.
 
-    The same share of every length comes first, as far as it leaves DP_WORDS words open, then long lengths until no more
-    than these are open; these are met by a bounded knapsack: a bit for each reachable sum, lengths split into
-    power-of-two lots, with the bitmaps kept to trace the lots that make up the best sum.
+    The same share of every length comes first, of the whole budget but the greatest length, which is what rounding may
+    exceed it by.  What is left, twice the greatest length at most, is filled with the other documents in seeded order,
+    the last of them by a knapsack: a bit for each reachable sum, with the bitmaps kept to trace the documents that make
+    up the best sum.  Short and long documents are thus taken alike whatever the budget.
     """
     total = sum(a * n for a, n in zip(lengths, counts))
     budget = max(0, min(budget, total))
-    took = [n * max(0, budget - DP_WORDS) // total if a and total else 0 for a, n in zip(lengths, counts)]
-    rest = budget - sum(a * n for a, n in zip(lengths, took))
-    order = sorted((i for i, a in enumerate(lengths) if a), key=lambda i: -lengths[i])
-    for i in order:
-        if rest <= DP_WORDS:
-            break
-        more = min(counts[i] - took[i], (rest - DP_WORDS) // lengths[i])
-        if more > 0:
-            took[i] += more
-            rest -= more * lengths[i]
+    took = [0] * len(lengths)
+    order = sorted((i for i, a in enumerate(lengths) if a and counts[i]), key=lambda i: lengths[i])
+    if not order or not budget:
+        return took
+    if budget == total:
+        return [n if a else 0 for a, n in zip(lengths, counts)]
+    rng = np.random.default_rng(seed)
+    for i, n in zip(order, spread([counts[i] for i in order], max(0, budget - lengths[order[-1]]), total, rng.random())):
+        took[i] = n
+    rest = budget - sum(lengths[i] * took[i] for i in order)
+    left = [counts[i] - took[i] for i in order]
+    drawn = min(sum(left), rest + DP_STEPS)  # no more than these can be taken or tried
+    drawn = rng.permutation(np.repeat(order, spread(left, drawn, sum(left), rng.random()))).tolist()
+    upto = list(accumulate(lengths[i] for i in drawn))
+    first = max(0, bisect_right(upto, rest) - OPEN)
+    for i in drawn[:first]:
+        took[i] += 1
+        rest -= lengths[i]
     reach, steps, mask = 1, [], (1 << (rest + 1)) - 1
-    for i in order:
-        left, lot = min(counts[i] - took[i], rest // lengths[i]), 1
-        while left > 0 and len(steps) < DP_STEPS and not reach >> rest & 1:
-            n = min(lot, left)
-            steps.append((i, n, reach))
-            reach = (reach | reach << (n * lengths[i])) & mask
-            left -= n
-            lot *= 2
+    for i in drawn[first:]:
+        if reach >> rest & 1 or len(steps) >= min(DP_STEPS, max(2 * OPEN, DP_BITS // (rest + 1))):
+            break
+        if lengths[i] <= rest:
+            steps.append((i, reach))
+            reach = (reach | reach << lengths[i]) & mask
     at = reach.bit_length() - 1
-    for i, n, before in reversed(steps):
+    for i, before in reversed(steps):
         if not before >> at & 1:
-            took[i] += n
-            at -= n * lengths[i]
+            took[i] += 1
+            at -= lengths[i]
     return took
 
 
@@ -85,9 +107,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
         copies = int(target // whole) if whole else 0
         sizes, counts, rest = pdf["size"].tolist(), pdf["n"].tolist(), round(target - copies * whole)
         met = lambda took: sum(a * t for a, t in zip(sizes, took))
-        took = fit(sizes, counts, rest)
+        took = fit(sizes, counts, rest, seed)
         if copies and rest > met(took):  # few documents: give one whole round up, and take each up to twice instead
-            twice = fit(sizes, [2 * n for n in counts], rest + whole)
+            twice = fit(sizes, [2 * n for n in counts], rest + whole, seed)
             if met(twice) - whole > met(took):
                 copies, took = copies - 1, twice
         return pd.DataFrame({"source": pdf["source"], "size": pdf["size"], "n": pdf["n"], "source_size": whole, "target": target, "copies": copies, "more": took})

@@ -143,6 +143,24 @@ def test_fit_reaches_the_budget():
     assert mixing.fit([4], [3], 7) == [1] and mixing.fit([], [], 5) == [] and mixing.fit([0, 5], [9, 1], 5) == [0, 1]
 
 
+@pytest.mark.parametrize("copies", [1, 40])
+@pytest.mark.parametrize("part", [0.35, 0.75])
+def test_fit_takes_short_and_long_alike(copies, part):
+    """A budget below 65,536 words and one far above it; lengths that few documents have, and one that many have."""
+    rng = np.random.default_rng(6)
+    held = collections.Counter(int(x) for x in np.concatenate([np.exp(rng.normal(4.5, 1, 500 * copies)) + 1, np.full(60 * copies, 7)]))
+    lengths = sorted(held)
+    counts = [held[a] for a in lengths]
+    total = sum(a * n for a, n in held.items())
+    assert (total < 65536 * 2) == (copies == 1)
+    for seed in range(5):
+        took = dict(zip(lengths, mixing.fit(lengths, counts, int(part * total), seed)))
+        assert int(part * total) - 1 <= sum(a * t for a, t in took.items()) <= part * total and all(took[a] <= held[a] for a in held)
+        for low, high in ((1, 8), (8, 60), (60, 150), (150, max(lengths) + 1)):
+            n = sum(held[a] for a in lengths if low <= a < high)
+            assert abs(sum(took[a] for a in lengths if low <= a < high) / n - part) < 0.12, (low, high)
+
+
 def test_mix(spark):
     docs = odd_documents(spark)
     got = mixing.mix(docs)
