@@ -63,21 +63,26 @@ def write_archive(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None
 _FIELDS = pa.schema([("file", pa.int64()), ("at", pa.int64()), ("next", pa.int64()), ("type", pa.string()), ("page_id", pa.int64()), ("refers_to", pa.int64()), ("url", pa.string()), ("said", pa.string()), ("bytes", pa.int64()), ("digest", pa.string())])
 
 
+def _files(path: str, spark) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0")
+
+
 def candidates(path: str, spark) -> DataFrame:
     """(file, at, next, type, page_id, refers_to, url, said, bytes, digest): each place in each file that parses as a record; said is the digest by the header, digest that of the bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blank = re.compile(re.escape(BREAK.encode()))
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = content.as_buffer()
                 view, rows = memoryview(data), []
                 for m in re.finditer(re.escape(MAGIC), view):
-                    end = -1
-                    for close in re.finditer(re.escape(BREAK.encode()), view[m.start() : m.start() + 65536]):
-                        end = m.start() + close.start()
-                        break
-                    if end < 0:
+                    if m.start() and bytes(view[max(0, m.start() - 4) : m.start()]) != BREAK.encode():
+                        continue  # a record starts the file or follows another's end; so headers of candidates don't overlap
+                    close = blank.search(view, m.start())
+                    if not close:
                         continue
+                    end = close.start()
                     head = dict(x.split(": ", 1) for x in bytes(view[m.end() : end]).decode("utf-8", "replace").split("\r\n") if ": " in x)
                     if not head.get("Content-Length", "").isdecimal():
                         continue
@@ -92,8 +97,7 @@ def candidates(path: str, spark) -> DataFrame:
                     })
                 yield pa.RecordBatch.from_pylist(rows, _FIELDS)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0")
-    return files.select(F.xxhash64("path").alias("file"), "content").mapInArrow(run, "file long, at long, next long, type string, page_id long, refers_to long, url string, said string, bytes long, digest string")
+    return _files(path, spark).select(F.xxhash64("path").alias("file"), "content").mapInArrow(run, "file long, at long, next long, type string, page_id long, refers_to long, url string, said string, bytes long, digest string")
 
 
 def reachable(found: DataFrame) -> DataFrame:
@@ -121,9 +125,14 @@ def read_archive(path: str, spark) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of the verified records under ``path``.
 
     A response's length and digest are those of the bytes read; a revisit's are its response's, found by page and digest.
+    A file whose chain of records does not end at the file's end is an error.
     """
     found = settle(candidates(path, spark), "candidates")
-    records = settle(found.join(reachable(found), ["file", "at"]).drop("file", "at", "next"), "records")
+    records = settle(found.join(reachable(found), ["file", "at"]).drop("at"), "records")
+    ends = records.groupBy("file").agg(F.max("next").alias("end"))
+    cut = _files(path, spark).select("path", "length", F.xxhash64("path").alias("file")).join(ends, "file", "left").where("end is null or end <> length").first()
+    if cut:
+        raise ValueError(f"{cut.path}: the chain of records ends at {cut.end or 0} of {cut.length} bytes")
     responses = records.where("type = 'response'")
     full = responses.where("page_id is not null").groupBy(F.col("page_id").alias("refers_to"), F.col("digest").alias("said")).agg(F.max("bytes").alias("full"))
     revisits = records.where("type = 'revisit'").join(full, ["refers_to", "said"])

@@ -254,6 +254,24 @@ def test_warc(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_long_url(spark):
+    """A header above 65,536 bytes in the middle of a file, with a revisit in it and one after it."""
+    long = "http://a/" + "u" * 200_000
+    pages = [(k, long if k in (2, 5) else f"http://a/{k}", ("z" * 200 if k in (2, 5, 7) else f"page {k}")) for k in range(9)]
+    got = sorted((r.page_id, r.url, r.payload_bytes, r.record_type, r.refers_to) for r in warc.round_trip(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)).collect())
+    assert got == [(k, u, len(h), "revisit" if k in (5, 7) else "response", 2 if k in (5, 7) else None) for k, u, h in pages]
+
+
+def test_warc_broken_chain(spark, tmp_path):
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    (tmp_path / "part-0").write_bytes(record % 1 + record % 2)
+    assert warc.read_archive(str(tmp_path), spark).count() == 2
+    for bad in (record % 1 + b"junk\r\n\r\n" + record % 2, (record % 1 + record % 2)[:-1], b"junk"):
+        (tmp_path / "part-1").write_bytes(bad)
+        with pytest.raises(ValueError, match="part-1"):
+            warc.read_archive(str(tmp_path), spark)
+
+
 def test_language_id(spark):
     docs = odd_documents(spark)
     rows = langid.identify(docs).collect()
