@@ -4,24 +4,29 @@ Counts of character 4-grams of all training texts are summed on Spark.  Lower or
 (how many different characters stand before a gram), so the 4-gram table is all that a model needs.  For
 prediction the models are sorted arrays of 64-bit gram hashes beside a column of log probabilities for each
 language, with a radix index in front of the binary search; grams that no language has seen fall back to the
-context's left-over weight times the next lower order.
+context's left-over weight times the next lower order.  A table of more grams than one task should hold is dealt into
+parts by the symbol before the last, which a gram, its context and all their lower orders but the first share: each part
+is fitted by itself with the discounts and symbol counts of the whole, and a text's score is the sum over the parts.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from .hashing import groups_of_rows, mix, text_buffers
 from .store import settle
 
 ORDER = 4
-#: Bound of the model: the most 4-grams kept for a language, the commonest first.
-MOST_GRAMS = 500_000
+#: A part of the table has about so many 4-grams of all languages together; a symbol is not divided.
+PART_GRAMS = 2_000_000
 #: Share of calibration documents of a language that may score worse than its rejection threshold before the margin is added.
 REJECTED_SHARE, REJECTION_MARGIN = 0.001, 1.5
 TEMPERATURES = (0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
@@ -142,19 +147,62 @@ class Models:
         return out
 
 
-def fit(counts: pa.Table) -> Models:
-    """Interpolated Kneser-Ney models of each language from its 4-gram counts."""
+@dataclass
+class Laws:
+    """What the models of a part take from the whole table."""
+
+    langs: list[str]
+    discounts: dict[tuple[str, int], float]
+    #: By language: its symbols, and how many different symbols stand before each.
+    symbols: dict[str, tuple[np.ndarray, np.ndarray]]
+
+
+def _discount(ones: int, twos: int) -> float:
+    return ones / (ones + 2 * twos) if ones and twos else 0.5
+
+
+def laws(counts: DataFrame) -> Laws:
+    """Discounts of each order and counts of single symbols, from all counts (lang, gram, n)."""
+    found, now = {}, counts
+    for order in range(ORDER, 0, -1):
+        if order < ORDER:
+            now = now.groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << (16 * order)) - 1)).alias("gram")).agg(F.count("*").alias("n"))
+            now = settle(now, "grams")
+        for r in now.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")).collect():
+            found[r.lang, order] = _discount(r.ones, r.twos)
+    langs = sorted({lang for lang, _ in found})
+    table = now.orderBy("lang", "gram").toArrow()
+    names = np.asarray(table.column("lang").to_pylist(), object)
+    grams, n = table.column("gram").to_numpy().view(_U), table.column("n").to_numpy()
+    return Laws(langs, found, {lang: (grams[names == lang], n[names == lang].astype(np.float64)) for lang in langs})
+
+
+def _parts(counts: DataFrame, part_grams: int) -> np.ndarray:
+    """The part of each symbol: the largest first, each to the part that has least."""
+    sizes = counts.groupBy(F.shiftrightunsigned("gram", 16).bitwiseAND(F.lit(0xFFFF)).alias("symbol")).agg(F.count("*").alias("k")).orderBy(F.desc("k"), "symbol").collect()
+    home = np.zeros(1 << 16, np.int32)
+    loads = [(0, p) for p in range(min(len(sizes), -(-sum(r.k for r in sizes) // part_grams)))]
+    for r in sizes:
+        load, p = heapq.heappop(loads)
+        home[r.symbol] = p
+        heapq.heappush(loads, (load + r.k, p))
+    return home
+
+
+def fit(counts: pa.Table, whole: Laws | None = None) -> Models:
+    """Interpolated Kneser-Ney models of each language from its 4-gram counts; from a part of them, with the laws of the whole."""
     names = np.asarray(counts.column("lang").to_pylist(), object)
     grams, n = counts.column("gram").to_numpy().view(_U), counts.column("n").to_numpy()
-    langs = sorted(set(names.tolist()))
+    langs = whole.langs if whole else sorted(set(names.tolist()))
     tables: list[list[tuple]] = [[] for _ in range(ORDER)]
     sizes = []
     for lang in langs:
         mine = names == lang
         keys, c = grams[mine], n[mine].astype(np.float64)
         for order in range(ORDER, 0, -1):
-            ones, twos = (c == 1).sum(), (c == 2).sum()
-            discount = ones / (ones + 2 * twos) if ones and twos else 0.5
+            if whole and order == 1:
+                keys, c = whole.symbols[lang]
+            discount = whole.discounts[lang, order] if whole else _discount((c == 1).sum(), (c == 2).sum())
             heads, back, kinds = np.unique(keys >> _U(16), return_inverse=True, return_counts=True)
             total = np.bincount(back, weights=c)
             tables[order - 1].append((keys, (c - discount) / total[back], heads, discount * kinds / total))
@@ -179,13 +227,15 @@ def fit(counts: pa.Table) -> Models:
     return models
 
 
-def _entropies(docs: DataFrame, models: Models) -> DataFrame:
-    """docs (text and other columns) with n, the number of symbols (0 without a letter), and e, the cross-entropy per symbol under each language."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+def _entropies(docs: DataFrame, shared: Broadcast) -> DataFrame:
+    """docs (text and other columns) with n, the number of symbols (0 without a letter), and e, the cross-entropy per symbol under each language.
+
+    ``shared`` has the models, and for those of a part its number and the parts of symbols (else None): of other parts' grams e has nothing.
+    """
     others = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
+        models, part, home = shared.value
         k = len(models.langs)
         for batch in batches:
             raw, offs = text_buffers(batch.column("text"))
@@ -196,7 +246,14 @@ def _entropies(docs: DataFrame, models: Models) -> DataFrame:
                 sums = np.zeros((b - a, k))
                 if len(row):
                     at = np.flatnonzero(count)
-                    sums[at] = -np.add.reduceat(models.score(_grams(symbol, row)), (np.cumsum(count) - count)[at], axis=0)
+                    keys = _grams(symbol, row)
+                    if home is None:
+                        score = models.score(keys)
+                    else:
+                        mine = home[(keys >> _U(16) & _U(0xFFFF)).astype(np.int64)] == part
+                        score = np.zeros((len(keys), k), np.float32)
+                        score[mine] = models.score(keys[mine])
+                    sums[at] = -np.add.reduceat(score, (np.cumsum(count) - count)[at], axis=0)
                 e = sums / np.maximum(count, 1)[:, None]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(a, b - a) for c in others), pa.array(np.where(letters > 0, count, 0)), pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a + 1) * k, k, dtype=np.int32)), pa.array(e.reshape(-1)))],
@@ -207,7 +264,29 @@ def _entropies(docs: DataFrame, models: Models) -> DataFrame:
     return docs.mapInArrow(run, schema + ", n long, e array<double>")
 
 
-def identify(docs: DataFrame, most_grams: int = MOST_GRAMS) -> DataFrame:
+def _scored(rows: DataFrame, counts: DataFrame, part_grams: int) -> tuple[list[str], DataFrame]:
+    """The languages, and rows with n and e by the models of all counts."""
+    context = rows.sparkSession.sparkContext
+    if counts.count() <= part_grams:
+        models = fit(counts.toArrow())
+        return models.langs, settle(_entropies(rows, context.broadcast((models, None, None))), "entropies")
+    whole, home = laws(counts), _parts(counts, part_grams)
+    rows = settle(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    places = rows.sparkSession.createDataFrame([(int(s), int(home[s])) for s in np.flatnonzero(home)] or [(0, 0)], "symbol int, part int")
+    symbol = F.shiftrightunsigned("gram", 16).bitwiseAND(F.lit(0xFFFF)).cast("int")
+    dealt = settle(counts.withColumn("symbol", symbol).join(F.broadcast(places), "symbol", "left").select("lang", "gram", "n", F.coalesce("part", F.lit(0)).alias("part")), "grams")
+    done = []
+    for part in range(int(home.max()) + 1):
+        shared = context.broadcast((fit(dealt.where(F.col("part") == part).drop("part").toArrow(), whole), part, home))
+        done.append(settle(_entropies(rows, shared), "entropies"))
+        shared.destroy()
+    each = reduce(DataFrame.union, done)
+    others = [c for c in each.columns if c not in ("row", "e")]
+    total = F.array(*[F.sum(F.col("e")[k]) for k in range(len(whole.langs))]).alias("e")
+    return whole.langs, settle(each.groupBy("row").agg(*[F.first(c).alias(c) for c in others], total).drop("row"), "entropies")
+
+
+def identify(docs: DataFrame, part_grams: int = PART_GRAMS) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, rejected, entropy) for each row of ``docs`` (doc_id, text, lang).
 
     Models learn from the rows with a lang whose crc32(doc_id as text) mod 4 is 0 or 1; those of remainder 3 calibrate
@@ -221,22 +300,11 @@ def identify(docs: DataFrame, most_grams: int = MOST_GRAMS) -> DataFrame:
     rows = docs.select("doc_id", "text", "lang", F.coalesce(fold, F.lit(2)).cast("int").alias("fold"))
     counts = gram_counts(rows.where("fold in (0, 1) and lang is not null"))
     counts = settle(counts, "grams")
-    sizes = counts.groupBy("lang").agg(F.count("*").alias("k")).where(F.col("k") > most_grams).collect()
-    for r in sizes:  # of the rare case of a model above its bound: the least count that keeps it within
-        by = counts.where(F.col("lang") == r["lang"]).groupBy("n").agg(F.count("*").alias("k")).orderBy(F.desc("n")).collect()
-        upto, least = 0, by[0]["n"] + 1
-        for x in by:
-            if (upto := upto + x["k"]) > most_grams:
-                break
-            least = x["n"]
-        counts = counts.where((F.col("lang") != r["lang"]) | (F.col("n") >= least))
-    table = counts.toArrow()
-    if not table.num_rows:
+    if counts.isEmpty():
         none = rows.select("doc_id", (F.col("fold") == 2).alias("held_out"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("entropy"))
         return none
-    models = fit(table)
-    scored = settle(_entropies(rows, models), "entropies")
-    langs = F.array(*[F.lit(x) for x in models.langs])
+    names, scored = _scored(rows, counts, part_grams)
+    langs = F.array(*[F.lit(x) for x in names])
     least = F.array_min("e")
     confidence = lambda t: F.lit(1.0) / F.aggregate("e", F.lit(0.0), lambda s, x: s + F.exp((F.array_min("e") - x) * t))
     known = scored.where("fold = 3 and n > 0 and lang is not null").withColumn("right", F.array_position(langs, F.col("lang"))).where("right > 0")

@@ -285,6 +285,35 @@ def test_language_id(spark):
     assert n > 100 and right >= 0.97 * n and said.where("rejected").count() <= 0.02 * n
 
 
+def test_language_id_large_alphabet(spark):
+    """A language of more than 500,000 different 4-grams, most of them seen once: no gram is lost, in one table or in parts."""
+    rng = np.random.default_rng(8)
+    book = ["".join(map(chr, w)) for w in rng.integers(0x4E00, 0x4E00 + 3000, (3000, 4))]
+    rows = [(k, "".join(rng.choice(book, 10_000 if zlib.crc32(str(k).encode()) % 4 < 2 else 100)), "zh") for k in range(60)]
+    rows += [(100 + k, " ".join(f"{a}{b}" for a, b in rng.choice(["ab", "cde", "fo", "gu"], (60, 2))), "xx") for k in range(60)] + [(None, "abab", None), (7, None, "zh")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    counts = langid.gram_counts(docs.where("crc32(cast(doc_id as string)) % 4 < 2 and lang is not null"))
+    assert counts.where("lang = 'zh'").count() > 500_000
+    models, want = langid.fit(counts.toArrow()), collections.defaultdict(list)
+    for k, text, _ in rows:
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        if len(raw):
+            e = -models.score(langid._grams(*langid._symbols(raw, np.array([0, len(raw)])))).astype(float).mean(axis=0)
+            want[k].append((models.langs[int(e.argmin())], float(e.min())))
+        else:
+            want[k].append(("und", None))
+    one = {}
+    for options in ({}, {"part_grams": 200_000}):
+        got = collections.defaultdict(list)
+        for r in langid.identify(docs, **options).collect():
+            got[r.doc_id].append((r.lang_pred, r.entropy))
+            assert one.setdefault((r.doc_id, r.lang_pred), (r.held_out, r.rejected, pytest.approx(r.score, abs=1e-3))) == (r.held_out, r.rejected, r.score)
+        assert got.keys() == want.keys()
+        for k, said in want.items():
+            assert sorted(x[0] for x in got[k]) == sorted(x[0] for x in said)
+            assert sorted(x[1] or 0 for x in got[k]) == pytest.approx(sorted(x[1] or 0 for x in said), rel=1e-3), k
+
+
 def test_kneser_ney_sums_to_one(spark):
     rows = spark.createDataFrame([("abab abba baab", "x"), ("cddc dcdc abcd", "y")], "text string, lang string")
     models = langid.fit(langid.gram_counts(rows).toArrow())
