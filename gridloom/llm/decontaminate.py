@@ -3,8 +3,9 @@
 Jaccard similarity between an item of 30 shingles and a document of 20,000 is near zero, so signatures of
 both sides can't be compared.  The chance that the least shingle of an *item* under a hash function lies in
 a document is exactly the item's containment in it, whatever the document's size; so only items get
-signatures.  Items are partitioned by size: each size class has its own number of coordinates and of
-matches that makes an item a candidate (small items are posted whole, so the count is already exact).
+signatures.  Items are of two kinds by size, each with its own number of coordinates and of matches that
+makes an item a candidate: those of up to 16 shingles are posted whole, so the count is already exact; all
+larger ones share 48 coordinates and 20 matches.  size_class is carried along but sets neither.
 Candidates are confirmed by exact containment of the item's shingle set.
 """
 
