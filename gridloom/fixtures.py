@@ -26,6 +26,8 @@ RINGS = {
     "01003": ((-99.5, 30.0), (-99.0, 30.0), (-99.5, 30.6)),
     "02001": ((-99.0, 30.0), (-99.0, 30.55), (-99.5, 30.6)),
 }
+#: Corners (ring, seq, dx, dy) of a parcel and of the hole in it; all coordinates are exact in binary.
+CORNERS = tuple((ring, k, low + (high - low) * x, low + (high - low) * y) for ring, low, high in ((0, 0.0, 0.25), (1, 0.0625, 0.125)) for k, (x, y) in enumerate(((0, 0), (1, 0), (1, 1), (0, 1))))
 NAMES = (("01001", "West", "West County"), ("01003", "South", "South County"), ("02001", "North", None))
 STATES = (("01", "Alpha", "AA"), ("02", "Beta", "BB"))
 ID_MAP = (("01001", 1.0, "One"), ("01003", 1.0, "One"), ("02001", 12.0, "Twelve"))
@@ -61,6 +63,19 @@ def vertices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "geo_id string, part int, ring int, seq int, x double, y double")
 
 
+def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertices (geo_id, part, ring, seq, x, y) of one parcel for each part: squares in rows of 400, those of every fourth size with a hole."""
+    k = F.col("p_partkey")
+    corners = F.array(*[F.struct(F.lit(ring).alias("ring"), F.lit(seq).alias("seq"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for ring, seq, dx, dy in CORNERS])
+    squares = table(spark, sf_dir, "part").select(k.cast("string").alias("geo_id"), (k % 400 / 4 - 100).alias("x"), (F.floor(k / 400) / 4 + 30).alias("y"), (F.col("p_size") % 4 == 0).alias("hollow"), F.inline(corners))
+    return squares.where("ring = 0 or hollow").select("geo_id", F.lit(0).alias("part"), "ring", "seq", (F.col("x") + F.col("dx")).alias("x"), (F.col("y") + F.col("dy")).alias("y"))
+
+
+def brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(parent_id, child, name): the parcels' ids and their brands, numbered as doubles."""
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("parent_id"), F.regexp_extract("p_brand", "([0-9]+)", 1).cast("double").alias("child"), F.col("p_brand").alias("name"))
+
+
 def names(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(NAMES), "geo_id string, name string, namelsad string")
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions import lattice
 from ..tables import settle
+from .components import components
 
 _UP = ("case when y1 <= y2 then x1 else x2 end as x1", "least(y1, y2) as y1", "case when y1 <= y2 then x2 else x1 end as x2", "greatest(y1, y2) as y2")
 
@@ -82,18 +83,32 @@ def snap_nearest(points: DataFrame, edges: DataFrame, keys: list[str], radius: f
     return best.select(*keys, F.col("m.geo_id").alias("geo_id"), F.col("m.d").alias("distance"))
 
 
-def nearest(points: DataFrame, edges: DataFrame, keys: list[str], start: float, rounds: int = 12) -> DataFrame:
+def _reach(points: DataFrame, edges: DataFrame) -> float:
+    """No point is farther from an edge than this: the diagonal of the box around both; 0 where one of them is empty."""
+    sides = lambda *columns: [f(c) for c in columns for f in (F.min, F.max)]
+    p = points.agg(*sides("x", "y")).first()
+    e = edges.agg(*sides(F.least("x1", "x2"), F.least("y1", "y2"), F.greatest("x1", "x2"), F.greatest("y1", "y2"))).first()
+    if p[0] is None or p[2] is None or e[0] is None:
+        return 0.0
+    width, height = (max(p[k + 1], e[k + 5]) - min(p[k], e[k]) for k in (0, 2))
+    return (width * width + height * height) ** 0.5 * 1.000001
+
+
+def nearest(points: DataFrame, edges: DataFrame, keys: list[str], start: float) -> DataFrame:
     """(keys, geo_id, distance) of the nearest unit however far: the radius doubles for the points that are still without one.
 
-    Each round's result is written, so a round's plan does not hold the earlier ones; at ``rounds`` doublings a point stays out.
+    Each round's result is written, so a round's plan does not hold the earlier ones; the last round's radius spans both
+    tables, so only points without coordinates, or all points where there is no edge, stay out.
     """
     left, radius, found = settle(points.select(*keys, "x", "y"), "points"), start, []
-    for _ in range(rounds):
+    most = _reach(left, edges)
+    while True:
         found.append(settle(snap_nearest(left, edges, keys, radius), "nearest"))
+        if radius >= most:
+            return reduce(DataFrame.unionByName, found)
         left, radius = settle(left.join(found[-1].select(*keys), keys, "left_anti"), "points"), radius * 2
         if left.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, found)
+            return reduce(DataFrame.unionByName, found)
 
 
 def adjudicate(points: DataFrame, edges: DataFrame, keys: list[str], radius: float) -> DataFrame:
@@ -143,43 +158,56 @@ def _douglas_peucker(points: list[tuple[float, float]], tolerance: float) -> lis
     return [points[k] for k in sorted(keep)]
 
 
-def simplify_arcs(edges: DataFrame, tolerance: float = 0.005) -> DataFrame:
-    """(units, arc, seq, x, y): borders simplified once for all units that share them, so that neighbours still agree.
-
-    Undirected edges are grouped by the set of units beside them; in each group edges are chained between junctions
-    (vertices where other than two edges meet) and each chain is thinned by Douglas-Peucker.
+def _chain(pdf: pd.DataFrame) -> list[tuple[float, float]]:
+    """The points of one arc in order, from an end or junction, or where it is a ring without one from its least point."""
+    beside: dict[tuple, set] = {}
+    joints = set()
+    for x1, y1, x2, y2, ja, jb in zip(pdf.x1, pdf.y1, pdf.x2, pdf.y2, pdf.ja, pdf.jb):
+        beside.setdefault((x1, y1), set()).add((x2, y2))
+        beside.setdefault((x2, y2), set()).add((x1, y1))
+        joints |= {p for p, j in (((x1, y1), ja), ((x2, y2), jb)) if j}
+    joints |= {p for p, q in beside.items() if len(q) != 2}
+    chain = [min(joints or beside)]
+    while beside[chain[-1]]:
+        nxt = min(beside[chain[-1]])
+        beside[chain[-1]].discard(nxt)
+        beside[nxt].discard(chain[-1])
+        chain.append(nxt)
+    return chain
+
+
+def arcs_of(edges: DataFrame) -> DataFrame:
+    """(units, arc, x1, y1, x2, y2, ja, jb): each undirected edge once, with the units beside it and the arc it belongs to.
+
+    An arc is a run of edges beside the same units between junctions (points where other than two edges meet; ja and jb
+    mark them).  Two edges that meet at a point that is none are linked, and arcs are the components of these links, so
+    no task sees more of a border than is asked of it here: two edges at a point.
     """
     point = lambda k: F.struct(F.col(f"x{k}").alias("x"), F.col(f"y{k}").alias("y"))
     one = edges.select("geo_id", F.least(point(1), point(2)).alias("a"), F.greatest(point(1), point(2)).alias("b"))
     shared = one.groupBy("a", "b").agg(F.array_join(F.array_sort(F.collect_set("geo_id")), "|").alias("units"))
     degree = shared.select(F.explode(F.array("a", "b")).alias("p")).groupBy("p").agg(F.count("*").alias("d"))
     marked = shared.join(degree.select(F.col("p").alias("a"), (F.col("d") != 2).alias("ja")), "a").join(degree.select(F.col("p").alias("b"), (F.col("d") != 2).alias("jb")), "b")
-    flat = marked.select("units", F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"), "ja", "jb")
-
-    def arcs(pdf: pd.DataFrame) -> pd.DataFrame:
-        beside: dict[tuple, set] = {}
-        joints = set()
-        for x1, y1, x2, y2, ja, jb in zip(pdf.x1, pdf.y1, pdf.x2, pdf.y2, pdf.ja, pdf.jb):
-            beside.setdefault((x1, y1), set()).add((x2, y2))
-            beside.setdefault((x2, y2), set()).add((x1, y1))
-            joints |= {p for p, j in (((x1, y1), ja), ((x2, y2), jb)) if j}
-        joints |= {p for p, q in beside.items() if len(q) != 2}
-        rows, arc = [], 0
-        for start in [*sorted(joints & beside.keys()), *sorted(beside.keys() - joints)]:
-            while beside[start]:
-                chain = [start]
-                while beside[chain[-1]] and (len(chain) == 1 or chain[-1] not in joints and chain[-1] != start):
-                    nxt = min(beside[chain[-1]])
-                    beside[chain[-1]].discard(nxt)
-                    beside[nxt].discard(chain[-1])
-                    chain.append(nxt)
-                if chain[0] == chain[-1] and len(chain) > 3:  # a ring: both halves are thinned, so that it stays a ring
-                    mid = len(chain) // 2
-                    thin = _douglas_peucker(chain[: mid + 1], tolerance)[:-1] + _douglas_peucker(chain[mid:], tolerance)
-                else:
-                    thin = _douglas_peucker(chain, tolerance)
-                rows += [(pdf.units.iloc[0], arc, k, x, y) for k, (x, y) in enumerate(thin)]
-                arc += 1
-        return pd.DataFrame(rows, columns=["units", "arc", "seq", "x", "y"])
-
-    return flat.groupBy("units").applyInPandas(arcs, "units string, arc int, seq int, x double, y double")
+    flat = settle(marked.select("units", F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"), "ja", "jb", F.xxhash64("units", "a", "b").alias("edge")), "borders")
+    ends = flat.select("units", "edge", F.inline(F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y"), F.col(j).alias("j")) for x, y, j in (("x1", "y1", "ja"), ("x2", "y2", "jb"))])))
+    links = ends.where("not j").groupBy("units", "x", "y").agg(F.min("edge").alias("a"), F.max("edge").alias("b"), F.count("*").alias("n")).where("n = 2")
+    reached = components(links.select("a", "b")).withColumnsRenamed({"node": "edge", "component": "arc"})
+    return flat.join(reached, "edge", "left").withColumn("arc", F.coalesce("arc", "edge")).drop("edge")
+
+
+def simplify_arcs(edges: DataFrame, tolerance: float = 0.005) -> DataFrame:
+    """(units, arc, seq, x, y): borders simplified once for all units that share them, so that neighbours still agree.
+
+    Each arc (see :func:`arcs_of`) is thinned by Douglas-Peucker in a task of its own.
+    """
+
+    def thin(pdf: pd.DataFrame) -> pd.DataFrame:
+        chain = _chain(pdf)
+        if chain[0] == chain[-1] and len(chain) > 3:  # a ring: both halves are thinned, so that it stays a ring
+            mid = len(chain) // 2
+            kept = _douglas_peucker(chain[: mid + 1], tolerance)[:-1] + _douglas_peucker(chain[mid:], tolerance)
+        else:
+            kept = _douglas_peucker(chain, tolerance)
+        return pd.DataFrame([(pdf.units.iloc[0], pdf.arc.iloc[0], k, x, y) for k, (x, y) in enumerate(kept)], columns=["units", "arc", "seq", "x", "y"])
+
+    return arcs_of(edges).groupBy("units", "arc").applyInPandas(thin, "units string, arc long, seq int, x double, y double")

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from ..functions import pad_id, year_of_path
@@ -39,10 +36,13 @@ def id_crosswalk(rows: DataFrame) -> DataFrame:
     return rows.select("parent_id", pad_id(F.col("child"), width).alias("child_id"), "name")
 
 
-def read_boundaries(spark: SparkSession, path: str, id_field: str, name_field: str) -> DataFrame:
-    """(geo_id, name, part, ring, seq, x, y): vertices of the polygons of a GeoJSON file in lon/lat degrees."""
-    text = spark.read.text(path, wholetext=True)
-    feature = text.select(F.explode(F.from_json("value", "features array<string>")["features"]).alias("f"))
+def read_boundaries(spark: SparkSession, path: str, id_field: str, name_field: str, collection: bool = False) -> DataFrame:
+    """(geo_id, name, part, ring, seq, x, y): vertices of GeoJSON polygons in lon/lat degrees, one feature a line.
+
+    collection: each file is one FeatureCollection instead, which a single task has to read whole.
+    """
+    text = spark.read.text(path, wholetext=collection)
+    feature = text.select(F.explode(F.from_json("value", "features array<string>")["features"]).alias("f")) if collection else text.select(F.col("value").alias("f"))
     parts = feature.select(
         F.get_json_object("f", f"$.properties.{id_field}").alias("geo_id"), F.get_json_object("f", f"$.properties.{name_field}").alias("name"),
         F.when(F.get_json_object("f", "$.geometry.type") == "Polygon", F.concat(F.lit("["), F.get_json_object("f", "$.geometry.coordinates"), F.lit("]"))).otherwise(F.get_json_object("f", "$.geometry.coordinates")).alias("c"),
@@ -89,29 +89,23 @@ def file_manifest(spark: SparkSession, path: str, pattern: str = "*.parquet") ->
 
 
 def file_checksums(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """(path, bytes, sha256) of the files below path."""
+    """(path, bytes, sha256) of the files below path, from the contents read; a file is one row, so it has to be below 2 GB."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-
+    return files.select("path", F.length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
-def row_groups(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """(path, row_group, rows, least, most): a string column's statistics in each row group of the Parquet files below path."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.parquet as pq
+def row_groups(spark: SparkSession, path: str, column: str, size: int) -> DataFrame:
+    """(path, row_group, rows, least, most): what a column holds in each row group of ``size`` rows of the Parquet files below path."""
+    rows = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("path"), F.floor(F.col("_metadata.row_index") / size).cast("int").alias("row_group"), column)
+    return rows.groupBy("path", "row_group").agg(F.count("*").alias("rows"), F.min(column).alias("least"), F.max(column).alias("most"))
 
-        for batch in batches:
-            for path_, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                meta = pq.ParquetFile(pa.BufferReader(content.as_buffer())).metadata
-                at = next(i for i in range(meta.num_columns) if meta.schema.column(i).name == column)
-                rows = []
-                for g in range(meta.num_row_groups):
-                    s = meta.row_group(g).column(at).statistics
-                    rows.append({"path": path_, "row_group": g, "rows": meta.row_group(g).num_rows, "least": s.min if s else None, "most": s.max if s else None})
-                yield pa.RecordBatch.from_pylist(rows, pa.schema([("path", pa.string()), ("row_group", pa.int32()), ("rows", pa.int64()), ("least", pa.string()), ("most", pa.string())]))
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "content").mapInArrow(run, "path string, row_group int, rows long, least string, most string")
+def pruned(spark: SparkSession, path: str, column: str, value: str, size: int) -> DataFrame:
+    """(rows, found, groups, read): the rows of one value, those of them in row groups whose range holds it, all row groups, and the ones that a scan for it reads."""
+    groups = row_groups(spark, path, column, size).withColumn("read", F.lit(value).between(F.col("least"), F.col("most")))
+    here = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("path"), F.floor(F.col("_metadata.row_index") / size).cast("int").alias("row_group"), column).where(F.col(column) == value)
+    held = here.groupBy("path", "row_group").agg(F.count("*").alias("k"))
+    return groups.join(held, ["path", "row_group"], "left").agg(F.coalesce(F.sum("k"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.when(F.col("read"), F.col("k"))), F.lit(0)).alias("found"), F.count("*").alias("groups"), F.count_if("read").alias("read"))
 
 
 def ledger_latest(ledger: DataFrame, version: str | None = None) -> DataFrame:

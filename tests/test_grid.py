@@ -1,5 +1,6 @@
 """Geometry on closed-form shapes, rules of the query layer, and failure cases."""
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +92,36 @@ def test_simplify_keeps_shared_borders(spark):
     assert sorted(shared) == [(0.05, 0.0), (0.05, 0.1)]
 
 
+def test_arcs_are_cut_at_junctions(spark):
+    """Three units about one point, a ring that is alone, and two rings that touch in a point."""
+    shapes = [
+        ("a", 0, 0, [(0, 0), (2, 0), (2, 1), (1, 1), (1, 2), (0, 2)]), ("b", 0, 0, [(2, 0), (3, 0), (3, 2), (2, 2), (2, 1)]), ("c", 0, 0, [(1, 1), (2, 1), (2, 2), (1, 2)]),
+        ("d", 0, 0, [(10, 0), (11, 0), (12, 1), (11, 1)]), ("e", 0, 0, [(20, 0), (21, 0), (21, 1), (20, 1)]), ("e", 1, 0, [(21, 1), (22, 1), (22, 2), (21, 2)]),
+    ]
+    lines = {}
+    for r in sorted(spatial.simplify_arcs(polygon(spark, shapes), 1e-9).collect()):
+        lines.setdefault((r.units, r.arc), []).append((r.x, r.y))
+    got = sorted((units, len(p), p[0] == p[-1]) for (units, _), p in lines.items())
+    assert got == [("a", 4, False), ("a|b", 2, False), ("a|c", 3, False), ("b", 4, False), ("b|c", 2, False), ("c", 2, False), ("d", 5, True), ("e", 5, True), ("e", 5, True)]
+
+
+def test_nearest_has_no_last_round(spark):
+    """A point a million radii away is found; points without coordinates and tables without edges end the search."""
+    points = spark.createDataFrame([("far", 4e4, 0.05), ("none", None, None)], "k string, x double, y double")
+    found = spatial.nearest(points, polygon(spark, SQUARE), ["k"], 0.04).collect()
+    assert [(r.k, r.geo_id, round(r.distance, 3)) for r in found] == [("far", "a", 39999.9)]
+    assert spatial.nearest(points, polygon(spark, SQUARE).limit(0), ["k"], 0.04).count() == 0
+
+
+def test_boundaries_of_a_collection(spark, tmp_path):
+    one = '{"type":"Feature","properties":{"id":"%s"},"geometry":{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}}'
+    (tmp_path / "a").mkdir(), (tmp_path / "b").mkdir()
+    (tmp_path / "a/lines.json").write_text(one % "x" + "\n" + one % "y" + "\n")
+    (tmp_path / "b/whole.json").write_text('{"features":[' + one % "x" + "," + one % "y" + "]}")
+    rows = [sorted(map(tuple, sources.read_boundaries(spark, str(tmp_path / d), "id", "id", collection=d == "b").collect())) for d in "ab"]
+    assert rows[0] == rows[1] and len(rows[0]) == 8
+
+
 def test_dissolve_cancels_inner_borders(spark):
     edges = polygon(spark, SQUARE + [("b", 0, 0, [(0.1, 0), (0.2, 0), (0.2, 0.1), (0.1, 0.1)])])
     target = spark.createDataFrame([("a", "x"), ("b", "x")], "geo_id string, target string")
@@ -132,9 +163,18 @@ def test_runner_goes_on_after_an_error(spark):
 
 def test_one_unit_touches_few_row_groups(spark, tmp_path):
     df = spark.range(4000).select(F.lpad((F.col("id") % 40).cast("string"), 2, "0").alias("geo_id"), "id")
-    sinks.write_sorted(df, str(tmp_path / "p"), ["geo_id", "id"], row_group=100)
-    groups = sources.row_groups(spark, str(tmp_path / "p"), "geo_id")
-    assert groups.count() >= 40 and groups.where("least <= '07' and most >= '07'").count() <= 3
+    path = str(tmp_path / "p")
+    sinks.write_sorted(df, path, ["geo_id", "id"], row_group=100)
+    groups = {(r.path.split("/")[-1], r.row_group): (r.rows, r.least, r.most) for r in sources.row_groups(spark, path, "geo_id", 100).collect()}
+    written = {}
+    for file in (tmp_path / "p").glob("*.parquet"):  # what the footers say
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            s = meta.row_group(g).column(0).statistics
+            written[file.name, g] = (meta.row_group(g).num_rows, s.min, s.max)
+    assert groups == written and len(groups) >= 40
+    r = sources.pruned(spark, path, "geo_id", "07", 100).first()
+    assert r.rows == r.found == 100 and r.groups == len(groups) and r.read <= 3
 
 
 def test_stream_replaces_a_year(spark, tmp_path):
