@@ -4,45 +4,68 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-#: Fixed values: (licence, its usual notice).
-TEMPLATES = (
-    ("AGPL", "This work is licensed under the GNU Affero General Public License version"),
-    ("Apache-2.0", "Licensed under the Apache License Version"),
+#: Fixed values: (licence, its title, its SPDX identifier).
+LICENCES = (
+    ("AGPL", "GNU Affero General Public License", "AGPL-3.0"),
+    ("Apache-2.0", "Apache License", "Apache-2.0"),
+    ("BSD", "BSD License", "BSD-3-Clause"),
+    ("CC-BY", "Creative Commons Attribution International License", "CC-BY-4.0"),
+    ("CC-BY-NC", "Creative Commons Attribution NonCommercial International License", "CC-BY-NC-4.0"),
+    ("GPL", "GNU General Public License", "GPL-3.0"),
+    ("LGPL", "GNU Lesser General Public License", "LGPL-3.0"),
+    ("MIT", "MIT License", "MIT"),
+    ("MPL-2.0", "Mozilla Public License", "MPL-2.0"),
+)
+#: What short notices of any licence say about its title or identifier.
+FORMS = ("{title}", "Licensed under the {title} version", "Released under the {title}", "Distributed under the {title}", "Licensed under the terms of the {title}", "under the terms of the {title} as published by", "SPDX-License-Identifier: {spdx}")
+#: Fixed values: (licence, a notice of its own).
+NOTICES = (
+    ("BSD", "BSD Clause License"),
     ("BSD", "Redistribution and use in source and binary forms with or without modification are permitted"),
+    ("CC-BY", "Licensed under CC BY"),
     ("CC-BY", "This work is licensed under a Creative Commons Attribution International License CC BY"),
-    ("CC-BY-NC", "Licensed under CC BY-NC Creative Commons Attribution NonCommercial"),
-    ("GPL", "This work is licensed under the GNU General Public License version"),
-    ("LGPL", "licensed under the GNU Lesser General Public License version"),
-    ("MIT", "Released under the MIT License"),
+    ("CC-BY-NC", "Licensed under CC BY-NC"),
+    ("CC-BY-NC", "This work is licensed under a Creative Commons Attribution-NonCommercial International License CC BY-NC"),
+    ("LGPL", "GNU Library General Public License"),
+    ("MIT", "Permission is hereby granted free of charge to any person obtaining a copy of this software"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License"),
+    ("Proprietary", "All rights reserved"),
+    ("Proprietary", "Copyright All rights reserved"),
     ("Proprietary", "All rights reserved unauthorized copying of this file is strictly prohibited"),
 )
-#: Fixed value: words that make a line part of a licence notice.
-MARKERS = r"(?i)licen[sc]e|copyright|spdx|all rights reserved|redistribution|subject to the terms"
-TERM = "[a-z][a-z-]*"
+#: (licence, notice): several of each licence; a line is scored by the best of them.
+TEMPLATES = tuple((licence, form.format(title=title, spdx=spdx)) for licence, title, spdx in LICENCES for form in FORMS) + NOTICES
+#: Words that make a line part of a licence notice.
+MARKERS = r"(?i)licen[sc]e|copyright|spdx|all rights reserved|redistribution|subject to the terms|permission is hereby granted"
+#: Words that say nothing about a licence.
+STOP = ("a", "an", "and", "any", "are", "as", "at", "be", "c", "file", "for", "in", "is", "it", "of", "on", "or", "see", "that", "the", "this", "to", "under", "with", "without", "you")
+TERM = "[a-z]+(-[a-z]+)*"
 LEAST = 0.6
 
 
 def _terms(text: str) -> F.Column:
-    return F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM), F.lit(0))
+    return F.filter(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM), F.lit(0)), lambda x: ~x.isin(*STOP))
 
 
 def template_weights(templates: DataFrame) -> DataFrame:
-    """(licence, term, w): unit TF-IDF vectors of the templates (licence, notice); idf is over the templates, ln((1 + N) / (1 + df)) + 1."""
-    tf = templates.select("licence", F.explode(_terms("notice")).alias("term")).groupBy("licence", "term").agg(F.count("*").alias("tf"))
+    """(licence, template, term, w): unit TF-IDF vectors of the templates (licence, notice); idf is over the templates, ln((1 + N) / (1 + df)) + 1."""
+    each = ["licence", "template"]
+    templates = templates.select("licence", F.col("notice").alias("template")).distinct()
+    tf = templates.select(*each, F.explode(_terms("template")).alias("term")).groupBy(*each, "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log((F.lit(1.0) + F.col("k")) / (F.lit(1.0) + F.col("df"))) + 1.0
-    w = tf.join(df, "term").withColumn("k", F.lit(templates.count())).select("licence", "term", (F.col("tf") * idf).alias("w"))
-    norm = w.groupBy("licence").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norm, "licence").select("licence", "term", (F.col("w") / F.col("norm")).alias("w"))
+    w = tf.join(df, "term").withColumn("k", F.lit(templates.count())).select(*each, "term", (F.col("tf") * idf).alias("w"))
+    norm = w.groupBy(*each).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return w.join(norm, each).select(*each, "term", (F.col("w") / F.col("norm")).alias("w"))
 
 
 def classify(files: DataFrame, templates: DataFrame, least: float = LEAST) -> DataFrame:
-    """(file_id, licence, score) of the files (file_id, text) with a licence notice that is like a template.
+    """(file_id, licence, score) of the files (file_id, text) with a licence notice that is like a template (licence, notice).
 
     Each line of the whole text with a licence marker is a notice.  Distinct notices (digits out) are scored once however
-    many files carry them: cosine of the notice's TF-IDF vector with each template's, terms weighed by the templates' idf.
-    A file has the licence of its best notice at ``least`` or above; ties go to the first name.
+    many files carry them: the greatest cosine of the notice's TF-IDF vector with those of a licence's templates, terms
+    weighed by the templates' idf, stop words left out.  A file has the licence of its best notice at ``least`` or above;
+    ties go to the first name.
     """
     lines = F.filter(F.split("text", r"\r\n|\n|\r"), lambda x: x.rlike(MARKERS))
     notice = F.array_distinct(F.transform(lines, lambda x: F.lower(F.trim(F.regexp_replace(x, "[0-9]+", "")))))
@@ -52,9 +75,9 @@ def classify(files: DataFrame, templates: DataFrame, least: float = LEAST) -> Da
     idf = F.log((F.lit(1.0) + F.col("k")) / (F.lit(1.0) + F.coalesce("df", F.lit(0)))) + 1.0
     df = weights.groupBy("term").agg(F.count("*").alias("df"))
     tf = distinct.select("notice", F.explode(_terms("notice")).alias("term")).groupBy("notice", "term").agg(F.count("*").alias("tf"))
-    w = tf.join(df, "term", "left").withColumn("k", F.lit(templates.count())).select("notice", "term", (F.col("tf") * idf).alias("v"))
+    w = tf.join(df, "term", "left").withColumn("k", F.lit(templates.select("licence", "notice").distinct().count())).select("notice", "term", (F.col("tf") * idf).alias("v"))
     length = w.groupBy("notice").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
-    dot = w.join(weights, "term").groupBy("notice", "licence").agg(F.sum(F.col("v") * F.col("w")).alias("dot"))
+    dot = w.join(weights, "term").groupBy("notice", "licence", "template").agg(F.sum(F.col("v") * F.col("w")).alias("dot"))
     score = F.round(F.col("dot") / F.col("length"), 4)
     near = dot.join(length, "notice").select("notice", "licence", score.alias("score")).where(F.col("score") >= least)
     best = near.groupBy("notice").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("m"))

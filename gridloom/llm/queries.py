@@ -142,15 +142,15 @@ FROM p JOIN pages ON pages.page_id = p.page_id LEFT JOIN f ON f.d = p.d AND n >=
     + rf"""),
 files AS (SELECT doc_id, text, coalesce(source, 'none') || '/p' || ((doc_id // 7) % 40) || CASE WHEN doc_id % 3 > 0 THEN '/d' || ((doc_id // 21) % 6) ELSE '' END || CASE WHEN doc_id % 3 = 2 THEN '/s' || (doc_id % 4) ELSE '' END AS directory, doc_id % 7 = 0 AS is_licence FROM documents),
 noted AS (SELECT DISTINCT doc_id, lower(trim(regexp_replace(line, '[0-9]+', '', 'g'))) AS notice FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\r\n|\n|\r')) AS line FROM files) WHERE regexp_matches(line, '{licenses.MARKERS}')),
-ttf AS (SELECT licence, term, count(*) AS tf FROM (SELECT licence, unnest(regexp_extract_all(lower(notice), '{licenses.TERM}')) AS term FROM t) GROUP BY ALL),
+ttf AS (SELECT licence, template, term, count(*) AS tf FROM (SELECT licence, notice AS template, unnest(regexp_extract_all(lower(notice), '{licenses.TERM}')) AS term FROM t) WHERE term NOT IN {licenses.STOP} GROUP BY ALL),
 df AS (SELECT term, count(*) AS df FROM ttf GROUP BY term),
 k AS (SELECT count(*) AS k FROM t),
-tw AS (SELECT licence, term, tf * (ln((1.0::DOUBLE + k) / (1 + df)) + 1) AS w FROM ttf JOIN df USING (term), k),
-tu AS (SELECT licence, term, w / sqrt(sum(w * w) OVER (PARTITION BY licence)) AS w FROM tw),
-ntf AS (SELECT notice, term, count(*) AS tf FROM (SELECT notice, unnest(regexp_extract_all(notice, '{licenses.TERM}')) AS term FROM (SELECT DISTINCT notice FROM noted)) GROUP BY ALL),
+tw AS (SELECT licence, template, term, tf * (ln((1.0::DOUBLE + k) / (1 + df)) + 1) AS w FROM ttf JOIN df USING (term), k),
+tu AS (SELECT licence, template, term, w / sqrt(sum(w * w) OVER (PARTITION BY licence, template)) AS w FROM tw),
+ntf AS (SELECT notice, term, count(*) AS tf FROM (SELECT notice, unnest(regexp_extract_all(notice, '{licenses.TERM}')) AS term FROM (SELECT DISTINCT notice FROM noted)) WHERE term NOT IN {licenses.STOP} GROUP BY ALL),
 nw AS (SELECT notice, term, tf * (ln((1.0::DOUBLE + k) / (1 + coalesce(df, 0))) + 1) AS v FROM ntf LEFT JOIN df USING (term), k),
 size AS (SELECT notice, sqrt(sum(v * v)) AS size FROM nw GROUP BY notice),
-cosine AS (SELECT notice, licence, round(sum(v * w) / any_value(size), 4) AS score FROM nw JOIN tu USING (term) JOIN size USING (notice) GROUP BY notice, licence),
+cosine AS (SELECT notice, licence, template, round(sum(v * w) / any_value(size), 4) AS score FROM nw JOIN tu USING (term) JOIN size USING (notice) GROUP BY ALL),
 own AS (SELECT doc_id, licence, score FROM noted JOIN cosine USING (notice) WHERE score >= {licenses.LEAST} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence) = 1),
 placed AS (SELECT files.doc_id, directory, is_licence, licence, score FROM files LEFT JOIN own USING (doc_id)),
 given AS (SELECT directory AS ancestor, licence AS given FROM placed WHERE is_licence AND licence IS NOT NULL QUALIFY row_number() OVER (PARTITION BY directory ORDER BY score DESC, licence) = 1),

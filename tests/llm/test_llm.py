@@ -354,6 +354,26 @@ def test_license_scan(spark):
     assert licenses.scan(df.limit(0), t).count() == 0
 
 
+def test_license_notices(spark):
+    """Short notices, SPDX headers and titles, as each is found; notices of other licences and mere mentions are not."""
+    found = {
+        "All rights reserved.": "Proprietary", "Copyright (c) 2020 X. All rights reserved.": "Proprietary", "(c) 2015 The Acme Authors. All rights reserved.": "Proprietary",
+        "This file is distributed under the MIT License, see LICENSE.": "MIT", "Released under the MIT License.": "MIT", "// SPDX-License-Identifier: MIT": "MIT", "# SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+        "SPDX-License-Identifier: GPL-2.0-only": "GPL", "SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL", "SPDX-License-Identifier: BSD-2-Clause": "BSD", "SPDX-License-Identifier: CC-BY-NC-4.0": "CC-BY-NC",
+        "GNU GENERAL PUBLIC LICENSE": "GPL", "GNU LESSER GENERAL PUBLIC LICENSE": "LGPL", "GNU LIBRARY GENERAL PUBLIC LICENSE": "LGPL", "GNU AFFERO GENERAL PUBLIC LICENSE": "AGPL", "The MIT License (MIT)": "MIT", "BSD 3-Clause License": "BSD",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL", "Licensed under CC BY-NC 4.0.": "CC-BY-NC", "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "it under the terms of the GNU General Public License as published by": "GPL",
+        "Redistribution and use in source and binary forms, with or without": "BSD", "This Source Code Form is subject to the terms of the Mozilla Public": "MPL-2.0", "Permission is hereby granted, free of charge, to any person obtaining a copy": "MIT",
+        "SPDX-License-Identifier: ISC": None, "SPDX-License-Identifier: CC-BY-SA-4.0": None, "Licensed under CC BY-SA 4.0": None, "This file is distributed under the Foo License, see LICENSE.": None, "Released under the Foo License.": None,
+        "Eclipse Public License": None, "Copyright (c) 2020 Acme": None, "You may obtain a copy of the License at": None, "The licence plate of the car was lost.": None, "license": None,
+    }
+    t = spark.createDataFrame(list(licenses.TEMPLATES), "licence string, notice string")
+    files = spark.createDataFrame(list(enumerate(found)), "file_id long, text string")
+    got = {r.file_id: r.licence for r in licenses.classify(files, t.union(t)).collect()}
+    assert {text: got.get(k) for k, text in enumerate(found)} == found
+    by_name = {r.file_id: r.licence for r in licenses.classify(files.withColumn("text", F.concat(F.lit("code\r\n"), F.upper("text"), F.lit("\nmore"))), t).collect()}
+    assert by_name == got  # letter case and other lines do not matter
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
