@@ -15,12 +15,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .store import new_path, settle
+from ..tables import settle, work_path
 
 MAGIC, BREAK = b"WARC/1.1\r\n", "\r\n\r\n"
 LEAST_BYTES = 100
-#: A file has at most so many records, and so few that records of mean size make up the bytes: what a reader task holds.
-FILE_RECORDS, FILE_BYTES = 4000, 64 << 20
+#: A file has at most so many records, and so few that records of mean size make up the bytes; larger records are written to
+#: files of fewer records, so that no file is larger than four times the bytes or one record: what a reader task holds.
+FILE_RECORDS, FILE_BYTES, FEWER = 4000, 64 << 20, 16
+#: A header without its url is smaller.
+HEADER = 512
 #: A payload's pages are dealt over so many groups, so that the pages of a very common payload don't meet in one task.
 GROUPS = 1024
 URN = "urn:page:"
@@ -39,6 +42,16 @@ def _revisits(sizes: DataFrame) -> DataFrame:
     return settle(found.select(F.col("page_id").alias("page_id_"), F.col("digest").alias("digest_"), "original").distinct(), "revisits")
 
 
+def _tiers(records: int) -> list[tuple[int, int, int | None]]:
+    """(records in a file, bytes that a record exceeds, bytes that it does not exceed) of each kind of file; the last kind has one record of any size."""
+    out, above = [], 0
+    while records > 1:
+        most = 4 * FILE_BYTES // records
+        out.append((records, above, most))
+        above, records = most, max(1, records // FEWER)
+    return [*out, (1, above, None)]
+
+
 def write_archive(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None:
     """Write pages (page_id, url, html) as WARC records under ``path``.
 
@@ -47,17 +60,24 @@ def write_archive(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None
     """
     body = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long"), F.coalesce("url", F.lit("")).alias("url"), body.alias("body"), F.octet_length(body).cast("long").alias("bytes"), F.sha2(body, 256).alias("digest"))
-    sizes = settle(rows.select("page_id", "bytes", "digest"), "digests")
+    sizes = settle(rows.select("page_id", "bytes", "digest", (F.octet_length("url") + HEADER).alias("room")), "digests")
     typed = rows.join(_revisits(sizes.where(F.col("bytes") >= least)), [rows["page_id"].eqNullSafe(F.col("page_id_")), rows["digest"] == F.col("digest_")], "left").drop("page_id_", "digest_")
     again = F.col("original").isNotNull()
-    records = min(FILE_RECORDS, max(1, int(FILE_BYTES // ((sizes.agg(F.avg("bytes")).first()[0] or 0) + 512))))
+    mean = sizes.agg(F.avg("bytes")).first()[0] or 0
+    tiers = _tiers(min(FILE_RECORDS, max(1, int(FILE_BYTES // (mean + HEADER)))))
+    within = lambda size, above, most: (size > above) & (size <= most if most is not None else F.lit(True))
+    found = sizes.agg(*[F.count_if(within(F.col("room"), a, m) | within(F.col("room") + F.col("bytes"), a, m)) for _, a, m in tiers]).first()
     line = lambda name, value: F.concat(F.lit(f"\r\n{name}: "), value)
     urn = lambda key: F.concat(F.lit(f"<{URN}"), key.cast("string"), F.lit(">"))
     head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.when(again, "revisit").otherwise("response"), line("WARC-Record-ID", F.coalesce(urn(F.col("page_id")), F.lit("<urn:page:>"))), line("WARC-Target-URI", F.regexp_replace("url", r"[\x00-\x20\x7f]", "")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "digest")), F.when(again, line("WARC-Refers-To", urn(F.col("original")))).otherwise(""), line("Content-Length", F.when(again, F.lit(0)).otherwise(F.col("bytes")).cast("string")), F.lit(BREAK),
     )
-    typed.select(F.concat(head, F.when(again, "").otherwise(F.col("body"))).alias("value")).write.option("lineSep", BREAK).option("maxRecordsPerFile", records).text(path)
+    room = F.octet_length("url") + HEADER + F.when(again, 0).otherwise(F.col("bytes"))
+    for (records, above, most), n in zip(tiers, found):
+        if n or above == 0:
+            part = typed.where(within(room, above, most)).select(F.concat(head, F.when(again, "").otherwise(F.col("body"))).alias("value"))
+            part.write.mode("append").option("lineSep", BREAK).option("maxRecordsPerFile", records).text(path)
 
 
 _FIELDS = pa.schema([("file", pa.int64()), ("at", pa.int64()), ("next", pa.int64()), ("type", pa.string()), ("page_id", pa.int64()), ("refers_to", pa.int64()), ("url", pa.string()), ("said", pa.string()), ("bytes", pa.int64()), ("digest", pa.string())])
@@ -147,6 +167,6 @@ def round_trip(pages: DataFrame) -> DataFrame:
     Every row has one record: nulls in any column, empty and long payloads, payloads with the magic inside, repeated
     rows (both responses) and rows without a page_id (a revisit if another page has the payload).  Other columns are ignored.
     """
-    path = new_path(pages.sparkSession, "warc")
+    path = work_path(pages.sparkSession, "warc")
     write_archive(pages, path)
     return read_archive(path, pages.sparkSession)
