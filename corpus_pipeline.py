@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages, each one operator of ``gridloom.llm``.
 
 Each stage gets all rows that the one before it kept and passes on rows with the columns of ``documents``; the
-last one places them in shards.  A stage's result is written as Parquet and read again as the next one's input.
+last one places them in shards.  Rows without a doc_id are judged by their texts and stay if clean.  A stage's result is written as Parquet and read again as the next one's input.
 """
 
 from __future__ import annotations
@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from gridloom.llm.decontaminate import decontaminated
 from gridloom.llm.langid import spoken
 from gridloom.llm.mixing import mixed
-from gridloom.llm.nearcopies import near_duplicates
+from gridloom.llm.nearcopies import deduplicated
 from gridloom.llm.sharding import shard
-from gridloom.llm.store import settle
+from gridloom.tables import settle
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, that with the least doc_id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

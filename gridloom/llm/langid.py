@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
+from ..tables import settle
+from . import rows as of_row
 from .hashing import groups_of_rows, mix, text_buffers
-from .store import settle
 
 ORDER = 4
 #: A part of the table has about so many 4-grams of all languages together; a symbol is not divided.
@@ -286,23 +287,14 @@ def _scored(rows: DataFrame, counts: DataFrame, part_grams: int) -> tuple[list[s
     return whole.langs, settle(each.groupBy("row").agg(*[F.first(c).alias(c) for c in others], total).drop("row"), "entropies")
 
 
-def identify(docs: DataFrame, part_grams: int = PART_GRAMS) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, rejected, entropy) for each row of ``docs`` (doc_id, text, lang).
-
-    Models learn from the rows with a lang whose crc32(doc_id as text) mod 4 is 0 or 1; those of remainder 3 calibrate
-    confidence and rejection; remainder 2 (and rows without a doc_id) are held out.  lang, source and doc_id are never
-    inputs of a prediction.  lang_pred is the language of the lowest cross-entropy per symbol (ties: first by name), ``und``
-    for a null text or one without a letter, or if nothing could be learned; score is its calibrated probability (``und``: 0).
-    rejected: ``und``, or worse than the language's own calibration documents by a wide margin, given the text's length.
-    Whole texts are used, of any length.  Rows that repeat are predicted alike.  An empty table gives an empty result.
-    """
+def _judged(docs: DataFrame, part_grams: int) -> DataFrame:
+    """What :func:`identify` gives, and mark, a hash of the text."""
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
-    rows = docs.select("doc_id", "text", "lang", F.coalesce(fold, F.lit(2)).cast("int").alias("fold"))
+    rows = docs.select("doc_id", of_row.mark().alias("mark"), "text", "lang", F.coalesce(fold, F.lit(2)).cast("int").alias("fold"))
     counts = gram_counts(rows.where("fold in (0, 1) and lang is not null"))
     counts = settle(counts, "grams")
     if counts.isEmpty():
-        none = rows.select("doc_id", (F.col("fold") == 2).alias("held_out"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("entropy"))
-        return none
+        return rows.select("doc_id", "mark", (F.col("fold") == 2).alias("held_out"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("entropy"))
     names, scored = _scored(rows, counts, part_grams)
     langs = F.array(*[F.lit(x) for x in names])
     least = F.array_min("e")
@@ -311,7 +303,7 @@ def identify(docs: DataFrame, part_grams: int = PART_GRAMS) -> DataFrame:
     loss = known.agg(*[F.avg(F.log(F.greatest(F.lit(1e-9), confidence(t) * F.exp((least - F.expr("e[int(right) - 1]")) * t)))).alias(str(k)) for k, t in enumerate(TEMPERATURES)]).first()
     heat = max(range(len(TEMPERATURES)), key=lambda k: (loss[k] is not None and loss[k], -k))
     pred = F.element_at(langs, F.array_position("e", least).cast("int"))
-    said = scored.select("doc_id", "fold", "n", "lang", pred.alias("pred"), least.alias("entropy"), confidence(TEMPERATURES[heat]).alias("score"))
+    said = scored.select("doc_id", "mark", "fold", "n", "lang", pred.alias("pred"), least.alias("entropy"), confidence(TEMPERATURES[heat]).alias("score"))
     right = said.where("fold = 3 and n > 0 and lang = pred")
     middle = right.groupBy("pred").agg(F.avg("entropy").alias("mean"))
     strain = lambda mean: (F.col("entropy") - mean) * F.sqrt(F.least(F.col("n"), F.lit(400)))
@@ -319,12 +311,25 @@ def identify(docs: DataFrame, part_grams: int = PART_GRAMS) -> DataFrame:
     out = said.join(F.broadcast(limits), "pred", "left")  # a row for each language
     letters = F.col("n") > 0
     return out.select(
-        "doc_id", (F.col("fold") == 2).alias("held_out"), F.when(letters, F.col("pred")).otherwise("und").alias("lang_pred"), F.when(letters, F.col("score")).otherwise(0.0).alias("score"),
+        "doc_id", "mark", (F.col("fold") == 2).alias("held_out"), F.when(letters, F.col("pred")).otherwise("und").alias("lang_pred"), F.when(letters, F.col("score")).otherwise(0.0).alias("score"),
         (~letters | F.coalesce(strain(F.col("mean")) > F.col("most"), F.lit(False))).alias("rejected"), F.when(letters, F.col("entropy")).alias("entropy"),
     )
 
 
-def spoken(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that :func:`identify` rejects; all columns stay.  Rows need a doc_id; those without one go."""
-    good = identify(docs, **options).where("not rejected").select("doc_id").distinct()
-    return docs.join(good, "doc_id", "left_semi").select(*docs.columns)
+def identify(docs: DataFrame, part_grams: int = PART_GRAMS) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score, rejected, entropy) for each row of ``docs`` (doc_id, text, lang).
+
+    Models learn from the rows with a lang whose crc32(doc_id as text) mod 4 is 0 or 1; those of remainder 3 calibrate
+    confidence and rejection; remainder 2 (and rows without a doc_id) are held out.  lang, source and doc_id are never
+    inputs of a prediction.  lang_pred is the language of the lowest cross-entropy per symbol (ties: first by name), ``und``
+    for a null text or one without a letter, or if nothing could be learned; score is its calibrated probability (``und``: 0).
+    rejected: ``und``, or worse than the language's own calibration documents by a wide margin, given the text's length.
+    Whole texts are used, of any length.  Rows that repeat are predicted alike.  An empty table gives an empty result.
+    """
+    return _judged(docs, part_grams).drop("mark")
+
+
+def spoken(docs: DataFrame, part_grams: int = PART_GRAMS) -> DataFrame:
+    """``docs`` without the rows that :func:`identify` rejects; all columns stay, and so do accepted rows without a doc_id and repeated ones."""
+    bad = _judged(docs, part_grams).where("rejected").select("doc_id", F.col("mark").alias("bad")).distinct()
+    return of_row.keyed(docs).join(bad, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("mark") == F.col("bad")), "left_anti").select("row.*")

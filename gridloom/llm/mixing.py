@@ -9,7 +9,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .store import settle
+from ..tables import settle
+from .rows import key, keyed
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: The dynamic programme has so many steps at most, of so many bits together; it starts so many documents before the budget is full.
@@ -132,7 +133,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` as the mix takes them, each as often as it is taken; all columns stay.  Rows need a doc_id of their own; rows without one are left out."""
-    times = mix(docs, **options).where("copies > 0").select("doc_id", F.col("copies").alias("__copies")).dropDuplicates(["doc_id"])
-    each = F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))
-    return docs.join(times, "doc_id").withColumn("__copies", each).select(*docs.columns)
+    """The rows of ``docs`` as the mix takes them, each as often as it is taken; all columns stay.
+
+    Rows without a doc_id are told apart by their texts; rows that repeat an id are each taken as often as the one of them that is taken most.
+    """
+    taken = mix(docs.select(key().alias("doc_id"), "source", "text"), **options).where("copies > 0")
+    times = taken.groupBy(F.col("doc_id").alias("key")).agg(F.max("copies").alias("copies"))
+    return keyed(docs).join(times, "key").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")

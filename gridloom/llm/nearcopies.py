@@ -26,11 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .graph import components
+from ..operators.components import components
+from ..tables import settle
+from . import rows as of_row
 from .hashing import as_unsigned, list_array, minima, mix, shingle_sets
-from .store import settle
 
 WORDS, COORDINATES, MATCHES = 5, 64, 30
 BLOCK_ROWS, BLOCK_SHINGLES, SLICE_ROWS = 512, 1 << 18, 2048
@@ -39,12 +40,12 @@ PIVOTS = 32
 
 
 def sketches(docs: DataFrame, size: int = COORDINATES) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2, sig): set size, two sums that identify the set, and its MinHash coordinates."""
+    """(doc_id, mark, n_shingles, s1, s2, sig): a hash of the text, set size, two sums that identify the set, and its MinHash coordinates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            for a, b, offs, hashes in shingle_sets(batch.column(1), WORDS):
+            ids, marks = batch.column(0), batch.column(1)
+            for a, b, offs, hashes in shingle_sets(batch.column(2), WORDS):
                 n = np.diff(offs)
                 some = n > 0
                 sums = np.zeros((2, b - a), np.uint64)
@@ -54,11 +55,11 @@ def sketches(docs: DataFrame, size: int = COORDINATES) -> DataFrame:
                             sums[k, some] = np.add.reduceat(x, offs[:-1][some])
                 sig = minima(offs, hashes, size)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), list_array(np.concatenate([[0], np.cumsum(some * size)]), sig.reshape(-1))],
-                    names=["doc_id", "n_shingles", "s1", "s2", "sig"],
+                    [ids.slice(a, b - a), marks.slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), list_array(np.concatenate([[0], np.cumsum(some * size)]), sig.reshape(-1))],
+                    names=["doc_id", "mark", "n_shingles", "s1", "s2", "sig"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, sig array<long>")
+    return docs.select(F.col("doc_id").cast("long"), of_row.mark().alias("mark"), F.col("text")).mapInArrow(run, "doc_id long, mark long, n_shingles long, s1 long, s2 long, sig array<long>")
 
 
 def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
@@ -184,14 +185,8 @@ def _links(rows: DataFrame, matches: int, percent: int) -> DataFrame:
     return held.repartition("home", "block", "slice").sortWithinPartitions("home", "block", "slice").mapInArrow(match, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, size: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of ``docs`` (doc_id, text; other columns are ignored).
-
-    Two documents are linked if ``100 * |intersection| >= percent * |union|`` of their shingle sets; component_id is the
-    least doc_id that links reach.  A null, empty or wordless text has no shingles and is linked with nothing.  Rows that
-    repeat a doc_id count as one document; a row whose doc_id is null gets the component of its text (null where no
-    other text is linked) and is never kept.  An empty table gives an empty result.  Texts are used whole.
-    """
+def _judged(docs: DataFrame, percent: int, size: int, matches: int) -> DataFrame:
+    """What :func:`near_duplicates` gives, and mark, a hash of the text."""
     docs = docs.select("doc_id", "text")
     sk = settle(sketches(docs, size), "sketches")
     key = ["s1", "s2", "n_shingles"]
@@ -202,6 +197,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = COORDINATES,
     sizes = visits.groupBy("home").agg(F.count_if("dwells").alias("n"), F.sum(F.when(F.col("dwells"), F.col("n_shingles")).otherwise(0)).alias("s"), F.count("*").alias("v"))
     sizes = settle(sizes.where("v > 1"), "homes")
     texts = docs.where("doc_id is not null").withColumnRenamed("doc_id", "rep")
+    if not sk.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():  # else each repetition of a row would be compared
+        alike = ["rep", of_row.mark()]
+        texts = texts.withColumn("rank", F.row_number().over(W.partitionBy(*alike).orderBy("rep"))).where("rank = 1").drop("rank")
 
     def linked(dealt: DataFrame) -> DataFrame:
         return _links(dealt.join(classes.select("rep", "sig"), "rep").join(texts, "rep"), matches, percent)
@@ -219,6 +217,30 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = COORDINATES,
     found = linked(_dealt(inner, visits, left))
     reached = components(found if links is None else found.union(links)).withColumnRenamed("node", "rep")
     of_class = classes.select(*key, "rep").join(reached, "rep", "left").select(*key, F.coalesce("component", "rep").alias("component_id"))
-    out = sk.select("doc_id", *key).join(of_class, key, "left")
+    out = sk.select("doc_id", "mark", *key).join(of_class, key, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    return out.select("doc_id", "mark", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75, size: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for each row of ``docs`` (doc_id, text; other columns are ignored).
+
+    Two documents are linked if ``100 * |intersection| >= percent * |union|`` of their shingle sets; component_id is the
+    least doc_id that links reach.  A null, empty or wordless text has no shingles and is linked with nothing.  Rows that
+    repeat a doc_id count as one document; a row whose doc_id is null gets the component of its text (null where no
+    other text is linked) and is never kept.  An empty table gives an empty result.  Texts are used whole.
+    """
+    return _judged(docs, percent, size, matches).drop("mark")
+
+
+def deduplicated(docs: DataFrame, percent: int = 75, size: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
+    """``docs`` with one document of each group of near copies, that with the least doc_id; all columns stay.
+
+    A row without a doc_id is a document known by its text and comes after all that have one: it goes if another document
+    is its near copy, else it stays.  Of rows that repeat a doc_id and text one stays, whichever; the others are left out in
+    the tasks that read them, so that a row repeated very often is not gathered in one.  A document without words has no copies.
+    """
+    same = ["key", "mark"]
+    kept = _judged(docs.select(of_row.key().alias("doc_id"), "text"), percent, size, matches).where("kept").select(F.col("doc_id").alias("key"), "mark").distinct()
+    once = of_row.keyed(docs).withColumn("rank", F.row_number().over(W.partitionBy(*same).orderBy("mark"))).where("rank = 1")
+    return once.join(kept, same, "left_semi").select("row.*")

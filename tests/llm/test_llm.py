@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.llm import decontaminate, graph, langid, licenses, media, mixing, nearcopies, quality, sharding, urlfilter, warc
+from gridloom.llm import decontaminate, langid, licenses, media, mixing, nearcopies, quality, sharding, urlfilter, warc
 
 DATA = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size string, shard string, copies string, n string, rep string, x string, u string, home string, bucket string"
@@ -107,17 +107,6 @@ def test_pivots(spark, monkeypatch):
     assert used
 
 
-def test_components(spark):
-    rng = np.random.default_rng(1)
-    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (250, 2))] + [(400 + k, 401 + k) for k in range(60)]
-    label = {k: k for p in pairs for k in p}
-    for _ in range(len(label)):
-        for a, b in pairs:
-            label[a] = label[b] = min(label[a], label[b])
-    got = {r.node: r.component for r in graph.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
-    assert got == {k: v for k, v in label.items() if any(a != b and k in (a, b) for a, b in pairs)}
-
-
 def test_contained_items(spark):
     item = " ".join(f"i{k}" for k in range(60))
     docs = [(1, "start " * 3000 + item.upper() + " end" * 2000), (2, item.replace("i30 ", "z ")), (3, " ".join(item.split()[:30])), (4, None), (5, ""), (6, "short item"), (None, item), (1, "again " + item)]
@@ -262,6 +251,20 @@ def test_warc_long_url(spark):
     assert got == [(k, u, len(h), "revisit" if k in (5, 7) else "response", 2 if k in (5, 7) else None) for k, u, h in pages]
 
 
+def test_warc_files_are_bounded(spark, tmp_path, monkeypatch):
+    """A run of records far above the mean, and one above every bound: no file is larger than four times the bytes or one record."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    monkeypatch.setattr(warc, "FEWER", 4)
+    sizes = [50] * 400 + [3000] * 60 + [30_000] * 8 + [200_000] + [3000] * 5
+    pages = [(k, f"http://a/{k}", chr(97 + k % 26) * n if k % 3 else "same " * (n // 5)) for k, n in enumerate(sizes)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    warc.write_archive(df, str(tmp_path / "w"))
+    files = [f.stat().st_size for f in (tmp_path / "w").glob("part-*")]
+    assert sum(n > 80_000 for n in files) == 1 and max(files) < 201_000 and len(files) < 80
+    got = {r.page_id: r.payload_digest for r in warc.read_archive(str(tmp_path / "w"), spark).collect()}
+    assert got == {k: hashlib.sha256(h.encode()).hexdigest() for k, _, h in pages}
+
+
 def test_warc_broken_chain(spark, tmp_path):
     record = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     (tmp_path / "part-0").write_bytes(record % 1 + record % 2)
@@ -374,6 +377,63 @@ def test_license_notices(spark):
     assert by_name == got  # letter case and other lines do not matter
 
 
+def test_size_classes_of_items(spark):
+    """Items of each size class, at the bound of containment and just below it, inside long documents."""
+    rng = np.random.default_rng(9)
+    docs, items = [], []
+    for k in range(90):
+        n = int(2 ** rng.uniform(2.4, 11))
+        item = [f"i{k}w{j}" for j in range(n)]
+        items.append((k, " ".join(item)))
+        for part in (0.74, 0.76, 1.0):
+            kept = item[: int((n - 4) * part) + 4]
+            docs.append((len(docs), " ".join([f"x{rng.integers(10**6)}" for _ in range(3000)] + kept + ["end"] * 50)))
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.shared for r in decontaminate.contained_items(d, i).collect()}
+    sets = {b: shingles(s) for b, s in items}
+    want = {(a, a // 3): n for a, t in docs if 4 * (n := len(shingles(t) & sets[a // 3])) >= 3 * len(sets[a // 3])}
+    assert got == want and len(want) > 100  # two of three documents, but for the smallest items
+    assert [decontaminate.coordinates(c) for c in (0, 3, 4, 5, 10)] == [0, 0, 40, 48, 88] and decontaminate.matches(5, 75) < decontaminate.matches(5, 90) < decontaminate.matches(9, 90)
+
+
+def test_stages_on_odd_rows(spark):
+    """Rows without an id, repeated rows, ties, clashing names and empty tables in every stage; clean rows stay."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(2)
+    book = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null and length(text) > 300").orderBy("doc_id").limit(120).collect()
+    clean = [(r.doc_id, r.text, r.lang, r.source) for r in book]
+    own = " ".join(rng.choice(book[0].text.split(), 300))
+    near = own.split()
+    near[7] = "another"
+    item = next(r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").orderBy("item_id").collect() if len(r.text.split()) > 12)
+    lang = book[0].lang
+    odd = [(None, own, lang, None), (None, own, None, "s"), (None, " ".join(near), lang, "s"), clean[3], clean[3], (None, clean[5][1], lang, "s"), (None, " ".join([*own.split()[::2], item]), lang, "s"), (None, None, None, None), (None, "", None, None), (10**6, "12 %", None, None)]
+    extra = ("q",) * 7
+    schema = "doc_id long, text string, lang string, source string, row string, key string, mark string, rank string, copies string, rejected string, kept string"
+    docs = spark.createDataFrame([(*r, *extra) for r in clean + odd], schema)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, DATA)
+        assert name == "sharding" or out.columns == docs.columns, name
+        assert stage(spark, docs.limit(0), DATA).count() == 0, name
+        rows = out.collect()
+        texts = collections.Counter(r.text for r in rows) if name != "sharding" else {}
+        if name == "language_id":
+            assert texts[own] == 2 and texts[clean[3][1]] == 3 and None not in texts and "12 %" not in texts
+        if name == "near_dedup":
+            assert texts[own] + texts[" ".join(near)] == 1 and texts[clean[3][1]] == 1 == texts[clean[5][1]]
+            ids = [r.doc_id for r in rows]
+            assert clean[5][0] in ids and sum(k is None for k in ids) == 2
+        if name == "decontamination":
+            assert not any(item in t for t in texts) and sum(r.doc_id is None for r in rows) == 1
+        if name == "mixing":
+            assert rows and all(n >= 1 for n in texts.values())
+        if name == "sharding":
+            assert len(rows) == len(before)
+        before = rows
+        docs = spark.createDataFrame(rows, out.schema)
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
