@@ -1,12 +1,13 @@
 """Geometry on closed-form shapes, rules of the query layer, and failure cases."""
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from gridloom import plans, registry, sinks, sources
 from gridloom.functions import albers, decile, on_lattice, pad_id
-from gridloom.operators import aggregate, checks, crosswalk, query, spatial
+from gridloom.operators import aggregate, checks, components, crosswalk, query, spatial
 
 
 def cells(spark, xs, ys):
@@ -105,6 +106,17 @@ def test_arcs_are_cut_at_junctions(spark):
     assert got == [("a", 4, False), ("a|b", 2, False), ("a|c", 3, False), ("b", 4, False), ("b|c", 2, False), ("c", 2, False), ("d", 5, True), ("e", 5, True), ("e", 5, True)]
 
 
+def test_components(spark):
+    rng = np.random.default_rng(1)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (250, 2))] + [(400 + k, 401 + k) for k in range(60)]
+    label = {k: k for p in pairs for k in p}
+    for _ in range(len(label)):
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {k: v for k, v in label.items() if any(a != b and k in (a, b) for a, b in pairs)}
+
+
 def test_nearest_has_no_last_round(spark):
     """A point a million radii away is found; points without coordinates and tables without edges end the search."""
     points = spark.createDataFrame([("far", 4e4, 0.05), ("none", None, None)], "k string, x double, y double")
