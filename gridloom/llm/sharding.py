@@ -98,17 +98,17 @@ def _evened(nodes: DataFrame, shards: int, salt: int) -> DataFrame:
 
 
 def propagate(nodes: DataFrame, links: DataFrame, shards: int = 16, rounds: int = 8, slack: float = 0.01) -> DataFrame:
-    """(node, size, shard): nodes has node (unique long) and size, links a and b (nodes).  What the driver sees is bounded by the number of shards."""
+    """(node, size, shard): nodes has node (unique long) and size, links a and b (nodes).
+
+    All rounds are made whatever the input, so that the work follows the links.  What the driver sees is bounded by the number of shards.
+    """
     begun = _start(nodes.select("node", "size"), shards)
     ends = settle(links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a")), "ends")
     state = settle(begun.join(ends.select("node").distinct(), "node", "left_semi"), "linked")
     quota = sum(_loads(begun).values()) / shards * (1 + slack)
     for turn in range(rounds):
         state = settle(_wishes(state, ends), "wishes")
-        found = state.groupBy("shard").agg(F.sum("size").alias("s"), F.count("wish").alias("wishes")).collect()  # a row for each shard
-        if not sum(r.wishes for r in found):
-            break
-        state = _moved(state, {k: 0.0 for k in range(shards)} | {r.shard: float(r.s) for r in found}, quota, turn)
+        state = _moved(state, {k: 0.0 for k in range(shards)} | _loads(state), quota, turn)
     moved = state.select("node", F.col("shard").alias("now"))
     placed = begun.join(moved, "node", "left").select("node", "size", F.coalesce("now", "shard").cast("int").alias("shard"), F.col("now").isNotNull().alias("linked"))
     for salt in (0, 1):  # the second time only what the first leaves is moved
