@@ -61,9 +61,10 @@ def _moved(state: DataFrame, loads: dict[int, float], quota: float, turn: int) -
     """state after this turn, as far as the quotas admit wishes: in the first turn of the nodes that do not lead, later of a random half, lest neighbours swap for ever."""
     may = _bucket(2, 2, turn) == 0 if turn else ~F.col("leads")
     asks = F.col("wish").isNotNull() & may
-    go = _admitted(state.where(asks), loads, quota, turn).withColumn("goes", F.lit(True))
-    held = state.withColumn("bucket", _bucket(PAIR, 3, turn)).join(F.broadcast(go), ["shard", "wish", "bucket"], "left")
-    return held.select("node", "size", F.when(asks & F.col("goes"), F.col("wish")).otherwise(F.col("shard")).alias("shard"))
+    asking, other = state.where(asks), state.where(~asks)  # only what asks is joined
+    go = _admitted(asking, loads, quota, turn).withColumn("goes", F.lit(True))
+    went = asking.withColumn("bucket", _bucket(PAIR, 3, turn)).join(F.broadcast(go), ["shard", "wish", "bucket"], "left")
+    return went.select("node", "size", F.when(F.col("goes"), F.col("wish")).otherwise(F.col("shard")).alias("shard")).union(other.select("node", "size", "shard"))
 
 
 def _loads(nodes: DataFrame) -> dict[int, float]:
