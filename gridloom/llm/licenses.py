@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..tables import settle
+
 #: Fixed values: (licence, its title, its SPDX identifier).
 LICENCES = (
     ("AGPL", "GNU Affero General Public License", "AGPL-3.0"),
@@ -65,11 +67,11 @@ def classify(files: DataFrame, templates: DataFrame, least: float = LEAST) -> Da
     Each line of the whole text with a licence marker is a notice.  Distinct notices (digits out) are scored once however
     many files carry them: the greatest cosine of the notice's TF-IDF vector with those of a licence's templates, terms
     weighed by the templates' idf, stop words left out.  A file has the licence of its best notice at ``least`` or above;
-    ties go to the first name.
+    ties go to the first name.  The notices are written to a table, so that texts are read and searched once.
     """
     lines = F.filter(F.split("text", r"\r\n|\n|\r"), lambda x: x.rlike(MARKERS))
     notice = F.array_distinct(F.transform(lines, lambda x: F.lower(F.trim(F.regexp_replace(x, "[0-9]+", "")))))
-    noted = files.where(F.col("text").rlike(MARKERS)).select("file_id", F.explode(notice).alias("notice"))
+    noted = settle(files.where(F.col("text").rlike(MARKERS)).select("file_id", F.explode(notice).alias("notice")), "notices")
     weights = template_weights(templates)
     distinct = noted.select("notice").distinct()
     idf = F.log((F.lit(1.0) + F.col("k")) / (F.lit(1.0) + F.coalesce("df", F.lit(0)))) + 1.0
