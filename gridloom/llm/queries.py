@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import licenses, urlfilter
+from .bands import quality_rules
 from .decontaminate import contained_items
+from .fill_in_middle import fill_in_middle, restore
 from .langid import identify
 from .media import media_digest
 from .mixing import mix
 from .nearcopies import near_duplicates
+from .negatives import hard_negatives
 from .quality import score
 from .sharding import shard
 from .warc import round_trip
@@ -87,6 +90,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where vec_id is divisible by 7, the next label is taken: the contract's way to have labels that disagree with the vectors."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label")))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return restore(fill_in_middle(_table(spark, sf_dir, "documents")), texts=False)
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_decontamination": op2_decontamination,
@@ -98,6 +115,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 _SHINGLES = """
@@ -157,4 +177,20 @@ given AS (SELECT directory AS ancestor, licence AS given FROM placed WHERE is_li
 up AS (SELECT directory, ancestor, given FROM (SELECT DISTINCT directory FROM placed) d JOIN given ON d.directory = ancestor OR starts_with(d.directory, ancestor || '/') QUALIFY row_number() OVER (PARTITION BY directory ORDER BY length(ancestor) DESC) = 1)
 SELECT doc_id, placed.directory, licence AS own, score, coalesce(licence, given) AS licence, CASE WHEN licence IS NULL THEN ancestor END AS inherited_from
 FROM placed LEFT JOIN up ON up.directory = placed.directory""",
+    "op11_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) <= 3""",
+    "op12_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+k AS (SELECT *, len(u) AS n, [('0x' || h[1 + 8 * i:8 + 8 * i])::BIGINT for i in range(4)] AS r FROM d),
+c AS (SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 100 THEN 'plain' WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+      least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b FROM k),
+t AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:n], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM t""",
 }
