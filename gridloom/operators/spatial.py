@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions import lattice
 from ..tables import settle
-from .components import components
 
 _UP = ("case when y1 <= y2 then x1 else x2 end as x1", "least(y1, y2) as y1", "case when y1 <= y2 then x2 else x1 end as x2", "greatest(y1, y2) as y2")
 
@@ -138,76 +136,3 @@ def unit_boxes(vertices: DataFrame) -> DataFrame:
     """Bounding box of each unit; one wider than 180 degrees crosses the antimeridian."""
     box = vertices.groupBy("geo_id").agg(F.min("x").alias("west"), F.min("y").alias("south"), F.max("x").alias("east"), F.max("y").alias("north"))
     return box.withColumn("wraps", F.col("east") - F.col("west") > 180)
-
-
-def _douglas_peucker(points: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
-    keep, stack = {0, len(points) - 1}, [(0, len(points) - 1)]
-    while stack:
-        a, b = stack.pop()
-        (ax, ay), (bx, by) = points[a], points[b]
-        dx, dy = bx - ax, by - ay
-        norm, far, at = (dx * dx + dy * dy) ** 0.5, tolerance, None
-        for k in range(a + 1, b):
-            px, py = points[k][0] - ax, points[k][1] - ay
-            d = abs(px * dy - py * dx) / norm if norm else (px * px + py * py) ** 0.5
-            if d > far:
-                far, at = d, k
-        if at is not None:
-            keep.add(at)
-            stack += [(a, at), (at, b)]
-    return [points[k] for k in sorted(keep)]
-
-
-def _chain(pdf: pd.DataFrame) -> list[tuple[float, float]]:
-    """The points of one arc in order, from an end or junction, or where it is a ring without one from its least point."""
-    beside: dict[tuple, set] = {}
-    joints = set()
-    for x1, y1, x2, y2, ja, jb in zip(pdf.x1, pdf.y1, pdf.x2, pdf.y2, pdf.ja, pdf.jb):
-        beside.setdefault((x1, y1), set()).add((x2, y2))
-        beside.setdefault((x2, y2), set()).add((x1, y1))
-        joints |= {p for p, j in (((x1, y1), ja), ((x2, y2), jb)) if j}
-    joints |= {p for p, q in beside.items() if len(q) != 2}
-    chain = [min(joints or beside)]
-    while beside[chain[-1]]:
-        nxt = min(beside[chain[-1]])
-        beside[chain[-1]].discard(nxt)
-        beside[nxt].discard(chain[-1])
-        chain.append(nxt)
-    return chain
-
-
-def arcs_of(edges: DataFrame) -> DataFrame:
-    """(units, arc, x1, y1, x2, y2, ja, jb): each undirected edge once, with the units beside it and the arc it belongs to.
-
-    An arc is a run of edges beside the same units between junctions (points where other than two edges meet; ja and jb
-    mark them).  Two edges that meet at a point that is none are linked, and arcs are the components of these links, so
-    no task sees more of a border than is asked of it here: two edges at a point.
-    """
-    point = lambda k: F.struct(F.col(f"x{k}").alias("x"), F.col(f"y{k}").alias("y"))
-    one = edges.select("geo_id", F.least(point(1), point(2)).alias("a"), F.greatest(point(1), point(2)).alias("b"))
-    shared = one.groupBy("a", "b").agg(F.array_join(F.array_sort(F.collect_set("geo_id")), "|").alias("units"))
-    degree = shared.select(F.explode(F.array("a", "b")).alias("p")).groupBy("p").agg(F.count("*").alias("d"))
-    marked = shared.join(degree.select(F.col("p").alias("a"), (F.col("d") != 2).alias("ja")), "a").join(degree.select(F.col("p").alias("b"), (F.col("d") != 2).alias("jb")), "b")
-    flat = settle(marked.select("units", F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"), "ja", "jb", F.xxhash64("units", "a", "b").alias("edge")), "borders")
-    ends = flat.select("units", "edge", F.inline(F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y"), F.col(j).alias("j")) for x, y, j in (("x1", "y1", "ja"), ("x2", "y2", "jb"))])))
-    links = ends.where("not j").groupBy("units", "x", "y").agg(F.min("edge").alias("a"), F.max("edge").alias("b"), F.count("*").alias("n")).where("n = 2")
-    reached = components(links.select("a", "b")).withColumnsRenamed({"node": "edge", "component": "arc"})
-    return flat.join(reached, "edge", "left").withColumn("arc", F.coalesce("arc", "edge")).drop("edge")
-
-
-def simplify_arcs(edges: DataFrame, tolerance: float = 0.005) -> DataFrame:
-    """(units, arc, seq, x, y): borders simplified once for all units that share them, so that neighbours still agree.
-
-    Each arc (see :func:`arcs_of`) is thinned by Douglas-Peucker in a task of its own.
-    """
-
-    def thin(pdf: pd.DataFrame) -> pd.DataFrame:
-        chain = _chain(pdf)
-        if chain[0] == chain[-1] and len(chain) > 3:  # a ring: both halves are thinned, so that it stays a ring
-            mid = len(chain) // 2
-            kept = _douglas_peucker(chain[: mid + 1], tolerance)[:-1] + _douglas_peucker(chain[mid:], tolerance)
-        else:
-            kept = _douglas_peucker(chain, tolerance)
-        return pd.DataFrame([(pdf.units.iloc[0], pdf.arc.iloc[0], k, x, y) for k, (x, y) in enumerate(kept)], columns=["units", "arc", "seq", "x", "y"])
-
-    return arcs_of(edges).groupBy("units", "arc").applyInPandas(thin, "units string, arc long, seq int, x double, y double")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import fixtures as fx, plans, registry, sinks, sources
 from .functions import albers, default_measure
-from .operators import aggregate as agg, checks, crosswalk as cw, query as qy, spatial
+from .operators import aggregate as agg, checks, crosswalk as cw, query as qy, rings, spatial
 from .registry import CELL
 from .tables import work_path
 
@@ -85,6 +85,11 @@ def _catalog(spark, sf) -> DataFrame:
     return c.withColumn("preliminary", F.col("year") >= 1998)
 
 
+def _brands(spark, sf) -> DataFrame:
+    """(geo_id, target): parcels and the padded number of their brand."""
+    return sources.id_crosswalk(fx.brands(spark, sf)).select(F.col("parent_id").alias("geo_id"), F.col("child_id").alias("target"))
+
+
 def _id_map(spark) -> DataFrame:
     return sources.id_crosswalk(fx.id_map(spark))
 
@@ -196,9 +201,20 @@ def names_json(spark, sf):
     return sinks.lookup_json(names_build(spark, sf).select(F.lit("county").alias("geography"), "geo_id", "name"), "name")
 
 
-@register()
+@register(
+    """SELECT lpad(brand, cast((SELECT max(length(regexp_extract(p_brand, '[0-9]+'))) FROM part) AS int), '0') AS geo_id, sum(CASE WHEN p_size % 4 = 0 THEN 0.0625e0 - 0.00390625e0 ELSE 0.0625e0 END) AS area, count(*) AS bodies, count(*) FILTER (p_size % 4 <> 0) AS middles
+FROM (SELECT *, regexp_extract(p_brand, '[0-9]+') AS brand FROM part) GROUP BY 1"""
+)
 def boundaries_geojson(spark, sf):
-    return sinks.features_json(agg.without_territories(fx.vertices(spark)).join(fx.county(spark, sf).select("geo_id").distinct(), "geo_id", "left_semi"))
+    """Parcels merged by brand, thinned, made features and written as GeoJSON; read back, each unit's area and how many parcels' bodies and middles it covers."""
+    edges = rings.merged(rings.directed_edges(fx.parcels(spark, sf)), _brands(spark, sf))
+    path = _work(spark, "features")
+    sinks.features_json(rings.features(rings.simplified_edges(edges, 0.01))).select("json").write.text(path)
+    back = sources.boundary_edges(sources.read_boundaries(spark, path, "geo_id", "geo_id"))
+    area = back.groupBy("geo_id").agg((F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2).alias("area"))
+    spots = fx.parcels(spark, sf).where("ring = 0 and seq = 0").select("geo_id", "x", "y").select(F.col("geo_id").alias("parcel"), F.inline(F.array(*[F.struct(F.lit(n).alias("spot"), (F.col("x") + d).alias("x"), (F.col("y") + d).alias("y")) for n, d in (("body", 0.03125), ("middle", 0.09375))])))
+    held = spatial.parity_join(spots, back, ["parcel", "spot"], 0.25).groupBy("geo_id").agg(F.count_if(F.col("spot") == "body").alias("bodies"), F.count_if(F.col("spot") == "middle").alias("middles"))
+    return area.join(held, "geo_id")
 
 
 @register("SELECT race_ethnicity, label AS race_ethnicity_label, age_group, l2 AS age_group_label, value FROM (SELECT race_ethnicity, age_group, sum(n_noise) AS value FROM county GROUP BY ALL) JOIN (SELECT code AS race_ethnicity, label FROM dims WHERE dim = 'race_ethnicity') USING (race_ethnicity) JOIN (SELECT code AS age_group, label AS l2 FROM dims WHERE dim = 'age_group') USING (age_group)")
@@ -449,15 +465,41 @@ def dissolve_parent(spark, sf):
     return spatial.dissolve_by_parent(edges, sources.id_crosswalk(fx.brands(spark, sf)))
 
 
-@register()
-def simplify_arcs(spark, sf):
-    """Outlines of the populated cells of each unit, thinned: their corners are the squares' sides that no other cell of the unit shares."""
+def _outlines(spark, sf) -> DataFrame:
+    """Directed outlines of the populated cells of each unit: the squares' sides that no other cell of the unit shares."""
     cells = fx.county(spark, sf).select("geo_id", (F.col("grid_lon").cast("double")).alias("x"), F.col("grid_lat").cast("double").alias("y"))
     corner = lambda dx, dy: (F.round(F.col("x") + dx, 2), F.round(F.col("y") + dy, 2))
     ring = [corner(-0.005, -0.005), corner(0.005, -0.005), corner(0.005, 0.005), corner(-0.005, 0.005)]
     sides = F.array(*[F.struct(a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2")) for a, b in zip(ring, [*ring[1:], ring[0]])])
-    edges = spatial.dissolve(cells.select("geo_id", F.inline(sides)), cells.select("geo_id").distinct().withColumn("target", F.col("geo_id")))
-    return spatial.simplify_arcs(edges, 0.012)
+    return rings.net(cells.select("geo_id", F.inline(sides)))
+
+
+@register()
+def simplify_arcs(spark, sf):
+    return rings.simplified_arcs(_outlines(spark, sf), 0.012)
+
+
+@register(
+    """, b AS (SELECT geo_id, cast(round(cast(grid_lon AS double) * 1000) AS int) AS x, cast(round(cast(grid_lat AS double) * 1000) AS int) AS y FROM xw),
+e AS (SELECT geo_id, x - 5 AS x, y + s AS y, 'h' AS way FROM b, (VALUES (-5), (5)) t(s) UNION ALL SELECT geo_id, x + s, y - 5, 'v' FROM b, (VALUES (-5), (5)) t(s)),
+o AS (SELECT DISTINCT x, y, way FROM (SELECT geo_id, x, y, way FROM e GROUP BY ALL HAVING count(*) % 2 = 1))
+SELECT (SELECT count(*) FROM o) AS borders, true AS fewer, cast(0 AS bigint) AS beyond, cast(0 AS bigint) AS crossing, true AS area_kept FROM (SELECT 1)"""
+)
+def simplify_properties(spark, sf):
+    """Of the thinned outlines: borders before, whether fewer segments are left, dropped points beyond the tolerance, segments that cross others, and whether neighbours still fit together."""
+    edges, tolerance = _outlines(spark, sf), 0.012
+    lines, thin = rings.simplify(edges, tolerance)
+    segs = rings.segments(thin)
+    named = segs.select("arc", "piece", "seg", *[F.col(c).alias(f"s_{c}") for c in rings.ENDS])
+    at = thin.join(named, ["arc", "piece", "seg"]).withColumns({"dx": F.expr("s_x2 - s_x1"), "dy": F.expr("s_y2 - s_y1")})
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.expr("try_divide((x1 - s_x1) * dx + (y1 - s_y1) * dy, dx * dx + dy * dy)")))
+    off = F.hypot(F.col("x1") - F.col("s_x1") - F.coalesce(t, F.lit(0.0)) * F.col("dx"), F.col("y1") - F.col("s_y1") - F.coalesce(t, F.lit(0.0)) * F.col("dy"))
+    beyond, borders = at.agg(F.count_if(off > tolerance + 1e-9), F.count("*")).first()
+    whole = F.sum((F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2)
+    # what all units cover together is what the borders of one unit only enclose
+    outer = segs.join(lines.where("size(sides) = 1").select("arc").distinct(), "arc", "left_semi").agg(whole).first()[0]
+    kept = abs(outer - rings.simplified_edges(edges, tolerance).agg(whole).first()[0]) < 1e-6
+    return spark.createDataFrame([(borders, segs.count() < borders, beyond, rings.conflicts(segs).count(), kept)], "borders long, fewer boolean, beyond long, crossing long, area_kept boolean")
 
 
 @register("SELECT grid_lon, grid_lat, CASE geo_id WHEN '02001' THEN '01' ELSE substr(geo_id, 1, 2) END AS parent, geo_id AS child FROM xw WHERE geo_id = '02001'")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom import plans, registry, sinks, sources
 from gridloom.functions import albers, decile, on_lattice, pad_id
-from gridloom.operators import aggregate, checks, components, crosswalk, query, spatial
+from gridloom.operators import aggregate, checks, components, crosswalk, query, rings, spatial
 
 
 def cells(spark, xs, ys):
@@ -88,7 +88,7 @@ def test_second_year_with_other_cells(spark):
 def test_simplify_keeps_shared_borders(spark):
     wave = [(0.05 + 0.001 * (k % 2), k * 0.01) for k in range(11)]
     shapes = [("l", 0, 0, [(0, 0), *wave, (0, 0.1)]), ("r", 0, 0, [(0.1, 0), (0.1, 0.1), *wave[::-1]])]
-    rows = spatial.simplify_arcs(polygon(spark, shapes), 0.005).collect()
+    rows = rings.simplified_arcs(polygon(spark, shapes), 0.005).collect()
     shared = [(r.x, r.y) for r in rows if r.units == "l|r"]
     assert sorted(shared) == [(0.05, 0.0), (0.05, 0.1)]
 
@@ -100,7 +100,7 @@ def test_arcs_are_cut_at_junctions(spark):
         ("d", 0, 0, [(10, 0), (11, 0), (12, 1), (11, 1)]), ("e", 0, 0, [(20, 0), (21, 0), (21, 1), (20, 1)]), ("e", 1, 0, [(21, 1), (22, 1), (22, 2), (21, 2)]),
     ]
     lines = {}
-    for r in sorted(spatial.simplify_arcs(polygon(spark, shapes), 1e-9).collect()):
+    for r in sorted(rings.simplified_arcs(polygon(spark, shapes), 1e-9).collect()):
         lines.setdefault((r.units, r.arc), []).append((r.x, r.y))
     got = sorted((units, len(p), p[0] == p[-1]) for (units, _), p in lines.items())
     assert got == [("a", 4, False), ("a|b", 2, False), ("a|c", 3, False), ("b", 4, False), ("b|c", 2, False), ("c", 2, False), ("d", 5, True), ("e", 5, True), ("e", 5, True)]
