@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions import is_territory, lattice, millidegrees, on_lattice, percent
+from ..functions import is_territory, millidegrees, on_lattice, percent
 from ..registry import CELL, MEASURES, TERRITORIES
 
 COLUMNS = "check_id string, subject string, metric string, value double, expected double, status string"
@@ -44,10 +44,32 @@ def race_margins(source: DataFrame, by: list[str], tolerance: float) -> DataFram
     return m.withColumn("difference", F.abs(F.col("raw") - F.col("post"))).where(F.col("difference") > tolerance)
 
 
-def catalog_sizes(catalog: DataFrame, manifest: DataFrame) -> DataFrame:
-    """A4: an entry's file exists with the advertised bytes."""
-    j = catalog.join(manifest.select("path", F.col("bytes").alias("actual")), "path", "left")
-    return rows(j, "A4", F.col("path"), {"bytes": (F.col("actual"), F.col("bytes"))}, _fail(~F.col("actual").eqNullSafe(F.col("bytes"))))
+def source_manifest(wanted: DataFrame, found: DataFrame) -> DataFrame:
+    """A1: files and bytes of every (dataset, year) that is wanted, found: (dataset, year, files, bytes); one without files fails, the rest informs."""
+    j = wanted.select("dataset", "year").distinct().join(found, ["dataset", "year"], "left")
+    return rows(j, "A1", F.concat_ws("/", "dataset", "year"), {"files": (F.coalesce("files", F.lit(0)), None), "bytes": (F.coalesce("bytes", F.lit(0)), None)}, _fail(F.coalesce("files", F.lit(0)) == 0, "info"))
+
+
+def source_contract(columns: DataFrame, counts: DataFrame, low: int, high: int) -> DataFrame:
+    """A2: columns of every source (subject, status) that break the contract, and its rows (subject, rows) against their bounds."""
+    c = columns.groupBy("subject").agg(F.count_if(F.col("status") == "error").alias("violations"), F.count_if(F.col("status") == "warning").alias("warnings"))
+    j = c.join(counts, "subject", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    status = F.when((F.col("violations") > 0) | ~F.col("rows").between(low, high), "fail").when(F.col("warnings") > 0, "warn").otherwise("pass")
+    return rows(j, "A2", F.col("subject"), {"rows": (F.col("rows"), None), "violations": (F.col("violations"), F.lit(0)), "warnings": (F.col("warnings"), None)}, status)
+
+
+def catalog_sizes(catalog: DataFrame, manifest: DataFrame, subject: Column) -> DataFrame:
+    """A4: the files that the catalog advertises (path, bytes) exist with that many bytes; subject puts files together."""
+    j = catalog.withColumn("subject", subject).join(manifest.select("path", F.col("bytes").alias("actual")), "path", "left")
+    t = j.groupBy("subject").agg(F.count_if(F.col("actual").isNull()).alias("missing"), F.count_if(F.col("actual") != F.col("bytes")).alias("differing"))
+    return rows(t, "A4", F.col("subject"), {"missing": (F.col("missing"), F.lit(0)), "differing": (F.col("differing"), F.lit(0))}, _fail((F.col("missing") > 0) | (F.col("differing") > 0)))
+
+
+def catalog_checksums(catalog: DataFrame, checksums: DataFrame, subject: Column) -> DataFrame:
+    """A5: the bytes of the files that the catalog advertises (path, sha256) still have the digests of when they were written."""
+    j = catalog.withColumn("subject", subject).join(checksums.select("path", F.col("sha256").alias("actual")), "path", "left")
+    t = j.groupBy("subject").agg(F.count_if(~F.col("actual").eqNullSafe(F.col("sha256"))).alias("differing"))
+    return rows(t, "A5", F.col("subject"), {"differing": (F.col("differing"), F.lit(0))}, _fail(F.col("differing") > 0))
 
 
 def names_against_areas(names: DataFrame, areas: DataFrame, shown: int = 10) -> DataFrame:
@@ -148,7 +170,3 @@ def run_all(spark, checks: dict[str, Callable[[], DataFrame]]) -> DataFrame:
             found = spark.createDataFrame([(check_id, "check", type(e).__name__, None, None, "fail")], COLUMNS)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], COLUMNS)
-
-
-def lattice_of(crosswalk: DataFrame) -> DataFrame:
-    return crosswalk.withColumns({"row": lattice(F.col("grid_lat")), "col": lattice(F.col("grid_lon"))})

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..registry import CELL
-from .spatial import scanline_join, snap_nearest
+from ..tables import settle
+from .spatial import parity_join, scanline_join, snap_nearest
 
 
 def build(cells: DataFrame, edges: DataFrame, complete: bool, radius: float, plane=None) -> DataFrame:
@@ -61,7 +62,18 @@ def names(units: DataFrame, states: DataFrame, with_data: DataFrame | None, stat
     return out.select("geo_id", F.concat_ws(", ", F.coalesce("namelsad", "name"), "stusps").alias("name"))
 
 
-def layer_conflict(first: DataFrame, second: DataFrame, width: int) -> DataFrame:
-    """Cells whose unit in one layer does not begin with their unit in the other: (cell, parent, child)."""
+def layer_conflict(first: DataFrame, second: DataFrame, width: int, first_edges: DataFrame | None = None, second_edges: DataFrame | None = None) -> DataFrame:
+    """Cells whose unit in one layer does not begin with their unit in the other: (cell, parent, child).
+
+    With the edges of both layers (lon, lat) these cells are placed anew in each, and only those that lie inside a unit of
+    both, which still disagree, are a conflict of the layers; the others were moved by snapping or come from older boundaries.
+    """
     both = first.select(*CELL, F.col("geo_id").alias("parent")).join(second.select(*CELL, F.col("geo_id").alias("child")), CELL)
-    return both.where(F.substring("child", 1, width) != F.col("parent"))
+    differing = lambda df: df.where(F.substring("child", 1, width) != F.col("parent"))
+    odd = differing(both)
+    if first_edges is None or second_edges is None:
+        return odd
+    cells = settle(odd.select(*CELL, F.col("grid_lon").cast("double").alias("x"), F.col("grid_lat").cast("double").alias("y")), "offenders")
+    parent = parity_join(cells, first_edges, CELL).select(*CELL, F.col("geo_id").alias("parent"))
+    child = parity_join(cells, second_edges, CELL).select(*CELL, F.col("geo_id").alias("child"))
+    return differing(parent.join(child, CELL).where("parent is not null and child is not null"))

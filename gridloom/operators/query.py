@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import default_measure, percent
 from ..registry import DEFAULT_MEASURE, MEASURES, RAW_ABOVE
+from ..sinks import write_sorted
+from ..tables import settle
 
 SMALL, SHOWN, CLASSES = 100, 500, 7
 
@@ -60,7 +62,8 @@ def table_view(result: DataFrame, dims: list[str], values: DataFrame, names: Dat
     if names is not None:
         out = out.join(names, "geo_id", "left").withColumn("name", F.coalesce("name", "geo_id"))
     out = out.withColumn("is_small", F.abs("value") < SMALL)
-    order: list[Column] = [F.col(f"{d}_rank") for d in dims] + [F.desc("value")]
+    rest = [c for c in ("geo_id", *dims) if c in out.columns]  # so that the rows shown are the same each time
+    order: list[Column] = [x for d in dims for x in (F.col(f"{d}_rank"), F.asc_nulls_last(f"{d}_label"))] + [F.desc_nulls_last("value"), *rest]
     return out.orderBy(*order).limit(shown).drop(*[f"{d}_rank" for d in dims])
 
 
@@ -73,23 +76,49 @@ def export(result: DataFrame, dims: list[str], values: DataFrame) -> DataFrame:
     return result
 
 
-def quantile_breaks(values: DataFrame, n: int = CLASSES) -> DataFrame:
-    """(value) of the class breaks: the sorted value at index floor(i N / n) for i = 1 .. n - 1, once each; all distinct values if there are fewer than n.
+def at_ranks(values: DataFrame, ranks: list[int], bins: int = 1024) -> list[float]:
+    """The sorted values (finite doubles, column value) at these places, counted from 0, by histogram refinement.
 
-    Ranks come from range-dealt partitions: counts of value ranges first, then a rank inside the ranges that hold a break.
+    Each pass counts the values of ``bins`` equal parts of the ranges in question and goes on with the parts that hold a wanted
+    place, until a part has one value only.  All values are counted, at most ``bins`` counts for each place reach the
+    driver, and no value is sorted or moved.  A few passes do: each narrows a range a thousandfold.
     """
-    v = values.where("value is not null").select("value")
-    counts = v.groupBy("value").agg(F.count("*").alias("k"))
+    low, high = values.agg(F.min("value"), F.max("value")).first()
+    open_: dict[tuple[float, float], list[tuple[int, int]]] = {(low, high): [(k, r) for k, r in enumerate(ranks)]}  # range -> (which, place in it)
+    found: dict[int, float] = {}
+    while open_:
+        for (a, b), asked in list(open_.items()):
+            if a == b:
+                found |= {k: a for k, _ in asked}
+                del open_[a, b]
+        if not open_:
+            break
+        number, part = F.lit(None).cast("int"), F.lit(None).cast("double")
+        for n, (a, b) in enumerate(open_):
+            inside = F.col("value").between(a, b)
+            number = F.when(inside, n).otherwise(number)
+            part = F.when(inside, (F.col("value") / 2 - a / 2) / (b / 2 - a / 2)).otherwise(part)  # halves: a range may be wider than the greatest double
+        counted = values.select("value", number.alias("n"), F.least(F.floor(part * bins), F.lit(bins - 1)).alias("bin")).where("n is not null")
+        rows = counted.groupBy("n", "bin").agg(F.count("*").alias("k"), F.min("value").alias("a"), F.max("value").alias("b")).orderBy("n", "bin").collect()
+        narrowed: dict[tuple[float, float], list[tuple[int, int]]] = {}
+        for n, asked in enumerate(open_.values()):
+            before = 0
+            for r in (r for r in rows if r.n == n):
+                here = [(k, place - before) for k, place in asked if before <= place < before + r.k]
+                if here:
+                    narrowed.setdefault((r.a, r.b), []).extend(here)
+                before += r.k
+        open_ = narrowed
+    return [found[k] for k in range(len(ranks))]
+
+
+def quantile_breaks(values: DataFrame, n: int = CLASSES) -> DataFrame:
+    """(value) of the class breaks: the sorted value at index floor(i N / n) for i = 1 .. n - 1, once each; all distinct values if there are fewer than n."""
+    v = settle(values.where("value is not null").select(F.col("value").cast("double")), "values")
     total = v.count()
     if total < n:
-        return counts.select("value").orderBy("value")
-    parts = counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()).sortWithinPartitions("value")
-    before = parts.groupBy("part").agg(F.sum("k").alias("s")).withColumn("before", F.sum("s").over(W.orderBy("part")) - F.col("s")).drop("s")
-    last = F.sum("k").over(W.partitionBy("part").orderBy("value")) + F.col("before")
-    ranked = parts.join(F.broadcast(before), "part").withColumn("last", last)
-    wanted = F.array(*[F.lit(i * total // n) for i in range(1, n)])
-    held = ranked.where(F.exists(wanted, lambda i: (i < F.col("last")) & (i >= F.col("last") - F.col("k"))))
-    return held.select("value").distinct().orderBy("value")
+        return v.distinct().orderBy("value")
+    return values.sparkSession.createDataFrame([(x,) for x in sorted(set(at_ranks(v, [i * total // n for i in range(1, n)])))], "value double")
 
 
 def choropleth(values: DataFrame, breaks: DataFrame) -> DataFrame:
@@ -110,9 +139,42 @@ def default_year(years: DataFrame) -> DataFrame:
     return years.groupBy("dataset").agg(F.coalesce(F.max(F.when(~F.col("preliminary"), F.col("year"))), F.max("year")).alias("year"))
 
 
-def place_search(names: DataFrame, text: str, most: int = 8) -> DataFrame:
-    """Units (level_rank, geo_id, name) whose name contains the text or whose id begins with it; from two characters on; coarse levels first, then by name."""
-    if len(text.strip()) < 2:
-        return names.limit(0)
+def _grams(text: Column, size: int) -> Column:
+    """The distinct runs of ``size`` characters of a text."""
+    n = F.length(text) - size + 1
+    return F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(text, i, F.lit(size))))).otherwise(F.array().cast("array<string>"))
+
+
+def write_search_index(names: DataFrame, path: str) -> None:
+    """An inverted index of units (level_rank, geo_id, name): each under the runs of two and three characters of its name and the first two of its id.
+
+    ``postings`` is sorted by gram in small row groups, so that the units of one gram are read by equality; ``grams`` holds how many each has.
+    """
+    lower, ids = F.lower("name"), F.lower("geo_id")
+    grams = F.array_union(F.array_union(_grams(lower, 2), _grams(lower, 3)), F.when(F.length(ids) > 1, F.array(F.concat(F.lit("^"), F.substring(ids, 1, 2)))).otherwise(F.array().cast("array<string>")))
+    postings = names.where("geo_id is not null").select(F.explode(grams).alias("gram"), "level_rank", "geo_id", "name")
+    write_sorted(postings, f"{path}/postings", ["gram", "level_rank", "name", "geo_id"])
+    write_sorted(postings.groupBy("gram").agg(F.count("*").alias("units")), f"{path}/grams", ["gram"])
+
+
+def place_search(spark: SparkSession, path: str, text: str, most: int = 8, labels: dict[str, str] | None = None, in_all: int = 10) -> DataFrame:
+    """(kind, level_rank, geo_id, name) of what a text finds in an index: units whose name contains it or whose id begins with it, coarse levels first, then by name; then datasets whose label (labels: name -> label) contains it.
+
+    The text is trimmed and case does not count; it needs two characters.  Of its runs of three characters (of a text of
+    two: itself) the one with the fewest units is read, and those are held against the whole text.
+    """
     t = text.strip().lower()
-    return names.where(F.contains(F.lower("name"), F.lit(t)) | F.startswith(F.lower("geo_id"), F.lit(t))).orderBy("level_rank", "name", "geo_id").limit(most)
+    found = spark.createDataFrame([], "kind string, level_rank int, geo_id string, name string")
+    if len(t) < 2:
+        return found
+    size = min(len(t), 3)
+    grams = sorted({t[k : k + size] for k in range(len(t) - size + 1)})
+    counts = {r.gram: r.units for r in spark.read.parquet(f"{path}/grams").where(F.col("gram").isin(grams)).collect()}  # as many as the text has grams
+    asked = ["^" + t[:2], *([min(grams, key=lambda g: (counts[g], g))] if len(counts) == len(grams) else [])]
+    near = spark.read.parquet(f"{path}/postings").where(F.col("gram").isin(asked))
+    named = F.contains(F.lower("name"), F.lit(t)) | F.startswith(F.lower("geo_id"), F.lit(t))
+    places = near.where(named).select("level_rank", "geo_id", "name").distinct().orderBy("level_rank", "name", "geo_id").limit(most)
+    found = places.select(F.lit("place").alias("kind"), "level_rank", "geo_id", "name")
+    fit = [("dataset", None, name, label) for name, label in (labels or {}).items() if t in label.lower()]
+    both = found.unionByName(spark.createDataFrame(fit, found.schema)) if fit else found
+    return both.orderBy(F.desc("kind"), F.asc_nulls_last("level_rank"), "name", "geo_id").limit(in_all)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..tables import settle
 from .chains import ranked
+from .spatial import tiled
 
 ENDS = ["x1", "y1", "x2", "y2"]
 #: Points of an arc that one task thins at a time; the points between pieces stay.
@@ -112,18 +113,6 @@ def segments(edges: DataFrame) -> DataFrame:
     return s.select("arc", "piece", "seg", "n", F.col("a.x1").alias("x1"), F.col("a.y1").alias("y1"), F.col("b.x2").alias("x2"), F.col("b.y2").alias("y2"))
 
 
-def tiled(segs: DataFrame, side: float) -> DataFrame:
-    """Segments in every tile (tx, ty) that they pass: row by row the columns between where they enter and leave it."""
-    row = lambda c: F.floor(F.col(c) / side).cast("long")
-    rows = segs.withColumn("ty", F.explode(F.sequence(F.least(row("y1"), row("y2")), F.greatest(row("y1"), row("y2")))))
-    at = lambda edge: F.greatest(F.lit(0.0), F.least(F.lit(1.0), (edge - F.col("y1")) / (F.col("y2") - F.col("y1"))))
-    flat = F.col("y1") == F.col("y2")
-    x = [F.when(flat, F.col(f"x{k + 1}")).otherwise(F.col("x1") + at((F.col("ty") + k) * side) * (F.col("x2") - F.col("x1"))) for k in (0, 1)]
-    pad = 1e-9
-    column = lambda v: F.floor(v / side).cast("long")
-    return rows.withColumn("tx", F.explode(F.sequence(column(F.least(*x) - pad), column(F.greatest(*x) + pad))))
-
-
 def _turn(a: str, b: str, c: str) -> Column:
     """Side of c from the line a b: 1 left, -1 right, 0 on it but for rounding; names are prefixes of x and y."""
     dx, dy, px, py = F.col(f"{b}x") - F.col(f"{a}x"), F.col(f"{b}y") - F.col(f"{a}y"), F.col(f"{c}x") - F.col(f"{a}x"), F.col(f"{c}y") - F.col(f"{a}y")

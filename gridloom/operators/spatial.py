@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions import lattice
@@ -46,17 +44,79 @@ def scanline_join(cells: DataFrame, edges: DataFrame) -> DataFrame:
     return keyed.join(one, ["row", "col"], "left").drop("row", "col")
 
 
-def parity_join(points: DataFrame, edges: DataFrame, keys: list[str], height: float = 0.01) -> DataFrame:
-    """points (keys, x, y) with the geo_id that holds them (null: none), by the parity of crossings to the right.
+def tiled(segs: DataFrame, side: float, shift: float = 0.0) -> DataFrame:
+    """Segments in every tile (tx, ty) that they pass: row by row the columns between where they enter and leave it.  Tiles begin at multiples of ``side`` less ``shift``."""
+    number = lambda v: F.floor((v + shift) / side).cast("long")
+    rows = segs.withColumn("ty", F.explode(F.sequence(number(F.least("y1", "y2")), number(F.greatest("y1", "y2")))))
+    at = lambda y: F.greatest(F.lit(0.0), F.least(F.lit(1.0), (y - F.col("y1")) / (F.col("y2") - F.col("y1"))))
+    flat = F.col("y1") == F.col("y2")
+    x = [F.when(flat, F.col(f"x{k + 1}")).otherwise(F.col("x1") + at((F.col("ty") + k) * side - shift) * (F.col("x2") - F.col("x1"))) for k in (0, 1)]
+    pad = 1e-9 * side
+    return rows.withColumn("tx", F.explode(F.sequence(number(F.least(*x) - pad), number(F.greatest(*x) + pad))))
+
+
+#: Tiles begin off the multiples of their side, so that corners of tiles and points of grids don't lie on each other's lines.
+SHIFT = 0.3819660112501051
+DEEPEST = 40
 
-    Works for any coordinates; meant for few points, since candidates are the edges of a point's band, ``height`` high.
+
+def covering(edges: DataFrame, side: float) -> tuple[DataFrame, DataFrame]:
+    """(inner, border): a hierarchical covering of each unit by tiles.
+
+    border (geo_id, tx, ty, low_in, x1, y1, x2, y2): the edges of each tile that a unit's border passes, and whether its lower
+    right corner lies inside.  inner (geo_id, ty, level, part): tiles inside, put together along a row to the largest runs of
+    2 ** level tiles that begin at a multiple of it; a unit has a few runs in each row however wide it is.
+    """
+    shift = side * SHIFT
+    passed = settle(tiled(edges, side, shift), "border")
+    tiles = passed.select("geo_id", "tx", "ty").distinct()
+    # crossings of the rows' lower lines, by tile: how many lie to the right of a tile tells whether its corner is inside
+    row = lambda y: F.ceil((F.col(y) + shift) / side).cast("long")
+    spans = _upward(edges).withColumns({"a": row("y1"), "b": row("y2") - 1}).where("a <= b")
+    lines = spans.select("geo_id", "x1", "y1", "x2", "y2", F.explode(F.sequence("a", "b")).alias("ty"))
+    at = F.col("ty") * side - shift
+    hits = lines.select("geo_id", "ty", F.floor((_crossing(at) + shift) / side).cast("long").alias("tx")).groupBy("geo_id", "ty", "tx").agg(F.count("*").alias("n"))
+    along = W.partitionBy("geo_id", "ty").orderBy("tx")
+    beyond = F.coalesce(F.sum(F.coalesce("n", F.lit(0))).over(W.partitionBy("geo_id", "ty").orderBy(F.desc("tx")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    marked = tiles.join(hits, ["geo_id", "ty", "tx"], "full_outer").withColumn("low_in", beyond % 2 == 1)
+    marked = settle(marked.select("geo_id", "tx", "ty", "low_in", (F.lead("tx").over(along) - 1).alias("until")), "corners")
+    runs = marked.where("low_in and until > tx").select("geo_id", "ty", (F.col("tx") + 1).alias("a"), F.col("until").alias("b"))
+    span = lambda k: F.shiftleft(F.lit(1).cast("long"), k)
+    levels = runs.withColumn("level", F.explode(F.sequence(F.lit(0), F.least(F.lit(DEEPEST), F.floor(F.log2(F.col("b") - F.col("a") + 1)).cast("int")))))
+    first, last = F.ceil(F.col("a") / F.expr("shiftleft(1L, level)")).cast("long"), (F.floor((F.col("b") + 1) / F.expr("shiftleft(1L, level)")) - 1).cast("long")
+    ends = levels.withColumns({"p": first, "q": last}).where("p <= q").select("*", F.explode(F.array_distinct(F.array("p", "q"))).alias("part"))
+    whole = F.expr("shiftleft(shiftright(part, 1), level + 1) >= a and shiftleft(shiftright(part, 1) + 1, level + 1) - 1 <= b")  # the run twice as long is inside too
+    inner = ends.where(~whole).select("geo_id", "ty", "level", "part")
+    return inner, passed.join(marked.select("geo_id", "tx", "ty", "low_in"), ["geo_id", "tx", "ty"])
+
+
+def parity_join(points: DataFrame, edges: DataFrame, keys: list[str], side: float | None = None) -> DataFrame:
+    """points (keys, x, y) with the geo_id that holds them (null: none; of several the least), at any coordinates.
+
+    By a :func:`covering`: a point in a tile inside a unit meets none of its edges, and one in a border tile only the edges of
+    that tile: from the tile's lower right corner up along its right side, then left to the point, every edge that is
+    crossed changes inside and outside.  The last part is the crossing rule of the scanlines: left and lower borders are in.
+    side: of the tiles; by default four times the mean of the edges' lengths.
     """
-    band = lambda y: F.floor(F.col(y) / height).cast("long")
-    up = _upward(edges)
-    lines = up.select("*", F.explode(F.sequence(band("y1"), band("y2"))).alias("band"))
-    met = points.withColumn("band", band("y")).join(lines, "band").where((F.col("y1") <= F.col("y")) & (F.col("y2") > F.col("y")) & (F.col("x") < _crossing(F.col("y"))))
-    inside = met.groupBy(*keys, "geo_id").agg(F.count("*").alias("n")).where("n % 2 = 1").groupBy(*keys).agg(F.min("geo_id").alias("geo_id"))
-    return points.join(inside, keys, "left")
+    edges = edges.where("x1 <> x2 or y1 <> y2")
+    side = side or 4 * (edges.agg(F.avg(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")))).first()[0] or 1.0)
+    shift = side * SHIFT
+    inner, border = covering(edges, side)
+    number = lambda v: F.floor((F.col(v) + shift) / side).cast("long")
+    placed = points.select(*keys, "x", "y", number("x").alias("tx"), number("y").alias("ty"))
+    deepest = inner.agg(F.max("level")).first()[0]
+    runs = placed.select(*keys, "ty", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(deepest or 0)), lambda k: F.call_function("shiftright", F.col("tx"), k))).alias("level", "part"))
+    inside = runs.join(inner, ["ty", "level", "part"]).select(*keys, "geo_id")
+    up = "(case when y1 <= y2 then x1 else x2 end) + try_divide((y - least(y1, y2)) * (case when y1 <= y2 then x2 - x1 else x1 - x2 end), abs(y2 - y1))"
+    right, low = (F.col("tx") + 1) * side - shift, F.col("ty") * side - shift
+    met = placed.join(border, ["tx", "ty"]).withColumns({"right": right, "low": low})
+    level = F.expr("least(y1, y2) <= y and y < greatest(y1, y2)") & (F.col("x") < F.expr(up)) & (F.expr(up) < F.col("right"))
+    climb = F.expr("y1 + try_divide((right - x1) * (y2 - y1), x2 - x1)")
+    side_cut = F.expr("least(x1, x2) <= right and right < greatest(x1, x2)") & (climb >= F.col("low")) & (climb < F.col("y"))
+    crossed = F.when(level, 1).otherwise(0) + F.when(side_cut, 1).otherwise(0)
+    near = met.groupBy(*keys, "geo_id").agg(((F.sum(crossed) + F.max(F.col("low_in").cast("int"))) % 2).alias("odd")).where("odd = 1").select(*keys, "geo_id")
+    best = inside.unionByName(near).groupBy(*keys).agg(F.min("geo_id").alias("geo_id"))
+    return points.join(best, keys, "left")
 
 
 def _distance() -> F.Column:
@@ -81,42 +141,54 @@ def snap_nearest(points: DataFrame, edges: DataFrame, keys: list[str], radius: f
     return best.select(*keys, F.col("m.geo_id").alias("geo_id"), F.col("m.d").alias("distance"))
 
 
-def _reach(points: DataFrame, edges: DataFrame) -> float:
-    """No point is farther from an edge than this: the diagonal of the box around both; 0 where one of them is empty."""
-    sides = lambda *columns: [f(c) for c in columns for f in (F.min, F.max)]
-    p = points.agg(*sides("x", "y")).first()
-    e = edges.agg(*sides(F.least("x1", "x2"), F.least("y1", "y2"), F.greatest("x1", "x2"), F.greatest("y1", "y2"))).first()
-    if p[0] is None or p[2] is None or e[0] is None:
-        return 0.0
-    width, height = (max(p[k + 1], e[k + 5]) - min(p[k], e[k]) for k in (0, 2))
-    return (width * width + height * height) ** 0.5 * 1.000001
+def nearest(points: DataFrame, edges: DataFrame, keys: list[str], side: float | None = None) -> DataFrame:
+    """(keys, geo_id, distance) of the nearest unit however far, ties to the least id.
 
-
-def nearest(points: DataFrame, edges: DataFrame, keys: list[str], start: float) -> DataFrame:
-    """(keys, geo_id, distance) of the nearest unit however far: the radius doubles for the points that are still without one.
-
-    Each round's result is written, so a round's plan does not hold the earlier ones; the last round's radius spans both
-    tables, so only points without coordinates, or all points where there is no edge, stay out.
+    Tiles that edges pass are put together to tiles of twice the side, and so on up to a few that hold all.  Points go down
+    from these: of the tiles still in question those are left whose nearest corner is no farther than the farthest corner of
+    any other, since an edge passes each of them.  At the bottom a point meets the edges of the tiles that are left, so
+    its distance and the number of edges elsewhere do not matter.  Only points without coordinates, or all points where
+    there is no edge, stay out.  side: of the smallest tiles; by default twice the mean of the edges' lengths.
     """
-    left, radius, found = settle(points.select(*keys, "x", "y"), "points"), start, []
-    most = _reach(left, edges)
-    while True:
-        found.append(settle(snap_nearest(left, edges, keys, radius), "nearest"))
-        if radius >= most:
-            return reduce(DataFrame.unionByName, found)
-        left, radius = settle(left.join(found[-1].select(*keys), keys, "left_anti"), "points"), radius * 2
-        if left.isEmpty():
-            return reduce(DataFrame.unionByName, found)
+    edges = edges.where("x1 <> x2 or y1 <> y2")
+    side = side or 2 * (edges.agg(F.avg(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")))).first()[0] or 1.0)
+    lines = settle(tiled(edges, side), "tiled")
+    tiles = settle(lines.select("tx", "ty").distinct(), "tiles")
+    ends = tiles.agg(F.min("tx"), F.max("tx"), F.min("ty"), F.max("ty")).first()
+    if ends[0] is None:
+        return points.where("false").select(*keys, F.lit(None).cast(edges.schema["geo_id"].dataType).alias("geo_id"), F.lit(None).cast("double").alias("distance"))
+    top = 0
+    while ((ends[1] >> top) - (ends[0] >> top) + 1) * ((ends[3] >> top) - (ends[2] >> top) + 1) > 4:
+        top += 1
+    at = lambda df, k: df.select(F.shiftright("tx", k).alias("tx"), F.shiftright("ty", k).alias("ty"))
+    roots = [F.struct(F.lit(r.tx).alias("tx"), F.lit(r.ty).alias("ty")) for r in at(tiles, top).distinct().collect()]  # four at most
+    asked = points.where("x is not null and y is not null").select(*keys, "x", "y", F.inline(F.array(*roots)))
+    for k in range(top - 1, -1, -1):
+        below = at(tiles, k).distinct().select(F.shiftright("tx", 1).alias("ux"), F.shiftright("ty", 1).alias("uy"), "tx", "ty")
+        met = asked.withColumnsRenamed({"tx": "ux", "ty": "uy"}).join(below, ["ux", "uy"])
+        box = side * 2**k
+        off = [(F.col(t) * box - F.col(c), F.col(c) - (F.col(t) + 1) * box) for t, c in (("tx", "x"), ("ty", "y"))]
+        least = F.hypot(*[F.greatest(F.lit(0.0), *o) for o in off])
+        most = F.hypot(*[F.greatest(F.abs(a), F.abs(b)) for a, b in off])
+        bound = met.groupBy(*keys, "x", "y").agg(F.min(most).alias("most"), F.collect_list(F.struct(least.alias("least"), "tx", "ty")).alias("t"))  # what four tiles each are left with
+        asked = settle(bound.select(*keys, "x", "y", "most", F.inline("t")).where("least <= most * (1 + 1e-9) + 1e-9").select(*keys, "x", "y", "tx", "ty"), "asked")
+    best = asked.join(lines, ["tx", "ty"]).withColumn("d", _distance()).groupBy(*keys).agg(F.min(F.struct("d", "geo_id")).alias("m"))
+    return best.select(*keys, F.col("m.geo_id").alias("geo_id"), F.col("m.d").alias("distance"))
 
 
 def adjudicate(points: DataFrame, edges: DataFrame, keys: list[str], radius: float) -> DataFrame:
     """(keys, distance, within): distance 0 inside a unit, else to the nearest; within tells whether snapping would reach it."""
-    held = settle(parity_join(points, edges, keys, radius), "held")
+    held = settle(parity_join(points, edges, keys), "held")
     inside = held.where("geo_id is not null").select(*keys, F.lit(0.0).alias("distance"))
-    outside = nearest(held.where("geo_id is null"), edges, keys, radius).select(*keys, "distance")
+    outside = nearest(held.where("geo_id is null"), edges, keys).select(*keys, "distance")
     return inside.unionByName(outside).withColumn("within", F.col("distance") <= radius)
 
 
+def adjudication(judged: DataFrame) -> DataFrame:
+    """(inside, outside, farthest): how many points snapping would reach, how many not, and the greatest distance of the former."""
+    return judged.agg(F.count_if("within").alias("inside"), F.count_if(~F.col("within")).alias("outside"), F.max(F.when(F.col("within"), F.col("distance"))).alias("farthest"))
+
+
 def dissolve(edges: DataFrame, target: DataFrame) -> DataFrame:
     """Outer edges of merged units: target maps geo_id to the unit it joins; an edge that two members share cancels out."""
     mapped = edges.join(target, "geo_id")

@@ -30,6 +30,22 @@ def build_plan(spark: SparkSession, datasets: list[str], levels: list[str], year
     return plan
 
 
+def due(state: DataFrame, ledger: DataFrame | None, version: str) -> DataFrame:
+    """(… of state, reason): wanted partitions that the ledger lacks or has from other inputs; what is current is left out.
+
+    state: (dataset, geography, year, and the fingerprint source_bytes, source_modified, crosswalk_digest) as things are; ledger: the
+    same as they were when a partition was built, and its pipeline_version.  reason: missing, version, source or crosswalk,
+    the first that holds.
+    """
+    if ledger is None:
+        return state.withColumn("reason", F.lit("missing"))
+    key, marks = ["dataset", "geography", "year"], ["source_bytes", "source_modified", "crosswalk_digest"]
+    was = ledger.select(*key, F.struct("pipeline_version", *marks).alias("was"))
+    changed = lambda c: ~F.col(c).eqNullSafe(F.col(f"was.{c}"))
+    reason = F.when(F.col("was").isNull(), "missing").when(~F.col("was.pipeline_version").eqNullSafe(F.lit(version)), "version").when(changed("source_bytes") | changed("source_modified"), "source").when(changed("crosswalk_digest"), "crosswalk")
+    return state.join(was, key, "left").withColumn("reason", reason).where("reason is not null").drop("was")
+
+
 def upsert(published: DataFrame, fresh: DataFrame, key: list[str]) -> DataFrame:
     """Published entries without those that ``fresh`` has anew, and all of ``fresh``."""
     return published.join(fresh.select(*key).distinct(), key, "left_anti").unionByName(fresh, allowMissingColumns=True)
@@ -42,8 +58,9 @@ def catalog_datasets(entries: DataFrame) -> DataFrame:
 
 
 def catalog_json(entries: DataFrame) -> DataFrame:
-    """(dataset, json): each dataset's entries as one JSON array in order of level and year."""
-    items = F.array_sort(F.collect_list(F.struct("geography", "year", "rows", F.round("total_raw", 1).alias("total_raw"), F.round("total_postprocessed", 1).alias("total_postprocessed"))))
+    """(dataset, json): each dataset's entries as one JSON array in order of level and year, with path, bytes and sha256 where the entries have them."""
+    more = [c for c in ("path", "bytes", "sha256", "preliminary", "geo_units") if c in entries.columns]
+    items = F.array_sort(F.collect_list(F.struct("geography", "year", "rows", F.round("total_raw", 1).alias("total_raw"), F.round("total_postprocessed", 1).alias("total_postprocessed"), *more)))
     return entries.groupBy("dataset").agg(F.to_json(items).alias("json"))
 
 

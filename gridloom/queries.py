@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fixtures as fx, plans, registry, sinks, sources
-from .functions import albers, default_measure
+from . import fixtures as fx, plans, registry, sinks, sources, store
+from .functions import albers
 from .operators import aggregate as agg, checks, crosswalk as cw, query as qy, rings, spatial
+from .plans import refresh
 from .registry import CELL
-from .tables import work_path
+from .tables import settle, work_path
 
 AGE = ["race_ethnicity", "age_group", "sex"]
 INCOME = ["race_ethnicity", "income_decile"]
@@ -65,6 +68,37 @@ def _county(spark, sf) -> DataFrame:
     return agg.aggregate(fx.grid(spark, sf), fx.county(spark, sf), AGE)
 
 
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _once(spark, sf, name, write) -> str:
+    """A folder that ``write`` filled, once for each session and input."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _WRITTEN:
+        path = _work(spark, name)
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+def _published(spark, sf) -> str:
+    """Partitions of the age, race and sex dataset by county, and all years of them together."""
+
+    def write(path):
+        store.write_partitions(_part(spark, sf).withColumns({"dataset": F.lit("ageracesex"), "geography": F.lit("county")}), f"{path}/data", AGE)
+        store.write_combined(store.scan(spark, f"{path}/data"), f"{path}/combined", AGE)
+
+    return _once(spark, sf, "published", write)
+
+
+def _partition(spark, sf, year=None) -> DataFrame:
+    return store.scan(spark, f"{_published(spark, sf)}/data", "ageracesex", "county", year)
+
+
+def _combined(spark, sf) -> DataFrame:
+    return store.scan(spark, f"{_published(spark, sf)}/combined", "ageracesex", "county")
+
+
 def _edges(spark) -> DataFrame:
     return sources.boundary_edges(fx.vertices(spark))
 
@@ -213,14 +247,14 @@ def boundaries_geojson(spark, sf):
     back = sources.boundary_edges(sources.read_boundaries(spark, path, "geo_id", "geo_id"))
     area = back.groupBy("geo_id").agg((F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2).alias("area"))
     spots = fx.parcels(spark, sf).where("ring = 0 and seq = 0").select("geo_id", "x", "y").select(F.col("geo_id").alias("parcel"), F.inline(F.array(*[F.struct(F.lit(n).alias("spot"), (F.col("x") + d).alias("x"), (F.col("y") + d).alias("y")) for n, d in (("body", 0.03125), ("middle", 0.09375))])))
-    held = spatial.parity_join(spots, back, ["parcel", "spot"], 0.25).groupBy("geo_id").agg(F.count_if(F.col("spot") == "body").alias("bodies"), F.count_if(F.col("spot") == "middle").alias("middles"))
+    held = spatial.parity_join(spots, back, ["parcel", "spot"]).groupBy("geo_id").agg(F.count_if(F.col("spot") == "body").alias("bodies"), F.count_if(F.col("spot") == "middle").alias("middles"))
     return area.join(held, "geo_id")
 
 
 @register("SELECT race_ethnicity, label AS race_ethnicity_label, age_group, l2 AS age_group_label, value FROM (SELECT race_ethnicity, age_group, sum(n_noise) AS value FROM county GROUP BY ALL) JOIN (SELECT code AS race_ethnicity, label FROM dims WHERE dim = 'race_ethnicity') USING (race_ethnicity) JOIN (SELECT code AS age_group, label AS l2 FROM dims WHERE dim = 'age_group') USING (age_group)")
 def export_labels(spark, sf):
     path, dims = _work(spark, "export"), ["race_ethnicity", "age_group"]
-    sinks.write_csv(qy.export(qy.query(_county(spark, sf), RAW, dims), dims, registry.dimension_values(spark)), path)
+    sinks.write_csv(qy.export(qy.query(_combined(spark, sf), RAW, dims), dims, registry.dimension_values(spark)), path)
     return spark.read.option("header", True).option("escape", '"').csv(path).withColumn("value", F.col("value").cast("double"))
 
 
@@ -295,33 +329,35 @@ def cells_and_density(spark, sf):
 
 @register("SELECT geo_id, sum(n_noise_postprocessed) AS value FROM yearly WHERE year = 1996 AND race_ethnicity IN ('White', 'Asian') AND sex = 'F' GROUP BY geo_id")
 def facet_query(spark, sf):
-    return qy.query(_part(spark, sf), POST, ["geo_id"], {"race_ethnicity": ["White", "Asian"], "sex": ["F"], "age_group": []}, year=1996)
+    facets = {"race_ethnicity": ["White", "Asian"], "sex": ["F"], "age_group": []}
+    registry.check_facets("ageracesex", facets)
+    return qy.query(_partition(spark, sf), POST, ["geo_id"], facets, year=1996)
 
 
 @register("SELECT age_group, sex, sum(n_noise) AS value FROM county WHERE geo_id = '01003' GROUP BY ALL")
 def place_query(spark, sf):
-    return qy.query(_county(spark, sf), RAW, qy.grouping("county", "01003", ["age_group", "sex"]), place="01003")
+    return qy.query(_combined(spark, sf), RAW, qy.grouping("county", "01003", ["age_group", "sex"]), place="01003")
 
 
 @register("SELECT year, sum(n_noise) AS value FROM yearly WHERE geo_id = '02001' GROUP BY year")
 def time_series(spark, sf):
-    return qy.query(_part(spark, sf), RAW, ["year"], place="02001")
+    return qy.query(_combined(spark, sf), RAW, ["year"], place="02001")
 
 
 @register("SELECT geo_id, sum(n_noise) AS value FROM county GROUP BY geo_id ORDER BY value DESC, geo_id LIMIT 2")
 def top_units(spark, sf):
-    return qy.query(_county(spark, sf), RAW, ["geo_id"], limit=2)
+    return qy.query(_combined(spark, sf), RAW, ["geo_id"], limit=2)
 
 
 @register("SELECT geo_id, sum(n_noise) FILTER (race_ethnicity = 'White') AS value, sum(n_noise) AS total, round(sum(n_noise) FILTER (race_ethnicity = 'White') / sum(n_noise) * 100, 6) AS share FROM county GROUP BY geo_id HAVING sum(n_noise) > 0")
 def share_map(spark, sf):
-    return qy.share(_county(spark, sf), RAW, {"race_ethnicity": ["White"], "sex": []})
+    return qy.share(_combined(spark, sf), RAW, {"race_ethnicity": ["White"], "sex": []})
 
 
 @register("SELECT geo_id, race_ethnicity, label AS race_ethnicity_label, value, value BETWEEN -99.9999 AND 99.9999 AS is_small, coalesce(namelsad, name) AS name FROM (SELECT geo_id, race_ethnicity, sum(n_noise) AS value FROM county GROUP BY ALL) JOIN dims ON dim = 'race_ethnicity' AND code = race_ethnicity JOIN names USING (geo_id) ORDER BY ord, value DESC LIMIT 500")
 def table_view(spark, sf):
     n = fx.names(spark).select("geo_id", F.coalesce("namelsad", "name").alias("name"))
-    return qy.table_view(qy.query(_county(spark, sf), RAW, ["geo_id", "race_ethnicity"]), ["race_ethnicity"], registry.dimension_values(spark), n)
+    return qy.table_view(qy.query(_combined(spark, sf), RAW, ["geo_id", "race_ethnicity"]), ["race_ethnicity"], registry.dimension_values(spark), n)
 
 
 _CELLS = "v AS (SELECT grid_lon || grid_lat AS geo_id, sum(n_noise) AS value FROM grid GROUP BY 1), r AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS k, count(*) OVER () AS n FROM v), br AS (SELECT DISTINCT value FROM r JOIN range(1, 7) t(i) ON k = i * n // 7)"
@@ -344,7 +380,7 @@ def choropleth_classes(spark, sf):
 
 @register("SELECT geo_id, sum(n_noise_postprocessed) AS total, CASE WHEN sum(n_noise_postprocessed) > 600000 THEN 'n_noise' ELSE 'n_noise_postprocessed' END AS advised, sum(n_noise_postprocessed) <= 600000 AS fits FROM yearly GROUP BY geo_id")
 def measure_advice(spark, sf):
-    return qy.measure_advice(_part(spark, sf), POST)
+    return qy.measure_advice(_combined(spark, sf), POST)
 
 
 @register("SELECT dataset, max(year) FILTER (NOT preliminary) AS year FROM catalog GROUP BY dataset")
@@ -352,10 +388,36 @@ def default_year(spark, sf):
     return qy.default_year(_catalog(spark, sf))
 
 
-@register("SELECT n_regionkey AS level_rank, n_nationkey::text AS geo_id, n_name AS name FROM nation WHERE contains(lower(n_name), 'n_1') OR starts_with(n_nationkey::text, 'n_1') ORDER BY 1, 3, 2 LIMIT 8")
+@register("SELECT geo_id, sum(n_noise_postprocessed) AS value FROM yearly WHERE year = (SELECT max(year) FROM catalog WHERE NOT preliminary) GROUP BY geo_id")
+def newest_year(spark, sf):
+    """The default year's partition, which the query finds while it runs."""
+    years = qy.default_year(store.scan(spark, f"{_published(spark, sf)}/data").select("dataset", "year").distinct().withColumn("preliminary", F.col("year") >= 1998))
+    return qy.query(store.newest(_partition(spark, sf), years), POST, ["geo_id"])
+
+
+_SEARCHED = ("12", " Custom", "#00000001", "race", "no such place", "x", "99")
+
+
+@register(
+    ", place AS (SELECT 0 AS level_rank, p_partkey::text AS geo_id, p_name AS name FROM part UNION ALL SELECT 1, 'C' || c_custkey::text, c_name FROM customer), asked AS (SELECT text, lower(trim(text)) AS t FROM (VALUES "
+    + _FIXED(f"('{t}')" for t in _SEARCHED)
+    + f""") v(text) WHERE length(trim(text)) >= 2),
+label AS (SELECT * FROM (VALUES {_FIXED(f"('{d.name}', '{d.label}')" for d in registry.DATASETS.values())}) l(geo_id, name)),
+hit AS (SELECT text, 'place' AS kind, level_rank, geo_id, name FROM asked JOIN place ON contains(lower(name), t) OR starts_with(lower(geo_id), t) QUALIFY row_number() OVER (PARTITION BY text ORDER BY level_rank, name, geo_id) <= 8),
+both_ AS (SELECT * FROM hit UNION ALL SELECT text, 'dataset', NULL, geo_id, name FROM asked JOIN label ON contains(lower(name), t))
+SELECT * FROM both_ QUALIFY row_number() OVER (PARTITION BY text ORDER BY kind DESC, level_rank NULLS LAST, name, geo_id) <= 10"""
+)
 def place_search(spark, sf):
-    n = fx.table(spark, sf, "nation").select(F.col("n_regionkey").alias("level_rank"), F.col("n_nationkey").cast("string").alias("geo_id"), F.col("n_name").alias("name"))
-    return qy.place_search(n, "N_1")
+    """Several searches of one index over all parts' and customers' names."""
+
+    def write(path):
+        parts = fx.table(spark, sf, "part").select(F.lit(0).alias("level_rank"), F.col("p_partkey").cast("string").alias("geo_id"), F.col("p_name").alias("name"))
+        people = fx.table(spark, sf, "customer").select(F.lit(1).alias("level_rank"), F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("geo_id"), F.col("c_name").alias("name"))
+        qy.write_search_index(parts.unionByName(people), path)
+
+    path, labels = _once(spark, sf, "search", write), {d.name: d.label for d in registry.DATASETS.values()}
+    found = [qy.place_search(spark, path, t, labels=labels).withColumn("text", F.lit(t)) for t in _SEARCHED]
+    return reduce(DataFrame.unionByName, found)
 
 
 @register("SELECT geo_id, n_cells, race_ethnicity FROM (SELECT '72001' AS geo_id, 1 AS n_cells, 'x' AS race_ethnicity) WHERE false UNION ALL SELECT geo_id, n_cells, race_ethnicity FROM county")
@@ -414,6 +476,24 @@ def adjudicate(spark, sf):
     return spatial.adjudicate(_lost(spark, sf), _flat(_edges(spark), "x1", "y1", "x2", "y2"), CELL, fx.RADIUS).withColumn("distance", F.round("distance", 3))
 
 
+@register(", " + _SEGMENTS + " SELECT count(*) FILTER (d <= 1500) AS inside, count(*) FILTER (d > 1500) AS outside, round(max(d) FILTER (d <= 1500), 3) AS farthest FROM near")
+def adjudication(spark, sf):
+    return spatial.adjudication(adjudicate(spark, sf))
+
+
+@register(
+    """, c AS (SELECT c_custkey, (c_acctbal - 4000) * 0.01e0 AS x, 30 + (c_custkey % 97 - 48) * 0.75e0 AS y FROM customer),
+p AS (SELECT p_partkey::text AS geo_id, (p_partkey % 400) / 4e0 - 100 AS x0, floor(p_partkey / 400e0) / 4e0 + 30 AS y0 FROM part),
+d AS (SELECT c_custkey, geo_id, CASE WHEN x > x0 AND x < x0 + 0.25 AND y > y0 AND y < y0 + 0.25 THEN least(x - x0, x0 + 0.25 - x, y - y0, y0 + 0.25 - y) ELSE sqrt(pow(greatest(x0 - x, 0, x - x0 - 0.25), 2) + pow(greatest(y0 - y, 0, y - y0 - 0.25), 2)) END AS d FROM c, p)
+SELECT c_custkey, round(min(d), 6) AS distance FROM d GROUP BY c_custkey"""
+)
+def nearest_parcel(spark, sf):
+    """Points near and far, one for each customer, and how far the nearest parcel's outline is."""
+    outlines = sources.boundary_edges(fx.parcels(spark, sf).where("ring = 0"))
+    points = fx.table(spark, sf, "customer").select("c_custkey", ((F.col("c_acctbal") - 4000) * 0.01).alias("x"), (F.lit(30.0) + (F.col("c_custkey") % 97 - 48) * 0.75).alias("y"))
+    return spatial.nearest(points, outlines, ["c_custkey"]).select("c_custkey", F.round("distance", 6).alias("distance"))
+
+
 @register(", " + _SEGMENTS + " SELECT grid_lon, grid_lat, geo_id, false AS snapped FROM xw UNION ALL SELECT grid_lon, grid_lat, geo_id, true FROM near WHERE d <= 1500")
 def crosswalk_build(spark, sf):
     return cw.build(sources.cell_union(fx.grid(spark, sf)), _edges(spark), True, fx.RADIUS, lambda x, y: (x * fx.SCALE, y * fx.SCALE))
@@ -504,8 +584,10 @@ def simplify_properties(spark, sf):
 
 @register("SELECT grid_lon, grid_lat, CASE geo_id WHEN '02001' THEN '01' ELSE substr(geo_id, 1, 2) END AS parent, geo_id AS child FROM xw WHERE geo_id = '02001'")
 def layer_conflict(spark, sf):
+    """Counties against a layer that has one state over all of them."""
     first = fx.state_of(fx.county(spark, sf)).withColumn("geo_id", F.lit("01"))
-    return cw.layer_conflict(first, fx.county(spark, sf), 2)
+    box = spark.createDataFrame([("01", *map(float, e)) for e in ((-100, 30, -99, 30), (-99, 30, -99, 31), (-99, 31, -100, 31), (-100, 31, -100, 30))], "geo_id string, x1 double, y1 double, x2 double, y2 double")
+    return cw.layer_conflict(first, fx.county(spark, sf), 2, box, _edges(spark))
 
 
 # --- names, areas and catalog ----------------------------------------------------------------------------------
@@ -521,10 +603,50 @@ def areas_rollup(spark, sf):
     return agg.areas_rollup(fx.areas(spark).join(fx.county(spark, sf).select("geo_id").distinct(), "geo_id", "left_semi"), _id_map(spark))
 
 
-@register("SELECT dataset, geography, y AS year, y = 2025 AS preliminary FROM (VALUES ('ageracesex'), ('raceincome')) d(dataset), (VALUES ('county'), ('state')) g(geography), range(2000, 2026) t(y) WHERE NOT (dataset = 'ageracesex' AND y - 8 IN (SELECT year + 1 FROM catalog WHERE year = -1))")
+@register(
+    """SELECT dataset, geography, year, year = 2025 AS preliminary, reason FROM (
+SELECT d.dataset, g.geography, y AS year, CASE WHEN t.year IS NULL OR y % 4 = 0 THEN 'missing' WHEN y % 4 = 1 THEN 'version' WHEN y % 4 = 2 THEN 'source' WHEN g.geography = 'state' THEN 'crosswalk' END AS reason
+FROM (VALUES ('ageracesex'), ('raceincome')) d(dataset), (VALUES ('county'), ('state')) g(geography), range(2000, 2026) r(y) LEFT JOIN catalog t ON t.geography = g.geography AND t.year + 8 = y) WHERE reason IS NOT NULL"""
+)
 def build_plan(spark, sf):
-    done = _catalog(spark, sf).withColumn("pipeline_version", F.lit("v1"))
-    return plans.build_plan(spark, ["ageracesex", "raceincome"], ["county", "state"], None, done, "v2")
+    """Partitions of 26 years against a ledger of those that the table has years for: some were never built, some by an older version, from another source file or with another crosswalk."""
+    plan = plans.build_plan(spark, ["ageracesex", "raceincome"], ["county", "state"])
+    have = _catalog(spark, sf).select("geography", (F.col("year") + 8).alias("year"), F.col("rows").alias("source_bytes"))
+    at = F.to_timestamp(F.lit("2024-01-01"))
+    state = plan.join(have, ["geography", "year"], "left").select("dataset", "geography", "year", "preliminary", F.coalesce("source_bytes", F.lit(0)).alias("source_bytes"), at.alias("source_modified"), F.col("geography").alias("crosswalk_digest"))
+    k = F.col("year") % 4
+    was = state.where((F.col("source_bytes") > 0) & (k > 0)).withColumns({"pipeline_version": F.when(k == 1, "1").otherwise("2"), "source_bytes": F.col("source_bytes") + (k == 2).cast("int"), "crosswalk_digest": F.when((k == 3) & (F.col("geography") == "state"), "old").otherwise(F.col("crosswalk_digest"))})
+    return plans.due(state, was, "2").select("dataset", "geography", "year", "preliminary", "reason")
+
+
+@register(
+    """, kinds AS (SELECT 'ageracesex' AS dataset, year, geo_id, race_ethnicity || age_group || sex AS dims, n_noise, n_noise_postprocessed FROM grid JOIN xw USING (grid_lon, grid_lat) UNION ALL SELECT 'raceincome', year, geo_id, race_ethnicity || income_decile, n_noise, n_noise_postprocessed FROM grid JOIN xw USING (grid_lon, grid_lat))
+SELECT dataset, geography, year, count(DISTINCT (g, dims)) AS rows, count(DISTINCT g) AS geo_units, round(sum(n_noise), 1) AS total_raw, round(sum(n_noise_postprocessed), 1) AS total_postprocessed, sum(n_noise) AS combined_raw
+FROM (SELECT *, CASE geography WHEN 'nation' THEN 'US' WHEN 'state' THEN substr(geo_id, 1, 2) ELSE geo_id END AS g FROM kinds, (VALUES ('nation'), ('state'), ('county')) l(geography)) GROUP BY dataset, geography, year"""
+)
+def refresh_publish(spark, sf):
+    """A whole refresh of two datasets and three levels, published as a snapshot: its ledger, and what the combined tables hold."""
+
+    def write(path):
+        grid = fx.grid(spark, sf)
+        for name, dims in (("ageracesex", AGE), ("raceincome", INCOME)):
+            for (year,) in sorted(grid.select("year").distinct().collect()):
+                grid.where(F.col("year") == year).select(*CELL, *dims, RAW, POST).write.parquet(f"{path}/in/{name}/{year}")
+        county = fx.county(spark, sf)
+        levels = {"nation": cw.constant(county, "US"), "state": fx.state_of(county), "county": county}
+        years = grid.select("year").distinct().withColumn("preliminary", F.lit(False))
+        wanted = spark.createDataFrame([(d, g) for d in ("ageracesex", "raceincome") for g in levels], "dataset string, geography string").join(F.broadcast(years))  # a few years
+        area = fx.areas(spark).join(fx.names(spark), "geo_id")
+        units = area.withColumn("geography", F.lit("county")).unionByName(fx.states(spark).select("geo_id", "name", F.lit(None).cast("string").alias("namelsad"), F.lit(1).cast("long").alias("aland_m2"), F.lit(0).cast("long").alias("awater_m2"), F.lit("state").alias("geography")))
+        units = units.unionByName(spark.createDataFrame([("US", "Nation", None, 1, 0, "nation")], "geo_id string, name string, namelsad string, aland_m2 long, awater_m2 long, geography string"))
+        edges = rings.directed_edges(fx.vertices(spark))
+        parents = edges.select("geo_id").distinct().withColumn("target", F.substring("geo_id", 1, 2))
+        refresh.refresh(spark, f"{path}/out", refresh.Inputs(f"{path}/in", {"ageracesex": tuple(AGE), "raceincome": tuple(INCOME)}, wanted, levels, units, fx.states(spark), {"state": rings.merged(edges, parents), "county": edges}))
+
+    root = _once(spark, sf, "refreshed", write) + "/out"
+    snapshot = store.current(spark, root)
+    whole = reduce(DataFrame.unionByName, [store.read(spark, snapshot, "combined", d).groupBy("dataset", "geography", "year").agg(F.sum(RAW).alias("combined_raw")) for d in ("ageracesex", "raceincome")])
+    return store.read(spark, snapshot, "ledger").select("dataset", "geography", "year", "rows", "geo_units", "total_raw", "total_postprocessed").join(whole, ["dataset", "geography", "year"])
 
 
 @register("SELECT dataset, geography, year, CASE WHEN year = 1997 THEN 999 ELSE rows END AS rows FROM catalog")
@@ -587,10 +709,70 @@ def race_margins(spark, sf):
     return checks.race_margins(fx.grid(spark, sf), ["year"], 10.0)
 
 
-@register()
+_YEARS = "(SELECT DISTINCT year FROM yearly) y"
+
+
+def _subject():
+    return F.concat(F.lit("ageracesex/county/"), F.regexp_extract("path", "/year=([0-9]+)/", 1))
+
+
+def _recorded(spark, sf) -> tuple[str, DataFrame]:
+    """Partitions of its own for each caller, since it is to damage them, and their files as the ledger has them: path, bytes and sha256 when they were written."""
+    path = _work(spark, "advertised")
+    store.write_partitions(_part(spark, sf).withColumns({"dataset": F.lit("ageracesex"), "geography": F.lit("county")}), path, AGE)
+    return path, settle(sources.file_checksums(spark, path), "files")
+
+
+def _damage(spark, path, year, df=None) -> None:
+    """Put other files in the place of a year's partition, or none."""
+    folder = f"{path}/dataset=ageracesex/geography=county/year={year}"
+    (spark.range(1) if df is None else df.drop("dataset", "geography", "year")).write.mode("overwrite").parquet(folder)
+
+
+@register(_long("A4", "'ageracesex/county/' || year", {"missing": ("CASE WHEN year = 1997 THEN NULL ELSE 0 END", "0"), "differing": ("0", "0")}, "CASE WHEN year = 1997 THEN 'fail' ELSE 'pass' END", _YEARS).replace("cast(CASE WHEN year = 1997 THEN NULL ELSE 0 END AS double)", "cast(year = 1997 AS double)"))
 def catalog_sizes(spark, sf):
-    """What reading the files' contents gave, against what the file system says of them."""
-    return checks.catalog_sizes(sources.file_checksums(spark, sf).select("path", "bytes"), sources.file_manifest(spark, sf))
+    """What was recorded when partitions were written against what the file system has, after the files of 1997 were replaced."""
+    path, files = _recorded(spark, sf)
+    _damage(spark, path, 1997)
+    found = checks.catalog_sizes(files, sources.file_manifest(spark, path), _subject())
+    return found.withColumn("value", F.when(F.col("metric") == "missing", F.least("value", F.lit(1.0))).otherwise(F.col("value")))  # a year may have several files
+
+
+@register(_long("A5", "'ageracesex/county/' || year", {"differing": ("cast(year = 1998 AS int)", "0")}, "CASE WHEN year = 1998 THEN 'fail' ELSE 'pass' END", _YEARS))
+def catalog_checksums(spark, sf):
+    """Digests of when partitions were written against the bytes as they are, after 1998 was written anew with other numbers."""
+    path, files = _recorded(spark, sf)
+    _damage(spark, path, 1998, settle(store.scan(spark, path, year=1998).withColumn(RAW, F.col(RAW) + 1), "altered"))
+    return checks.catalog_checksums(files, sources.file_checksums(spark, path), _subject()).withColumn("value", F.least("value", F.lit(1.0)))
+
+
+def _sources(spark, sf) -> str:
+    """Source files of every year in a folder of its own; those of 1995 lack a column."""
+
+    def write(path):
+        grid = fx.grid(spark, sf).drop("income_decile")
+        grid.where("year <> 1995").write.partitionBy("year").parquet(path)
+        grid.where("year = 1995").drop("sex", "year").write.parquet(f"{path}/year=1995")
+
+    return _once(spark, sf, "sources", write)
+
+
+@register("SELECT 'A1' AS check_id, 'ageracesex/' || year AS subject, 'files' AS metric, cast(year < 2100 AS double) AS value, cast(NULL AS double) AS expected, CASE WHEN year < 2100 THEN 'info' ELSE 'fail' END AS status FROM (SELECT DISTINCT year FROM grid UNION ALL SELECT 2101)")
+def source_manifest(spark, sf):
+    """Whether each year that is wanted has source files; no one wrote 2101."""
+    at = sources.file_manifest(spark, _sources(spark, sf)).groupBy(F.lit("ageracesex").alias("dataset"), F.regexp_extract("path", "/year=([0-9]+)/", 1).cast("int").alias("year")).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+    wanted = fx.grid(spark, sf).select(F.lit("ageracesex").alias("dataset"), "year").distinct().unionByName(spark.createDataFrame([("ageracesex", 2101)], "dataset string, year int"))
+    return checks.source_manifest(wanted, at).where("metric = 'files'").withColumn("value", F.least("value", F.lit(1.0)))  # how many files Spark made of a year is not told
+
+
+@register(", t AS (SELECT year, count(*) AS n FROM grid GROUP BY year) " + _long("A2", "'ageracesex/' || year", {"rows": ("n", "NULL"), "violations": ("cast(year = 1995 AS int)", "0"), "warnings": ("0", "NULL")}, "CASE WHEN year = 1995 THEN 'fail' ELSE 'pass' END", "t"))
+def source_contract(spark, sf):
+    """Columns and rows of every year's source files."""
+    path, name = _sources(spark, sf), F.concat(F.lit("ageracesex/"), F.regexp_extract("path", "/year=([0-9]+)", 1))
+    years = [r.year for r in spark.read.parquet(path).select("year").distinct().collect()]
+    columns = sources.schema_by_path(spark, [f"{path}/year={y}" for y in years], registry.source_schema(tuple(AGE))).withColumn("subject", name)
+    counts = spark.read.parquet(path).groupBy(F.concat(F.lit("ageracesex/"), F.col("year")).alias("subject")).agg(F.count("*").alias("rows"))
+    return checks.source_contract(columns, counts, 1, 10**9)
 
 
 @register("SELECT * FROM (VALUES ('county', 'no name', '01009', 0), ('county', 'area not positive', '01003', 0), ('county', 'no area', '02001', 0)) t(level, problem, geo_id, more)")
@@ -650,7 +832,7 @@ def check_c7(spark, sf):
 @register("SELECT state, cells, lost, population, round(lost / (lost + population) * 100, 6) AS share, 'fail' AS status FROM (SELECT '02' AS state, count(*) AS cells, sum(lost) AS lost FROM (SELECT grid_lon, grid_lat, sum(n_noise) AS lost FROM grid WHERE (grid_lon, grid_lat) NOT IN (SELECT (grid_lon, grid_lat) FROM xw) GROUP BY ALL)), (SELECT sum(n_noise) AS population FROM county WHERE substr(geo_id, 1, 2) = '02') WHERE cells > 0")
 def check_c8(spark, sf):
     lost = cw.dropped_cells(fx.grid(spark, sf), fx.county(spark, sf), [], RAW)
-    near = spatial.nearest(_lost(spark, sf), _flat(_edges(spark), "x1", "y1", "x2", "y2"), CELL, fx.RADIUS)
+    near = spatial.nearest(_lost(spark, sf), _flat(_edges(spark), "x1", "y1", "x2", "y2"), CELL)
     state = lost.join(near, CELL).select(F.substring("geo_id", 1, 2).alias("state"), "lost")
     published = fx.state_of(_county(spark, sf)).groupBy("geo_id").agg(F.sum(RAW).alias("population"))
     return checks.dropped_by_state(state, published)
@@ -662,8 +844,3 @@ def run_checks(spark, sf):
         raise ZeroDivisionError
 
     return checks.run_all(spark, {"C9": broken, "C2": lambda: check_c2(spark, sf)})
-
-
-def advised(population: float, spark: SparkSession) -> str:
-    """The measure that suits a population."""
-    return spark.range(1).select(default_measure(F.lit(population), registry.RAW_ABOVE, RAW, POST)).first()[0]

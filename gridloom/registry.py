@@ -27,7 +27,17 @@ DIMENSION_VALUES = (
     ("sex", "M", "Male", False),
     ("sex", "F", "Female", False),
     ("sex", "Missing Gender", "Not reported", True),
-    *(("income_decile", str(k), {0: "Decile 0", 1: "1st (lowest)", 2: "2nd", 3: "3rd", 10: "10th (highest)"}.get(k, f"{k}th"), k == 0) for k in range(11)),
+    ("income_decile", "0", "Decile 0", True),
+    ("income_decile", "1", "1st (lowest)", False),
+    ("income_decile", "2", "2nd", False),
+    ("income_decile", "3", "3rd", False),
+    ("income_decile", "4", "4th", False),
+    ("income_decile", "5", "5th", False),
+    ("income_decile", "6", "6th", False),
+    ("income_decile", "7", "7th", False),
+    ("income_decile", "8", "8th", False),
+    ("income_decile", "9", "9th", False),
+    ("income_decile", "10", "10th (highest)", False),
 )
 
 
@@ -40,6 +50,7 @@ class Dataset:
     preliminary: tuple[int, ...] = ()
     excluded: dict[int, str] = field(default_factory=dict)
     not_joinable_with: tuple[str, ...] = ()
+    label: str = ""
 
 
 @dataclass(frozen=True)
@@ -51,11 +62,18 @@ class Level:
     disabled: str | None = None
 
 
+_FEW = "too few people were counted in this year to be compared with others"
 DATASETS = {
-    "ageracesex": Dataset("ageracesex", ("race_ethnicity", "age_group", "sex"), 2000, 2024, (2025,), {1999: "Anomalous completeness of administrative records"}, ("raceincome",)),
-    "raceincome": Dataset("raceincome", ("race_ethnicity", "income_decile"), 2000, 2024, (2025,), {1999: "Anomalous completeness of administrative records"}, ("ageracesex",)),
+    "ageracesex": Dataset("ageracesex", ("race_ethnicity", "age_group", "sex"), 2000, 2024, (2025,), {1999: _FEW}, ("raceincome",), "Population by age, race, and sex"),
+    "raceincome": Dataset("raceincome", ("race_ethnicity", "income_decile"), 2000, 2024, (2025,), {1999: _FEW}, ("ageracesex",), "Population by race and income decile"),
 }
-LEVELS = {x.name: x for x in (Level("nation", 0), Level("state", 1), Level("county", 2), Level("zcta", 5, complete=False, mapped=False))}
+LEVELS = {
+    x.name: x
+    for x in (
+        Level("nation", 0), Level("state", 1), Level("county", 2), Level("czone2020", 3), Level("puma", 4), Level("cbsa", 4, complete=False), Level("zcta", 5, complete=False, mapped=False),
+        Level("tract", 6, mapped=False, disabled="units hold so few people that noise outweighs the counts"), Level("cd", 6, disabled="boundaries change between the years"),
+    )
+}
 
 
 def source_schema(dims: tuple[str, ...]) -> T.StructType:
@@ -71,6 +89,15 @@ def dataset(name: str) -> Dataset:
     return DATASETS[name]
 
 
+def check_facets(name: str, facets: dict[str, list]) -> None:
+    """Datasets can't be joined on their dimensions: a facet that another dataset has and this one lacks is an error."""
+    own = dataset(name)
+    for dim in facets:
+        if dim not in own.dims:
+            others = [d for d in own.not_joinable_with if dim in DATASETS[d].dims]
+            raise ValueError(f"{name} has no {dim}" + f"; {', '.join(others)} has it, but can't be joined with it" * bool(others))
+
+
 def level(name: str) -> Level:
     found = LEVELS.get(name)
     if found is None:

@@ -12,6 +12,8 @@ def write_sorted(df: DataFrame, path: str, order: list[str], partitions: list[st
 
     Partition folders are replaced one by one; rows are dealt by range over all sort columns, never to a single task.
     """
+    # a partition column that is a literal would be left out of the sort, and the writer would then sort anew by folders only
+    df = df.withColumns({c: F.when(F.monotonically_increasing_id() >= 0, F.col(c)) for c in partitions})
     sorted_ = df.repartitionByRange(*partitions, *order).sortWithinPartitions(*partitions, *order)
     writer = sorted_.write.mode(mode).option("compression", "zstd").option("parquet.block.row.count.limit", str(row_group)).option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from ..functions import pad_id, year_of_path
 from ..registry import CELL, source_schema
 
+#: Files up to so many bytes are read as one row.
+WHOLE = 1 << 27
+
 
 def scan_source(spark: SparkSession, paths: str | list[str], dims: tuple[str, ...]) -> DataFrame:
     """Source files by their contract: no schema inference, columns pruned by what the plan uses."""
@@ -82,16 +91,46 @@ def schema_rows(df: DataFrame, contract: T.StructType) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, found string, declared string, status string")
 
 
+def schema_by_path(spark: SparkSession, paths: list[str], contract: T.StructType) -> DataFrame:
+    """(path, column, found, declared, status) of every path by itself, from its files' footers, so that drift in one year is not merged away."""
+    found = []
+    for path in paths:  # metadata of a few paths: datasets times years
+        have, wanted = ({f.name: f.dataType.simpleString() for f in schema} for schema in (spark.read.parquet(path).schema, contract))
+        found += [(path, c, have.get(c), wanted.get(c), "ok" if have.get(c) == wanted.get(c) else "warning" if c not in wanted else "error") for c in sorted(have.keys() | wanted.keys())]
+    return spark.createDataFrame(found, "path string, column string, found string, declared string, status string")
+
+
 def file_manifest(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """(path, bytes, modified) of the files below path; contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
     return files.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
 
 
-def file_checksums(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """(path, bytes, sha256) of the files below path, from the contents read; a file is one row, so it has to be below 2 GB."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
-    return files.select("path", F.length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+def file_checksums(spark: SparkSession, path: str, pattern: str = "*.parquet", whole: int = WHOLE) -> DataFrame:
+    """(path, bytes, sha256) of the files below path, from the bytes read.
+
+    A file that can't be read, since the file system's own checksums don't fit, has no row.
+    A file of at most ``whole`` bytes is read by Spark as a row; a longer one by a task of its own in pieces, through Arrow's
+    file systems, so that no file is ever held whole beyond that size.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).load(path)
+    small = files.where(F.col("length") <= whole).select("path", F.length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > whole).select("path")
+
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for at in batch["path"]:
+                fs, name = pafs.FileSystem.from_uri(at if "://" in at else at.replace("file:/", "file:///", 1))
+                h, n = hashlib.sha256(), 0
+                with fs.open_input_stream(unquote(name)) as f:
+                    while piece := f.read(1 << 24):
+                        h.update(piece)
+                        n += len(piece)
+                found.append((at, n, h.hexdigest()))
+            yield pd.DataFrame(found, columns=["path", "bytes", "sha256"])
+
+    return small.unionByName(large.repartition("path").mapInPandas(digest, "path string, bytes long, sha256 string"))
 
 
 def row_groups(spark: SparkSession, path: str, column: str, size: int) -> DataFrame:

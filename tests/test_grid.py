@@ -58,6 +58,7 @@ def test_snap_and_adjudicate(spark):
     assert snapped == {"near": 0.03}
     judged = {r.k: (round(r.distance, 6), r.within) for r in spatial.adjudicate(points, edges, ["k"], 0.04).collect()}
     assert judged == {"in": (0.0, True), "near": (0.03, True), "far": (2.9, False)}
+    assert spatial.adjudication(spatial.adjudicate(points, edges, ["k"], 0.04)).select("inside", "outside", F.round("farthest", 6)).first() == (2, 1, 0.03)
 
 
 def test_crosswalk_snaps_only_complete_levels(spark):
@@ -120,9 +121,50 @@ def test_components(spark):
 def test_nearest_has_no_last_round(spark):
     """A point a million radii away is found; points without coordinates and tables without edges end the search."""
     points = spark.createDataFrame([("far", 4e4, 0.05), ("none", None, None)], "k string, x double, y double")
-    found = spatial.nearest(points, polygon(spark, SQUARE), ["k"], 0.04).collect()
+    found = spatial.nearest(points, polygon(spark, SQUARE), ["k"]).collect()
     assert [(r.k, r.geo_id, round(r.distance, 3)) for r in found] == [("far", "a", 39999.9)]
-    assert spatial.nearest(points, polygon(spark, SQUARE).limit(0), ["k"], 0.04).count() == 0
+    assert spatial.nearest(points, polygon(spark, SQUARE).limit(0), ["k"]).count() == 0
+
+
+def test_nearest_and_covering_against_all_edges(spark):
+    """Points near, far and very far; units of many sizes, with holes; tiles of several sizes."""
+    rng = np.random.default_rng(7)
+    shapes = []
+    for n in range(40):
+        x, y, r = rng.uniform(-50, 50), rng.uniform(-50, 50), 10.0 ** rng.uniform(-2, 1)
+        t = np.sort(rng.uniform(0, 2 * np.pi, 12))
+        ring = lambda f: [(x + r * f * np.cos(a), y + r * f * np.sin(a)) for a in t]  # noqa: B023, E731
+        shapes.append((f"u{n:02d}", 0, 0, ring(1.0)))
+        if n % 3 == 0:
+            shapes.append((f"u{n:02d}", 0, 1, ring(0.4)))
+    edges = polygon(spark, shapes)
+    lines = [tuple(r) for r in edges.collect()]
+    at = [(k, *map(float, rng.normal(0, s, 2))) for k, s in enumerate(rng.choice([20.0, 60.0, 4000.0], 300))] + [(300, *lines[0][1:3]), (301, *lines[5][1:3])]
+    points = spark.createDataFrame(at, "k long, x double, y double")
+    g, (x1, y1, x2, y2) = [r[0] for r in lines], np.array([r[1:] for r in lines]).T
+    near, held = {}, {}
+    for k, x, y in at:
+        t = np.clip(((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) ** 2 + (y2 - y1) ** 2), 0, 1)
+        near[k] = min(zip(np.sqrt((x - x1 - t * (x2 - x1)) ** 2 + (y - y1 - t * (y2 - y1)) ** 2).tolist(), g))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            up = (np.minimum(y1, y2) <= y) & (y < np.maximum(y1, y2)) & (x < np.where(y1 <= y2, x1 + (y - y1) * (x2 - x1) / (y2 - y1), x2 + (y - y2) * (x1 - x2) / (y1 - y2)))
+        odd = [u for u in sorted(set(g)) if sum(o for o, v in zip(up, g) if v == u) % 2]
+        held[k] = odd[0] if odd else None
+    for side in (None, 0.7, 300.0):
+        got = {r.k: (r.distance, r.geo_id) for r in spatial.nearest(points, edges, ["k"], side).collect()}
+        assert got.keys() == near.keys() and all(abs(got[k][0] - near[k][0]) < 1e-9 and (got[k][1] == near[k][1] or got[k][0] == near[k][0]) for k in got)
+        assert {r.k: r.geo_id for r in spatial.parity_join(points, edges, ["k"], side).collect()} == held
+    inner, _ = spatial.covering(edges, 0.05)
+    assert inner.where("level >= 6").count() > 0 and spatial.parity_join(points.limit(0), edges, ["k"]).count() == 0
+
+
+def test_layer_conflict_places_cells_anew(spark):
+    """A cell that was snapped into its child disagrees with its parent, but is no conflict of the layers."""
+    xw = lambda rows: spark.createDataFrame([(*r, False) for r in rows], "grid_lon string, grid_lat string, geo_id string, snapped boolean")
+    parent, child = xw([("0.005", "0.005", "a"), ("0.095", "0.005", "a"), ("0.205", "0.005", "a")]), xw([("0.005", "0.005", "b1"), ("0.095", "0.005", "a1"), ("0.205", "0.005", "b1")])
+    edges = [polygon(spark, [(g, 0, 0, [(0, 0), (0.1, 0), (0.1, 0.1), (0, 0.1)])]) for g in ("a", "b1")]
+    assert crosswalk.layer_conflict(parent, child, 1).count() == 2
+    assert [r.grid_lon for r in crosswalk.layer_conflict(parent, child, 1, *edges).collect()] == ["0.005"]
 
 
 def test_boundaries_of_a_collection(spark, tmp_path):
@@ -158,10 +200,18 @@ def test_scalars(spark):
 def test_plan(spark):
     plan = plans.build_plan(spark, ["ageracesex"], ["county"])
     assert plan.count() == 26 and plan.where("preliminary").count() == 1 and plan.where("year = 1999").count() == 0
-    with pytest.raises(ValueError, match="Anomalous"):
+    with pytest.raises(ValueError, match="too few"):
         plans.build_plan(spark, ["ageracesex"], ["county"], [1999])
     with pytest.raises(ValueError):
         plans.build_plan(spark, ["ageracesex"], ["county"], [1980])
+    with pytest.raises(ValueError, match="noise"):
+        plans.build_plan(spark, ["ageracesex"], ["tract"])
+
+
+def test_facets_of_two_datasets_are_refused():
+    registry.check_facets("ageracesex", {"sex": ["F"], "race_ethnicity": []})
+    with pytest.raises(ValueError, match="income_decile"):
+        registry.check_facets("ageracesex", {"income_decile": ["3"]})
 
 
 def test_runner_goes_on_after_an_error(spark):
