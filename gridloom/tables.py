@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; where that is unset (tests on one machine), below a temporary one."""
+    """A new folder below ``spark.checkpoint.dir``; where that is unset and the master is local (tests on one machine), below a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: a folder that all machines share is needed")
         folder = tempfile.mkdtemp(prefix="spark-gridloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder.rstrip('/')}/gridloom/{name}-{uuid.uuid4().hex}"

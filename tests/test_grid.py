@@ -240,13 +240,37 @@ def test_one_unit_touches_few_row_groups(spark, tmp_path):
 
 
 def test_stream_replaces_a_year(spark, tmp_path):
+    """A new version replaces a year, and of two versions in one batch the newer counts alone."""
+    import os
+
     from gridloom.streaming import follow
 
     xw = spark.createDataFrame([("0.005", "0.005", "a", False)], "grid_lon string, grid_lat string, geo_id string, snapped boolean")
-    for k, n in enumerate((5.0, 9.0)):
-        src = spark.createDataFrame([("0.005", "0.005", "White", n, n)], "grid_lon string, grid_lat string, race_ethnicity string, n_noise double, n_noise_postprocessed double")
-        src.coalesce(1).write.mode("append").parquet(str(tmp_path / "in/2001"))
-        if k == 0:
-            src.coalesce(1).write.parquet(str(tmp_path / "in/2002"))
+
+    def publish(year, *counts):
+        for n in counts:
+            have = set((tmp_path / f"in/{year}").glob("*.parquet"))
+            src = spark.createDataFrame([("0.005", "0.005", "White", n, n)], "grid_lon string, grid_lat string, race_ethnicity string, n_noise double, n_noise_postprocessed double")
+            src.coalesce(1).write.mode("append").parquet(str(tmp_path / f"in/{year}"))
+            for file in set((tmp_path / f"in/{year}").glob("*.parquet")) - have:
+                os.utime(file, (1.7e9 + n, 1.7e9 + n))
+
+    def run():
         follow(spark, str(tmp_path / "in"), xw, ("race_ethnicity",), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    assert {(r.year, r.n_noise) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {(2001, 9.0), (2002, 5.0)}
+        return {(r.year, r.n_noise) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+
+    publish(2001, 4.0, 5.0), publish(2002, 5.0)
+    assert run() == {(2001, 5.0), (2002, 5.0)}
+    publish(2001, 9.0)
+    assert run() == {(2001, 9.0), (2002, 5.0)}
+    publish(2001, 7.0)  # an older version that comes late
+    assert run() == {(2001, 9.0), (2002, 5.0)}
+
+
+def test_working_tables_need_a_shared_folder():
+    from types import SimpleNamespace as N
+
+    from gridloom.tables import work_path
+
+    with pytest.raises(ValueError, match="share"):
+        work_path(N(conf=N(get=lambda *_: None), sparkContext=N(master="spark://host:7077")), "x")
