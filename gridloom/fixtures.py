@@ -84,6 +84,23 @@ def states(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(STATES), "geo_id string, name string, stusps string")
 
 
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One unit for each part: (geo_id, name, namelsad, aland_m2, awater_m2); two of three have a longer name."""
+    k = F.col("p_partkey")
+    longer = F.when(k % 3 != 0, F.concat_ws(" ", "p_name", F.lower("p_type")))
+    return table(spark, sf_dir, "part").select(F.lpad(k.cast("string"), 6, "0").alias("geo_id"), F.col("p_name").alias("name"), longer.alias("namelsad"), (F.col("p_size").cast("long") * 1_000_003).alias("aland_m2"), (k % 1000).cast("long").alias("awater_m2"))
+
+
+def place_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first digits of the units' ids are the nations' keys."""
+    return table(spark, sf_dir, "nation").select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("geo_id"), F.col("n_name").alias("name"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("stusps"))
+
+
+def place_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(geo_id) of the parts that were ever ordered in quantity: the units that have data."""
+    return table(spark, sf_dir, "lineitem").where("l_quantity > 40").select(F.lpad(F.col("l_partkey").cast("string"), 6, "0").alias("geo_id")).distinct()
+
+
 def areas(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(AREAS), "geo_id string, aland_m2 long, awater_m2 long")
 

@@ -70,13 +70,15 @@ def boundary_edges(vertices: DataFrame) -> DataFrame:
     return e.where("x1 <> x2 or y1 <> y2")
 
 
-def state_layers(layers: dict[str, DataFrame], states_with_data: DataFrame) -> DataFrame:
-    """Layers of one state each as one; only states that have data, columns missing in some filled with null."""
-    out = None
-    for state, layer in layers.items():
-        layer = layer.withColumn("state", F.lit(state))
-        out = layer if out is None else out.unionByName(layer, allowMissingColumns=True)
-    return out.join(states_with_data.select("state").distinct(), "state", "left_semi")
+def read_state_layers(spark: SparkSession, root: str, states_with_data: DataFrame) -> DataFrame:
+    """Layers of one state each, in the folders ``state=<id>`` below root, as one: those of states that have data and a folder; columns missing in some are filled with null."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    have = {f.getPath().getName().removeprefix("state=") for f in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at) if f.isDirectory()}
+    wanted = sorted(have & {r.state for r in states_with_data.select("state").distinct().collect()})  # some tens of states
+    if not wanted:
+        raise ValueError("no state with data has a layer")
+    schema = T.StructType([*spark.read.option("mergeSchema", True).parquet(*[f"{root}/state={s}" for s in wanted]).schema, T.StructField("state", T.StringType())])
+    return spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/state={s}" for s in wanted])
 
 
 def lookup_rows(documents: DataFrame, value_type: str = "string") -> DataFrame:
@@ -139,12 +141,23 @@ def row_groups(spark: SparkSession, path: str, column: str, size: int) -> DataFr
     return rows.groupBy("path", "row_group").agg(F.count("*").alias("rows"), F.min(column).alias("least"), F.max(column).alias("most"))
 
 
-def pruned(spark: SparkSession, path: str, column: str, value: str, size: int) -> DataFrame:
-    """(rows, found, groups, read): the rows of one value, those of them in row groups whose range holds it, all row groups, and the ones that a scan for it reads."""
-    groups = row_groups(spark, path, column, size).withColumn("read", F.lit(value).between(F.col("least"), F.col("most")))
-    here = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("path"), F.floor(F.col("_metadata.row_index") / size).cast("int").alias("row_group"), column).where(F.col(column) == value)
-    held = here.groupBy("path", "row_group").agg(F.count("*").alias("k"))
-    return groups.join(held, ["path", "row_group"], "left").agg(F.coalesce(F.sum("k"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.when(F.col("read"), F.col("k"))), F.lit(0)).alias("found"), F.count("*").alias("groups"), F.count_if("read").alias("read"))
+def scan_metrics(df: DataFrame) -> list[tuple[str, int, int]]:
+    """Run a query of few rows and say of each of its file scans (description, rows handed on, files read), from Spark's own metrics: what partition filters and row-group statistics left."""
+    df.collect()
+    found, left = [], [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            left.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            left.append(node.plan())
+        elif kind == "FileSourceScanExec":
+            found.append((node.verboseStringWithOperatorId(), node.metrics().apply("numOutputRows").value(), node.metrics().apply("numFiles").value()))
+        else:
+            children = node.children()
+            left += [children.apply(k) for k in range(children.size())]
+    return found
 
 
 def ledger_latest(ledger: DataFrame, version: str | None = None) -> DataFrame:

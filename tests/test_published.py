@@ -13,24 +13,7 @@ from gridloom.operators import checks, query
 DATA = "/root/testdata/sf0.01"
 
 
-def scans(df):
-    """Of the plan that ran: (text, rows out, files read) of each Parquet scan."""
-    df.collect()
-    found, left = [], [df._jdf.queryExecution().executedPlan()]
-    while left:
-        node = left.pop()
-        name = node.getClass().getSimpleName()
-        if name == "AdaptiveSparkPlanExec":
-            left.append(node.executedPlan())
-        elif name.endswith("QueryStageExec"):
-            left.append(node.plan())
-        elif name == "FileSourceScanExec":
-            metric = lambda m: node.metrics().apply(m).value()  # noqa: B023, E731
-            found.append((node.verboseStringWithOperatorId(), metric("numOutputRows"), metric("numFiles")))
-        else:
-            children = node.children()
-            left += [children.apply(k) for k in range(children.size())]
-    return found
+scans = sources.scan_metrics
 
 
 def test_year_is_a_partition_filter(spark):
