@@ -29,7 +29,7 @@ def _captures(pages: DataFrame) -> DataFrame:
 
 def _entries(pages: DataFrame) -> DataFrame:
     """A dated list from the hosts and site sections of the pages: each has up to three entries, chosen by the digits of its MD5."""
-    hosts = pages.select(F.lower(F.regexp_extract("url", urlfilter.HOST, 1)).alias("host"), F.lower(F.regexp_extract("url", urlfilter.PATH, 1)).alias("section")).where("host <> ''").distinct()
+    hosts = pages.select(urlfilter.host_of("url").alias("host"), F.lower(F.regexp_extract("url", urlfilter.PATH, 1)).alias("section")).where("host <> ''").distinct()
     names = hosts.select(F.lit("domain").alias("kind"), F.col("host").alias("pattern")).union(hosts.select(F.lit("domain"), F.regexp_extract("host", r"([^.]+\.[^.]+\.[^.]+)$", 1)).where("regexp_extract(host, '([^.]+\\.[^.]+\\.[^.]+)$', 1) <> ''"))
     names = names.union(hosts.where("section <> ''").select(F.lit("section"), F.concat("host", F.lit("/"), "section"))).distinct().withColumn("m", F.md5("pattern"))
     number = lambda at, n: F.conv(F.substring("m", at, n), 16, 10).cast("int")
@@ -135,7 +135,7 @@ q AS (SELECT id, count(*) AS n FROM b GROUP BY id)
 SELECT d.id AS doc_id, b.id AS item_id, any_value(q.n) AS item_shingles, count(*) AS shared, round(count(*) / any_value(q.n), 6) AS containment
 FROM d JOIN b ON d.s = b.s JOIN q ON q.id = b.id GROUP BY d.id, b.id HAVING count(*) * 100 >= any_value(q.n) * 75""",
     "op1_url_filters": r"""
-WITH c AS (SELECT page_id, url, DATE '2023-01-01' + CAST(((page_id * 37) % 700) AS INTEGER) AS fetched, lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)', 1)) AS host,
+WITH c AS (SELECT page_id, url, DATE '2023-01-01' + CAST(((page_id * 37) % 700) AS INTEGER) AS fetched, regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#\\]*@)?(\[[^\]/?#\\]*\]|[^/?#\\:@\[\]]*)', 1)), '\.+$', '') AS host,
                   lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/([^/?#]+)/', 1)) AS section FROM pages),
 h AS (SELECT DISTINCT host, section FROM c WHERE host <> ''),
 p AS (SELECT 'domain' AS kind, host AS pattern FROM h

@@ -9,12 +9,17 @@ captures costs as many probes as it has days.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)"
+HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#\\]*@)?(\[[^\]/?#\\]*\]|[^/?#\\:@\[\]]*)"
 PATH = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/([^/?#]+)/"
 
 
+def host_of(url: str) -> Column:
+    """The host of a url in lower case: what follows the scheme and user data (up to the last @ before the path), without port and dots at its end; an address in brackets whole.  Empty where there is none."""
+    return F.regexp_replace(F.lower(F.regexp_extract(url, HOST, 1)), r"\.+$", "")
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """(kind, pattern, action, since, until) from dated entries (kind, pattern, action, since); until is null for the newest.
 
@@ -26,7 +31,7 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 def patterns(captures: DataFrame) -> DataFrame:
     """captures with a column __tests: structs (rank, kind, pattern) of what can be listed, the narrowest first: site section, host, parent domains."""
-    host = F.lower(F.regexp_extract("url", HOST, 1))
+    host = host_of("url")
     labels = F.split("__host", r"\.")
     parents = F.transform(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size(labels) - 1)), lambda i: F.struct((i + 1).cast("int").alias("rank"), F.lit("domain").alias("kind"), F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("pattern")))
     section = F.struct(F.lit(1).alias("rank"), F.lit("section").alias("kind"), F.concat("__host", F.lit("/"), "__section").alias("pattern"))
