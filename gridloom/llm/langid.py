@@ -37,13 +37,18 @@ _FOLD: list[np.ndarray] = []
 
 
 def _fold_table() -> np.ndarray:
-    """Code point to symbol: letters to their lower case, astral letters to 1, all else to a space."""
+    """Code point to symbol: letters of all planes to their lower case, all else to a space.
+
+    A symbol has 16 bits, so letters beyond U+FFFF come to one symbol for each 128 code points, of those for private use,
+    which are no letters: scripts and parts of them stay apart.
+    """
     if not _FOLD:
         table = np.full(0x110000, _SPACE, np.uint16)
-        for i in range(65, 0x32000):
+        for i in range(65, 0x110000):
             if (c := chr(i)).isalpha():
                 low = c.lower()
-                table[i] = ord(low) if len(low) == 1 and ord(low) < 65536 else (i if i < 65536 else 1)
+                point = ord(low) if len(low) == 1 else i
+                table[i] = point if point < 0x10000 else 0xE000 + ((point - 0x10000) >> 7) % 6400
         _FOLD.append(table)
     return _FOLD[0]
 

@@ -348,6 +348,32 @@ def test_url_filters(spark):
     assert urlfilter.judge(df, entries.limit(0)).where("verdict <> 'pass'").count() == 0 and urlfilter.judge(df.limit(0), entries).count() == 0
 
 
+def test_hosts_of_urls(spark):
+    """User data, ports, dots at the end, brackets, back-slashes and urls without a host; a blocked host is not hidden by any of them."""
+    want = {
+        "http://bad.com/x": "bad.com", "HTTP://BAD.com:80?x": "bad.com", "http://user:pw@bad.com/x": "bad.com", "http://good.com@bad.com/x": "bad.com", "http://a@b@bad.com:8080#f": "bad.com", "http://bad.com./x": "bad.com", "http://bad.com..": "bad.com",
+        "http://[2001:db8::1]:80/x": "[2001:db8::1]", "http://u@[::1]/": "[::1]", "http://bad.com\\@good.com/": "bad.com", "http://good.com/@bad.com": "good.com", "http://good.com?@bad.com": "good.com", "http:///x": "", "http://@/x": "", "bad.com/x": "", "": "", "http://": "",
+        "http://" + "a" * 50_000 + ".bad.com/" + "p/" * 50_000: "a" * 50_000 + ".bad.com",
+    }
+    df = spark.createDataFrame([(u,) for u in want], "url string").withColumn("fetched", F.lit("2024-02-01").cast("date"))
+    assert {r.url: r.h for r in df.select("url", urlfilter.host_of("url").alias("h")).collect()} == want
+    entries = spark.createDataFrame([("domain", "bad.com", "block", "2024-01-10"), ("domain", "bad.com", "allow", "2024-01-10")], "kind string, pattern string, action string, since string").withColumn("since", F.col("since").cast("date"))
+    got = {r.url: r.verdict for r in urlfilter.judge(df, entries).collect()}
+    assert all((got[u] == "block") == h.endswith("bad.com") for u, h in want.items())  # of two entries of one day block counts
+
+
+def test_letters_of_all_planes(spark):
+    """Letters beyond U+FFFF are letters, whatever their plane, and scripts there stay apart."""
+    rng = np.random.default_rng(8)
+    texts = {"got": range(0x10330, 0x10340), "lin": range(0x10000, 0x1000C), "hanh": range(0x31350, 0x31370), "hani": range(0x32000, 0x32020)}
+    rows = [(n * 100 + k, " ".join("".join(map(chr, rng.choice(list(r), 6))) for _ in range(30)), lang) for n, (lang, r) in enumerate(texts.items()) for k in range(24)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    right = {i: lang for i, _, lang in rows}
+    assert len(got) == len(rows) and all(r.lang_pred == right[r.doc_id] for r in got)
+    table = langid._fold_table()
+    assert all((table[i] != 32) == chr(i).isalpha() for i in range(0x110000) if chr(i) != " ")
+
+
 def test_license_scan(spark):
     t = spark.createDataFrame(list(licenses.TEMPLATES), "licence string, notice string")
     files = [(1, "p/LICENSE", "Released under the MIT License."), (2, "p/a/b/x.py", "code"), (3, "p/a/COPYING.txt", "x\nLicensed under the Apache License, Version 2.0.\ny"), (4, "q/x", "none"), (5, None, "Released under the MIT License."), (6, "p/y", None), (7, "p/z", ""), (8, "LICENSE", "This work is licensed under the GNU General Public License, version 3."), (2, "p/a/b/x.py", "code"), (9, "p/a/w", "we love licences but say nothing of copyright here at all really")]
