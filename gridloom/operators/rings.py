@@ -7,8 +7,10 @@ one piece of an arc, not by a ring or a unit.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..tables import settle
@@ -94,17 +96,38 @@ def _kept(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
 
 
 def thinned(lines: DataFrame, tolerance: float, piece: int = PIECE) -> DataFrame:
-    """Edges of :func:`arcs` with (piece, seg): seg is the k of the edge that begins the segment which takes their place."""
+    """Edges of :func:`arcs` with (piece, seg): seg is the k of the edge that begins the segment which takes their place.
 
-    def thin(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("k")
-        x, y = (np.append(pdf[f"{c}1"].to_numpy(), pdf[f"{c}2"].to_numpy()[-1]) for c in "xy")
-        keep = _kept(x, y, tolerance)[:-1]
-        k = pdf["k"].to_numpy()
-        return pdf.assign(seg=k[np.maximum.accumulate(np.where(keep, np.arange(len(k)), 0))])
+    Pieces come to a task one after the other, so it holds one of them and a batch at a time, and short arcs, which most are,
+    cost no call of their own.
+    """
 
-    numbered = lines.select(F.col("arc"), F.floor(-F.col("k") / piece).cast("long").alias("piece"), "k", *ENDS)
-    return numbered.groupBy("arc", "piece").applyInPandas(thin, "arc long, piece long, k long, x1 double, y1 double, x2 double, y2 double, seg long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def dealt(t: pa.Table, ends: list[int]) -> pa.RecordBatch:
+            x1, y1, x2, y2, k = (t.column(c).to_numpy() for c in (*ENDS, "k"))
+            seg = k.copy()
+            for a, b in zip([0, *ends], ends):
+                if b - a > 1:
+                    keep = _kept(np.append(x1[a:b], x2[b - 1]), np.append(y1[a:b], y2[b - 1]), tolerance)[:-1]
+                    seg[a:b] = k[a:b][np.maximum.accumulate(np.where(keep, np.arange(b - a), 0))]
+            return t.append_column("seg", pa.array(seg)).combine_chunks().to_batches()[0]
+
+        left = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = t if left is None else pa.concat_tables([left, t]).combine_chunks()
+            if not t.num_rows:
+                continue
+            arc, number = t.column("arc").to_numpy(), t.column("piece").to_numpy()
+            ends = (np.flatnonzero((arc[1:] != arc[:-1]) | (number[1:] != number[:-1])) + 1).tolist()
+            if ends:  # the last piece may go on in the next batch
+                yield dealt(t.slice(0, ends[-1]), ends)
+            left = t.slice(ends[-1] if ends else 0)
+        if left is not None and left.num_rows:
+            yield dealt(left, [left.num_rows])
+
+    numbered = lines.select("arc", F.floor(-F.col("k") / piece).cast("long").alias("piece"), "k", *ENDS)
+    return numbered.repartition("arc", "piece").sortWithinPartitions("arc", "piece", "k").mapInArrow(run, "arc long, piece long, k long, x1 double, y1 double, x2 double, y2 double, seg long")
 
 
 def segments(edges: DataFrame) -> DataFrame:

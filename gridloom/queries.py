@@ -644,7 +644,7 @@ def refresh_publish(spark, sf):
         for name, dims in (("ageracesex", AGE), ("raceincome", INCOME)):
             for (year,) in sorted(grid.select("year").distinct().collect()):
                 grid.where(F.col("year") == year).select(*CELL, *dims, RAW, POST).write.parquet(f"{path}/in/{name}/{year}")
-        county = fx.county(spark, sf)
+        county = settle(fx.county(spark, sf), "county")
         levels = {"nation": cw.constant(county, "US"), "state": fx.state_of(county), "county": county}
         years = grid.select("year").distinct().withColumn("preliminary", F.lit(False))
         wanted = spark.createDataFrame([(d, g) for d in ("ageracesex", "raceincome") for g in levels], "dataset string, geography string").join(F.broadcast(years))  # a few years
