@@ -1,7 +1,17 @@
-"""License scans: sparse TF-IDF cosine to templates, and inheritance down the directory tree."""
+"""License scans: sparse TF-IDF cosine to templates, and inheritance down the directory tree.
+
+Three kinds of notices are taken of a whole text: windows of as many terms as a longer template has, wherever its first
+two terms stand (so header blocks and licence files are held against full notices however they are wrapped); each
+identifier of an SPDX expression; and single lines with a marker word, for titles and short notices.
+"""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from itertools import islice
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..tables import settle
@@ -35,14 +45,32 @@ NOTICES = (
     ("Proprietary", "Copyright All rights reserved"),
     ("Proprietary", "All rights reserved unauthorized copying of this file is strictly prohibited"),
 )
-#: (licence, notice): several of each licence; a line is scored by the best of them.
-TEMPLATES = tuple((licence, form.format(title=title, spdx=spdx)) for licence, title, spdx in LICENCES for form in FORMS) + NOTICES
+#: Fixed values: (licence, the beginning of its full notice or text).
+TEXTS = (
+    ("AGPL", "free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("CC-BY", "This work is licensed under the Creative Commons Attribution 4.0 International License. To view a copy of this license, visit"),
+    ("CC-BY-NC", "This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License. To view a copy of this license, visit"),
+    ("GPL", "free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
+    ("LGPL", "free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("LGPL", "free software: you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
+)
+#: (licence, notice): several of each licence; a notice is scored by the best of them.
+TEMPLATES = tuple((licence, form.format(title=title, spdx=spdx)) for licence, title, spdx in LICENCES for form in FORMS) + NOTICES + TEXTS
 #: Words that make a line part of a licence notice.
 MARKERS = r"(?i)licen[sc]e|copyright|spdx|all rights reserved|redistribution|subject to the terms|permission is hereby granted"
 #: Words that say nothing about a licence.
 STOP = ("a", "an", "and", "any", "are", "as", "at", "be", "c", "file", "for", "in", "is", "it", "of", "on", "or", "see", "that", "the", "this", "to", "under", "with", "without", "you")
 TERM = "[a-z]+(-[a-z]+)*"
 LEAST = 0.6
+#: What a window or an identifier must reach; templates of so many terms or more have windows.
+LEAST_WHOLE, WINDOW_TERMS = 0.75, 8
+#: An SPDX expression, its exceptions, what parts its identifiers, and what an identifier may end in.
+SPDX, EXCEPTION, PARTS, SUFFIX = r"(?i)spdx-license-identifier:[ \t]*([^\r\n]*)", r"[ \t]+with[ \t]+[^ \t()]+", r"[ \t]+(?:or|and)[ \t]+|[()]", r"[ \t]*\*/$|-(?:only|or-later)$|\+$"
 
 
 def _terms(text: str) -> F.Column:
@@ -61,17 +89,76 @@ def template_weights(templates: DataFrame) -> DataFrame:
     return w.join(norm, each).select(*each, "term", (F.col("w") / F.col("norm")).alias("w"))
 
 
-def classify(files: DataFrame, templates: DataFrame, least: float = LEAST) -> DataFrame:
+def _long_terms(notice: str) -> list[str]:
+    return [m.group() for m in re.finditer(TERM, notice.lower()) if m.group() not in STOP]
+
+
+def openings(templates: list[tuple[str, str]]) -> list[tuple[str, str, int]]:
+    """(first term, second term, number of terms) of the templates that have windows."""
+    longer = [x for _, notice in templates if len(x := _long_terms(notice)) >= WINDOW_TERMS]
+    return sorted({(x[0], x[1], len(x)) for x in longer})
+
+
+def windows(files: DataFrame, templates: DataFrame) -> DataFrame:
+    """(file_id, notice): of each whole text, where a longer template's first two terms follow one another, as many terms as it has.
+
+    The templates, a list that a user writes, are read by the driver.  Texts without a first term are left out before they
+    come to Python; a text is searched for first terms, and only what follows one is cut into terms, window by window.
+    """
+    begins = openings([(r.licence, r.notice) for r in templates.select("licence", "notice").distinct().collect()])
+    if not begins:
+        return files.select("file_id", F.lit("").alias("notice")).limit(0)
+    firsts = r"(?<![a-z])(?<![a-z]-)(?:" + "|".join(sorted({re.escape(x) for x, _, _ in begins})) + r")(?!-?[a-z])"
+    id_type = files.schema["file_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, term, most = re.compile(firsts), re.compile(TERM), max(n for _, _, n in begins)
+
+        def out(rows: list[int], found: list[str], batch: pa.RecordBatch) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(found, pa.string())], names=["file_id", "notice"])
+
+        for batch in batches:
+            rows, found = [], []
+            for k, value in enumerate(batch.column(1)):
+                text, seen = value.as_py(), set()
+                for m in first.finditer(text):
+                    ahead = list(islice((t for x in term.finditer(text, m.start()) if (t := x.group()) not in STOP), most))
+                    for a, b, n in begins:
+                        if ahead[:2] == [a, b] and (notice := " ".join(ahead[:n])) not in seen:
+                            seen.add(notice)
+                            rows.append(k)
+                            found.append(notice)
+                    if len(seen) > 10_000:  # a text of very many windows: those that come again are told apart later
+                        yield out(rows, found, batch)
+                        rows, found, seen = [], [], set()
+            yield out(rows, found, batch)
+
+    lower = F.lower("text")
+    return files.select("file_id", lower.alias("text")).where(F.col("text").rlike(firsts)).mapInArrow(run, f"file_id {id_type}, notice string")
+
+
+def identifiers(files: DataFrame) -> DataFrame:
+    """(file_id, notice): each identifier of the SPDX expressions of the texts as a notice of its own; exceptions, versions and suffixes are left out."""
+    said = F.regexp_extract_all("text", F.lit(SPDX), F.lit(1))
+    parts = F.flatten(F.transform(said, lambda x: F.split(F.regexp_replace(F.lower(x), EXCEPTION, ""), PARTS)))
+    clean = F.filter(F.transform(parts, lambda x: F.regexp_replace(F.regexp_replace(F.trim(x), SUFFIX, ""), "[0-9]+", "")), lambda x: x != "")
+    named = F.array_distinct(F.transform(clean, lambda x: F.concat(F.lit("spdx-license-identifier: "), x)))
+    return files.where(F.col("text").rlike(SPDX)).select("file_id", F.explode(named).alias("notice"))
+
+
+def classify(files: DataFrame, templates: DataFrame, least: float = LEAST, least_whole: float = LEAST_WHOLE) -> DataFrame:
     """(file_id, licence, score) of the files (file_id, text) with a licence notice that is like a template (licence, notice).
 
-    Each line of the whole text with a licence marker is a notice.  Distinct notices (digits out) are scored once however
-    many files carry them: the greatest cosine of the notice's TF-IDF vector with those of a licence's templates, terms
-    weighed by the templates' idf, stop words left out.  A file has the licence of its best notice at ``least`` or above;
-    ties go to the first name.  The notices are written to a table, so that texts are read and searched once.
+    Distinct notices are scored once however many files carry them: the greatest cosine of the notice's TF-IDF vector with
+    those of a licence's templates, terms weighed by the templates' idf, stop words left out; ties go to the first name.
+    A file has the licences of all its windows and SPDX identifiers at ``least_whole`` or above, parted by commas in the
+    order of their names, with the best score.  Only where there are none, it has that of the best of its lines with a
+    licence marker (digits out) at ``least`` or above.  The notices are written to a table, so that each kind reads the texts once.
     """
     lines = F.filter(F.split("text", r"\r\n|\n|\r"), lambda x: x.rlike(MARKERS))
     notice = F.array_distinct(F.transform(lines, lambda x: F.lower(F.trim(F.regexp_replace(x, "[0-9]+", "")))))
-    noted = settle(files.where(F.col("text").rlike(MARKERS)).select("file_id", F.explode(notice).alias("notice")), "notices")
+    by_line = files.where(F.col("text").rlike(MARKERS)).select("file_id", F.explode(notice).alias("notice"))
+    noted = settle(by_line.withColumn("whole", F.lit(False)).union(windows(files, templates).union(identifiers(files)).withColumn("whole", F.lit(True))), "notices")
     weights = template_weights(templates)
     distinct = noted.select("notice").distinct()
     idf = F.log((F.lit(1.0) + F.col("k")) / (F.lit(1.0) + F.coalesce("df", F.lit(0)))) + 1.0
@@ -81,16 +168,19 @@ def classify(files: DataFrame, templates: DataFrame, least: float = LEAST) -> Da
     length = w.groupBy("notice").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
     dot = w.join(weights, "term").groupBy("notice", "licence", "template").agg(F.sum(F.col("v") * F.col("w")).alias("dot"))
     score = F.round(F.col("dot") / F.col("length"), 4)
-    near = dot.join(length, "notice").select("notice", "licence", score.alias("score")).where(F.col("score") >= least)
+    near = dot.join(length, "notice").select("notice", "licence", score.alias("score")).where(F.col("score") >= min(least, least_whole))
     best = near.groupBy("notice").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("m"))
-    of_file = noted.join(best, "notice").groupBy("file_id").agg(F.min("m").alias("m"))
-    return of_file.select("file_id", F.col("m.licence").alias("licence"), (-F.col("m.s")).alias("score"))
+    like = noted.join(best, "notice").where(-F.col("m.s") >= F.when(F.col("whole"), least_whole).otherwise(least))
+    whole = F.col("whole")
+    of_file = like.groupBy("file_id").agg(F.collect_set(F.when(whole, F.col("m.licence"))).alias("stated"), F.min(F.when(whole, F.col("m"))).alias("best"), F.min(F.when(~whole, F.col("m"))).alias("line"))
+    licence = F.when(F.size("stated") > 0, F.array_join(F.sort_array("stated"), ", ")).otherwise(F.col("line.licence"))
+    return of_file.select("file_id", licence.alias("licence"), (-F.coalesce("best.s", "line.s")).alias("score"))
 
 
 def scan(files: DataFrame, templates: DataFrame, least: float = LEAST) -> DataFrame:
     """(file_id, directory, own, score, licence, inherited_from) for every file (file_id, path, text).
 
-    A file's own notice decides; else the licence of the nearest directory at or above its own that has a licence file
+    A file's own notices decide; else the licence of the nearest directory at or above its own that has a licence file
     (named LICENSE or COPYING, with any extension; of several in a directory the best score, then the first name, counts).
     Directories, not files, are matched to their ancestors, so a directory with a third of all files is matched once.
     A null path is a file without directory; null, empty and unmarked texts have no notice; repeated rows stay; rows that

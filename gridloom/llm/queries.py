@@ -161,7 +161,13 @@ FROM p JOIN pages ON pages.page_id = p.page_id LEFT JOIN f ON f.d = p.d AND n >=
     + ", ".join(f"('{name}', '{notice}')" for name, notice in licenses.TEMPLATES)
     + rf"""),
 files AS (SELECT doc_id, text, coalesce(source, 'none') || '/p' || ((doc_id // 7) % 40) || CASE WHEN doc_id % 3 > 0 THEN '/d' || ((doc_id // 21) % 6) ELSE '' END || CASE WHEN doc_id % 3 = 2 THEN '/s' || (doc_id % 4) ELSE '' END AS directory, doc_id % 7 = 0 AS is_licence FROM documents),
-noted AS (SELECT DISTINCT doc_id, lower(trim(regexp_replace(line, '[0-9]+', '', 'g'))) AS notice FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\r\n|\n|\r')) AS line FROM files) WHERE regexp_matches(line, '{licenses.MARKERS}')),
+opening(a, b, n) AS (VALUES {", ".join(str(x) for x in licenses.openings(licenses.TEMPLATES))}),
+terms AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '{licenses.TERM}'), lambda x: x NOT IN {licenses.STOP}) AS t FROM files),
+spdx AS (SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(lower(said), '{licenses.EXCEPTION}', '', 'g'), '{licenses.PARTS}')) AS part FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{licenses.SPDX}', 1)) AS said FROM files)),
+named AS (SELECT doc_id, regexp_replace(regexp_replace(trim(part), '{licenses.SUFFIX}', '', 'g'), '[0-9]+', '', 'g') AS name FROM spdx),
+noted AS (SELECT DISTINCT doc_id, lower(trim(regexp_replace(line, '[0-9]+', '', 'g'))) AS notice, false AS whole FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\r\n|\n|\r')) AS line FROM files) WHERE regexp_matches(line, '{licenses.MARKERS}')
+          UNION SELECT doc_id, array_to_string(t[i:i + n - 1], ' '), true FROM (SELECT doc_id, t, unnest(range(1, len(t))) AS i FROM terms WHERE len(list_intersect(t, (SELECT list(a) FROM opening))) > 0) JOIN opening ON t[i] = a AND t[i + 1] = b
+          UNION SELECT doc_id, 'spdx-license-identifier: ' || name, true FROM named WHERE name <> ''),
 ttf AS (SELECT licence, template, term, count(*) AS tf FROM (SELECT licence, notice AS template, unnest(regexp_extract_all(lower(notice), '{licenses.TERM}')) AS term FROM t) WHERE term NOT IN {licenses.STOP} GROUP BY ALL),
 df AS (SELECT term, count(*) AS df FROM ttf GROUP BY term),
 k AS (SELECT count(*) AS k FROM t),
@@ -171,7 +177,10 @@ ntf AS (SELECT notice, term, count(*) AS tf FROM (SELECT notice, unnest(regexp_e
 nw AS (SELECT notice, term, tf * (ln((1.0::DOUBLE + k) / (1 + coalesce(df, 0))) + 1) AS v FROM ntf LEFT JOIN df USING (term), k),
 size AS (SELECT notice, sqrt(sum(v * v)) AS size FROM nw GROUP BY notice),
 cosine AS (SELECT notice, licence, template, round(sum(v * w) / any_value(size), 4) AS score FROM nw JOIN tu USING (term) JOIN size USING (notice) GROUP BY ALL),
-own AS (SELECT doc_id, licence, score FROM noted JOIN cosine USING (notice) WHERE score >= {licenses.LEAST} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence) = 1),
+best AS (SELECT notice, licence, score FROM cosine QUALIFY row_number() OVER (PARTITION BY notice ORDER BY score DESC, licence) = 1),
+liked AS (SELECT doc_id, whole, licence, score FROM noted JOIN best USING (notice) WHERE score >= CASE WHEN whole THEN {licenses.LEAST_WHOLE} ELSE {licenses.LEAST} END),
+own AS (SELECT doc_id, string_agg(DISTINCT licence, ', ' ORDER BY licence) AS licence, max(score) AS score FROM liked WHERE whole GROUP BY doc_id
+        UNION ALL SELECT doc_id, licence, score FROM liked WHERE doc_id NOT IN (SELECT doc_id FROM liked WHERE whole) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence) = 1),
 placed AS (SELECT files.doc_id, directory, is_licence, licence, score FROM files LEFT JOIN own USING (doc_id)),
 given AS (SELECT directory AS ancestor, licence AS given FROM placed WHERE is_licence AND licence IS NOT NULL QUALIFY row_number() OVER (PARTITION BY directory ORDER BY score DESC, licence) = 1),
 up AS (SELECT directory, ancestor, given FROM (SELECT DISTINCT directory FROM placed) d JOIN given ON d.directory = ancestor OR starts_with(d.directory, ancestor || '/') QUALIFY row_number() OVER (PARTITION BY directory ORDER BY length(ancestor) DESC) = 1)

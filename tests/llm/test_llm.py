@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -403,6 +404,30 @@ def test_license_notices(spark):
     assert by_name == got  # letter case and other lines do not matter
 
 
+def test_license_headers(spark):
+    """Full notices in one line, wrapped, as comments and inside long lines; SPDX expressions; several licences in a file; mere mentions."""
+    gpl = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    found = {
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0': "Apache-2.0",
+        gpl.format(""): "GPL", gpl.format("Lesser "): "LGPL", gpl.format("Affero "): "AGPL",
+        "Copyright (c) 2020, Acme. All rights reserved. Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice": "BSD",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.": "MPL-2.0",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction": "MIT",
+        "SPDX-License-Identifier: (GPL-2.0-only WITH Classpath-exception-2.0)": "GPL", "SPDX-License-Identifier: MIT OR Apache-2.0": "Apache-2.0, MIT", "/* SPDX-License-Identifier: (LGPL-2.1+ AND MIT) */": "LGPL, MIT", "SPDX-License-Identifier: ISC AND EPL-2.0": None,
+        "free software is software that users may run, study and change, as the foundation of that name published long ago": None, "we redistribute source and binary forms of the library to the public and obtained permission": None,
+        "He wrote at length of how a general public license differs from what the mozilla and apache projects use in practice": None,
+    }
+    t = spark.createDataFrame(list(licenses.TEMPLATES), "licence string, notice string")
+    wrapped = {k: "#!/bin/sh\n" + "\n".join(" * " + x for x in textwrap.wrap(k, 60)) + "\ncode\n" if not k.startswith(("SPDX", "/*")) else k for k in found}
+    inside = {k: "lorem ipsum " * 50_000 + k + " dolor sit" * 500 if "SPDX" not in k else f"x\n{k}\ny" for k in found}
+    for form in ({k: k for k in found}, wrapped, inside):
+        files = spark.createDataFrame([(n, text) for n, text in enumerate(form.values())], "file_id long, text string")
+        got = {r.file_id: r.licence for r in licenses.classify(files, t).collect()}
+        assert {k: got.get(n) for n, k in enumerate(form)} == found
+    many = spark.createDataFrame([(1, "\n".join(f"free software {chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for k in range(12_000)) + "\n" + gpl.format(""))], "file_id long, text string")
+    assert [(r.file_id, r.licence) for r in licenses.classify(many, t).collect()] == [(1, "GPL")]  # more windows than are held at once
+
+
 def test_size_classes_of_items(spark):
     """Items of each size class, at the bound of containment and just below it, inside long documents."""
     rng = np.random.default_rng(9)
