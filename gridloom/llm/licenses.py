@@ -158,19 +158,19 @@ def classify(files: DataFrame, templates: DataFrame, least: float = LEAST, least
     lines = F.filter(F.split("text", r"\r\n|\n|\r"), lambda x: x.rlike(MARKERS))
     notice = F.array_distinct(F.transform(lines, lambda x: F.lower(F.trim(F.regexp_replace(x, "[0-9]+", "")))))
     by_line = files.where(F.col("text").rlike(MARKERS)).select("file_id", F.explode(notice).alias("notice"))
-    noted = settle(by_line.withColumn("whole", F.lit(False)).union(windows(files, templates).union(identifiers(files)).withColumn("whole", F.lit(True))), "notices")
+    noted = settle(by_line.withColumn("whole", F.lit(False)).union(windows(files, templates).union(identifiers(files)).withColumn("whole", F.lit(True))).withColumn("key", F.md5("notice")), "notices")  # long notices are known by key
     weights = template_weights(templates)
-    distinct = noted.select("notice").distinct()
+    distinct = noted.dropDuplicates(["key"]).select("key", "notice")
     idf = F.log((F.lit(1.0) + F.col("k")) / (F.lit(1.0) + F.coalesce("df", F.lit(0)))) + 1.0
     df = weights.groupBy("term").agg(F.count("*").alias("df"))
-    tf = distinct.select("notice", F.explode(_terms("notice")).alias("term")).groupBy("notice", "term").agg(F.count("*").alias("tf"))
-    w = tf.join(df, "term", "left").withColumn("k", F.lit(templates.select("licence", "notice").distinct().count())).select("notice", "term", (F.col("tf") * idf).alias("v"))
-    length = w.groupBy("notice").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
-    dot = w.join(weights, "term").groupBy("notice", "licence", "template").agg(F.sum(F.col("v") * F.col("w")).alias("dot"))
+    tf = distinct.select("key", F.explode(_terms("notice")).alias("term")).groupBy("key", "term").agg(F.count("*").alias("tf"))
+    w = tf.join(df, "term", "left").withColumn("k", F.lit(templates.select("licence", "notice").distinct().count())).select("key", "term", (F.col("tf") * idf).alias("v"))
+    length = w.groupBy("key").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
+    dot = w.join(weights, "term").groupBy("key", "licence", "template").agg(F.sum(F.col("v") * F.col("w")).alias("dot"))
     score = F.round(F.col("dot") / F.col("length"), 4)
-    near = dot.join(length, "notice").select("notice", "licence", score.alias("score")).where(F.col("score") >= min(least, least_whole))
-    best = near.groupBy("notice").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("m"))
-    like = noted.join(best, "notice").where(-F.col("m.s") >= F.when(F.col("whole"), least_whole).otherwise(least))
+    near = dot.join(length, "key").select("key", "licence", score.alias("score")).where(F.col("score") >= min(least, least_whole))
+    best = near.groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("m"))
+    like = noted.select("file_id", "key", "whole").join(best, "key").where(-F.col("m.s") >= F.when(F.col("whole"), least_whole).otherwise(least))
     whole = F.col("whole")
     of_file = like.groupBy("file_id").agg(F.collect_set(F.when(whole, F.col("m.licence"))).alias("stated"), F.min(F.when(whole, F.col("m"))).alias("best"), F.min(F.when(~whole, F.col("m"))).alias("line"))
     licence = F.when(F.size("stated") > 0, F.array_join(F.sort_array("stated"), ", ")).otherwise(F.col("line.licence"))
