@@ -7,8 +7,8 @@
    of the rest only the prefix of the m - T + 1 rarest shared values is kept, since two
    classes with T matches must meet in it (prefix and skip).
 3. A class is at home under the most frequent value of its prefix and visits the homes of all
-   classes that it meets under a prefix value.  Homes are split into blocks of bounded size,
-   visitors into slices, so a group of any size is dealt over many tasks, and no pair is ever
+   classes that it meets under a prefix value.  Homes are split into blocks, visitors into slices, of bounded rows and
+   shingles, so a group of any size is dealt over many tasks, and no pair is ever
    a row: a task counts coordinate collisions of its block in numpy, keeps pairs of T matches
    or more, confirms them on the full sets, and emits a spanning forest of confirmed links.
    In a home of more than a block, some pivots are held against all first; what they join to one
@@ -34,7 +34,7 @@ from . import rows as of_row
 from .hashing import as_unsigned, list_array, minima, mix, shingle_sets
 
 WORDS, COORDINATES, MATCHES = 5, 64, 30
-BLOCK_ROWS, BLOCK_SHINGLES, SLICE_ROWS = 512, 1 << 18, 2048
+BLOCK_ROWS, BLOCK_SHINGLES, SLICE_ROWS, SLICE_SHINGLES = 512, 1 << 18, 2048, 1 << 22
 #: About so many classes of a large home are held against all others first.
 PIVOTS = 32
 
@@ -82,9 +82,9 @@ def _visits(prefix: DataFrame) -> DataFrame:
 def _dealt(inner: DataFrame, visits: DataFrame, sizes: DataFrame) -> DataFrame:
     """(rep, home, block, slice, role): all of ``visits`` held against all of ``inner`` (both rep, home); role bit 1: belongs to the block, bit 2: is held against it.
 
-    sizes: home, n and s (classes of inner and their shingles), v (visits).
+    sizes: home, n and s (classes of inner and their shingles), v and vs (visits and their shingles).
     """
-    sizes = sizes.select("home", F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"), F.ceil(F.col("v") / SLICE_ROWS).cast("int").alias("slices"))
+    sizes = sizes.select("home", F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"), F.greatest(F.ceil(F.col("v") / SLICE_ROWS), F.ceil(F.col("vs") / SLICE_SHINGLES)).cast("int").alias("slices"))
     spot = lambda n, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = inner.select("rep", "home").join(sizes, "home").select("rep", "home", spot("blocks", 1).alias("block"), every("slices").alias("slice"), F.lit(1).alias("role"))
@@ -104,7 +104,7 @@ def _unsettled(visits: DataFrame, sizes: DataFrame, reached: DataFrame) -> tuple
     rest = F.col("all") - F.col("in_most")
     plan = sizes.join(most, "home").where(rest > 0).withColumn("outside", rest <= F.col("n"))
     inner = found.join(plan.select("home", "most", "outside"), "home").where(F.when(F.col("outside"), F.col("component") != F.col("most")).otherwise(F.col("dwells")))
-    left = plan.select("home", F.when(F.col("outside"), rest).otherwise(F.col("n")).alias("n"), F.when(F.col("outside"), F.col("s_all") - F.col("s_most")).otherwise(F.col("s")).alias("s"), "v")
+    left = plan.select("home", F.when(F.col("outside"), rest).otherwise(F.col("n")).alias("n"), F.when(F.col("outside"), F.col("s_all") - F.col("s_most")).otherwise(F.col("s")).alias("s"), "v", "vs")
     return inner.select("rep", "home"), left
 
 
@@ -194,7 +194,7 @@ def _judged(docs: DataFrame, percent: int, size: int, matches: int) -> DataFrame
     classes = settle(classes, "classes")
     prefix = settle(_prefixes(classes, matches), "prefixes")
     visits = settle(_visits(prefix), "visits")
-    sizes = visits.groupBy("home").agg(F.count_if("dwells").alias("n"), F.sum(F.when(F.col("dwells"), F.col("n_shingles")).otherwise(0)).alias("s"), F.count("*").alias("v"))
+    sizes = visits.groupBy("home").agg(F.count_if("dwells").alias("n"), F.sum(F.when(F.col("dwells"), F.col("n_shingles")).otherwise(0)).alias("s"), F.count("*").alias("v"), F.sum("n_shingles").alias("vs"))
     sizes = settle(sizes.where("v > 1"), "homes")
     texts = docs.where("doc_id is not null").withColumnRenamed("doc_id", "rep")
     if not sk.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():  # else each repetition of a row would be compared
@@ -210,7 +210,7 @@ def _judged(docs: DataFrame, percent: int, size: int, matches: int) -> DataFrame
     if not large.isEmpty():
         chosen = F.pmod(F.xxhash64("rep", F.lit(3)), F.ceil(F.col("v") / PIVOTS)) == 0
         pivots = settle(visits.join(large.select("home", "v"), "home").where(chosen).select("rep", "home", "n_shingles"), "pivots")
-        about = pivots.groupBy("home").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s")).join(large.select("home", "v"), "home")
+        about = pivots.groupBy("home").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s")).join(large.select("home", "v", "vs"), "home")
         links = settle(linked(_dealt(pivots, visits, about)), "pivot-links")
         more, of_large = _unsettled(visits, large, components(links).withColumnRenamed("node", "rep"))
         inner, left = inner.join(small.select("home"), "home", "left_semi").select("rep", "home").union(more), small.union(of_large.select(*small.columns))

@@ -83,11 +83,22 @@ def test_near_duplicates_table_and_chains(spark):
 def test_blocks_and_slices(spark, monkeypatch):
     monkeypatch.setattr(nearcopies, "BLOCK_ROWS", 4)
     monkeypatch.setattr(nearcopies, "SLICE_ROWS", 5)
+    monkeypatch.setattr(nearcopies, "SLICE_SHINGLES", 100)
     rows = [(k, " ".join([*(f"w{i}" for i in range(80)), f"v{k}"])) for k in range(40)]
     got = nearcopies.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.component_id for r in got.collect()} == {0}
 
 
+def test_slices_of_long_texts(spark, monkeypatch):
+    """Few visitors of many shingles are dealt over slices, each with a bounded share of them."""
+    monkeypatch.setattr(nearcopies, "SLICE_SHINGLES", 4000)
+    visits = spark.createDataFrame([(k, 7) for k in range(400)], "rep long, home long")
+    dealt = nearcopies._dealt(visits.where("rep < 3"), visits, spark.createDataFrame([(7, 3, 300, 400, 40_000)], "home long, n long, s long, v long, vs long"))
+    held = collections.Counter((r.block, r.slice) for r in dealt.where("role >= 2").collect())
+    assert len(held) == 10 and sum(held.values()) == 400 and max(held.values()) < 80
+    assert {(r.rep, r.slice) for r in dealt.where("role % 2 = 1").collect()} == {(k, n) for k in range(3) for n in range(10)}
+
+
 def test_pivots(spark, monkeypatch):
     """Large homes in which pivots settle all, some or hardly any of the links."""
     for name, value in (("BLOCK_ROWS", 16), ("SLICE_ROWS", 40), ("PIVOTS", 2)):
