@@ -1,20 +1,18 @@
 """Language identification by interpolated Kneser-Ney character models.
 
-Counts of character 4-grams of all training texts are summed on Spark.  Lower orders use continuation counts
-(how many different characters stand before a gram), so the 4-gram table is all that a model needs.  For
-prediction the models are sorted arrays of 64-bit gram hashes beside a column of log probabilities for each
-language, with a radix index in front of the binary search; grams that no language has seen fall back to the
-context's left-over weight times the next lower order.  A table of more grams than one task should hold is dealt into
-parts by the symbol before the last, which a gram, its context and all their lower orders but the first share: each part
-is fitted by itself with the discounts and symbol counts of the whole, and a text's score is the sum over the parts.
+Counts of character 4-grams of all texts are summed on Spark.  Lower orders use continuation counts (how many different
+characters stand before a gram), so the 4-gram table of the labelled texts is all that the models need: discounted shares of
+grams and left-over weights of contexts are tables of each order, and the log probabilities of every gram that any text holds
+come from them by joins, order by order.  For prediction the most common grams are a sorted array of 64-bit hashes beside a
+column of log probabilities for each language, with a radix index in front of the binary search; its size is bounded.  What a
+text holds beside these is joined with the table of the other grams, so that texts are read once for scoring whatever the
+number of grams, and no gram of that join is a common one.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +21,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..tables import settle
 from . import rows as of_row
-from .hashing import groups_of_rows, mix, text_buffers
+from .hashing import PIECE, groups_of_rows, list_array, mix, text_buffers
 
 ORDER = 4
-#: A part of the table has about so many 4-grams of all languages together; a symbol is not divided.
-PART_GRAMS = 2_000_000
+#: The array of common grams that tasks get has at most so many values (4 bytes each, a gram has one for each language and two for its hash).
+HEAD_VALUES = 8_000_000
+#: A task sends on its counts when it holds so many grams.
+HELD_GRAMS = 4_000_000
 #: Share of calibration documents of a language that may score worse than its rejection threshold before the margin is added.
 REJECTED_SHARE, REJECTION_MARGIN = 0.001, 1.5
 TEMPERATURES = (0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
@@ -79,33 +79,57 @@ def _grams(symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
     return key
 
 
-def gram_counts(labelled: DataFrame) -> DataFrame:
-    """(lang, gram, n) of labelled (text, lang): each task adds up its own counts first."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-
-        def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-            keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-            return keys, np.bincount(back, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
-
-        for batch in batches:
-            raw, offs = text_buffers(batch.column(0))
-            langs = np.asarray(batch.column(1).to_pylist(), object)
-            for a, b in groups_of_rows(offs):
-                symbol, row = _symbols(raw[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-                key = _grams(symbol, row)
-                names, which = np.unique(langs[a:b].astype(str), return_inverse=True)
-                for k, name in enumerate(names):
-                    grams, n = np.unique(key[which[row] == k] if len(names) > 1 else key, return_counts=True)
-                    held.setdefault(name, []).append((grams, n))
-                    if len(held[name]) >= 16:
-                        held[name] = [merged(held[name])]
+def _runs(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, 4-gram, last symbol) of all symbols of a column's texts, about a megabyte of text at a time; a longer text comes in pieces."""
+    raw, offs = text_buffers(column)
+    for a, b in groups_of_rows(offs):
+        if offs[b] - offs[a] <= PIECE:
+            symbol, row = _symbols(raw[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
+            yield row + a, _grams(symbol, row), symbol
+            continue
+        before, at = np.full(ORDER - 1, _SPACE, np.uint16), int(offs[a])
+        while at < offs[b]:
+            end = min(int(offs[b]), at + PIECE)
+            while end < offs[b] and raw[end] & 0xC0 == 0x80:
+                end += 1
+            symbol, _ = _symbols(raw[at:end], np.array([0, end - at]))
+            if at > offs[a]:  # of the space at the start only what the text itself has there stays
+                first = ord(raw[at : at + 4].tobytes().decode("utf-8", "replace")[0])
+                symbol = symbol[int(before[-1] == _SPACE or _fold_table()[first] != _SPACE) :]
+            whole = np.concatenate([before, symbol])
+            yield np.full(len(symbol), a), _grams(whole, np.zeros(len(whole), np.int64))[ORDER - 1 :], symbol
+            before, at = whole[-(ORDER - 1) :], end
+
+
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """(lang, gram, n) of texts (text, lang), a null lang being one of its own: each task adds up its own counts first."""
+
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        return keys, np.bincount(back, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
+
+    def sent(held: dict[str | None, list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
         for name, parts in held.items():
             keys, n = merged(parts)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
-    counts = labelled.select("text", "lang").mapInArrow(run, "lang string, gram long, n long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str | None, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for batch in batches:
+            coded = batch.column(1).dictionary_encode()
+            names = [*coded.dictionary.to_pylist(), None]
+            which = coded.indices.fill_null(len(names) - 1).to_numpy(zero_copy_only=False)
+            for row, key, _ in _runs(batch.column(0)):
+                for k in np.unique(which[row]):
+                    held.setdefault(names[k], []).append(np.unique(key[which[row] == k], return_counts=True))
+                    if len(held[names[k]]) >= 16:
+                        held[names[k]] = [merged(held[names[k]])]
+                if sum(len(keys) for parts in held.values() for keys, _ in parts) > HELD_GRAMS:
+                    yield from sent(held)
+                    held = {}
+        yield from sent(held)
+
+    counts = texts.select("text", "lang").mapInArrow(run, "lang string, gram long, n long")
     return counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -115,7 +139,7 @@ class HashTable:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         hashes = mix(keys)
         order = np.argsort(hashes)
-        self.hashes, self.values = np.append(hashes[order], _U(0xFFFFFFFFFFFFFFFF)), values[order].astype(np.float32)
+        self.hashes, self.values = np.append(hashes[order], _U(0xFFFFFFFFFFFFFFFF)), np.append(values[order].astype(np.float32), np.zeros((1, values.shape[1]), np.float32), axis=0)
         self.shift = _U(64 - max(4, len(keys).bit_length()))
         self.first = np.searchsorted(self.hashes[:-1], np.arange(1 << int(64 - int(self.shift)), dtype=_U) << self.shift).astype(np.int64)
         ends = np.append(self.first[1:], len(keys))
@@ -127,180 +151,140 @@ class HashTable:
         at = self.first[h >> self.shift]
         for _ in range(self.deepest):
             at += self.hashes[at] < h
-        return np.minimum(at, len(self.values) - 1), self.hashes[at] == h
+        return at, self.hashes[at] == h
 
 
 @dataclass
 class Models:
-    langs: list[str]
-    #: By order 1 to 4: log probabilities of grams, and log left-over weights of contexts one symbol shorter.
-    grams: list[HashTable]
-    contexts: list[HashTable]
-    floor: np.ndarray
-
-    def score(self, keys: np.ndarray, order: int = ORDER) -> np.ndarray:
-        """Log probability (keys x languages) of each gram's last symbol after the others."""
-        if order == 0:
-            return np.broadcast_to(self.floor, (len(keys), len(self.langs)))
-        at, there = self.grams[order - 1].find(keys)
-        out = self.grams[order - 1].values[at]
-        if not there.all():
-            lost = np.flatnonzero(~there)
-            rest = keys[lost]
-            place, known = self.contexts[order - 1].find(rest >> _U(16))
-            left = np.where(known[:, None], self.contexts[order - 1].values[place], np.float32(0))
-            out[lost] = left + self.score(rest & _U((1 << (16 * (order - 1))) - 1), order - 1)
-        return out
-
-
-@dataclass
-class Laws:
-    """What the models of a part take from the whole table."""
+    """By order 1 to 4: seen (lang, key, share), the discounted share of a gram in its context, and left (lang, head, weight), what a context leaves to the next lower order."""
 
     langs: list[str]
-    discounts: dict[tuple[str, int], float]
-    #: By language: its symbols, and how many different symbols stand before each.
-    symbols: dict[str, tuple[np.ndarray, np.ndarray]]
+    seen: dict[int, DataFrame]
+    left: dict[int, DataFrame]
+    floor: dict[str, float]
 
 
 def _discount(ones: int, twos: int) -> float:
     return ones / (ones + 2 * twos) if ones and twos else 0.5
 
 
-def laws(counts: DataFrame) -> Laws:
-    """Discounts of each order and counts of single symbols, from all counts (lang, gram, n)."""
-    found, now = {}, counts
+def _of_lang(values: dict[str, float]) -> F.Column:
+    return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col("lang"))
+
+
+def _last(order: int) -> F.Column:
+    """The last symbols of a gram."""
+    return F.col("gram") if order == ORDER else F.col("gram").bitwiseAND(F.lit((1 << (16 * order)) - 1))
+
+
+def fit(counts: DataFrame) -> Models:
+    """Interpolated Kneser-Ney models of each language from its 4-gram counts (lang, gram, n); the driver sees some numbers for each language and order."""
+    now, seen, left, sizes = counts, {}, {}, {}
     for order in range(ORDER, 0, -1):
         if order < ORDER:
-            now = now.groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << (16 * order)) - 1)).alias("gram")).agg(F.count("*").alias("n"))
-            now = settle(now, "grams")
-        for r in now.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")).collect():
-            found[r.lang, order] = _discount(r.ones, r.twos)
-    langs = sorted({lang for lang, _ in found})
-    table = now.orderBy("lang", "gram").toArrow()
-    names = np.asarray(table.column("lang").to_pylist(), object)
-    grams, n = table.column("gram").to_numpy().view(_U), table.column("n").to_numpy()
-    return Laws(langs, found, {lang: (grams[names == lang], n[names == lang].astype(np.float64)) for lang in langs})
-
-
-def _parts(counts: DataFrame, part_grams: int) -> np.ndarray:
-    """The part of each symbol: the largest first, each to the part that has least."""
-    sizes = counts.groupBy(F.shiftrightunsigned("gram", 16).bitwiseAND(F.lit(0xFFFF)).alias("symbol")).agg(F.count("*").alias("k")).orderBy(F.desc("k"), "symbol").collect()
-    home = np.zeros(1 << 16, np.int32)
-    loads = [(0, p) for p in range(min(len(sizes), -(-sum(r.k for r in sizes) // part_grams)))]
-    for r in sizes:
-        load, p = heapq.heappop(loads)
-        home[r.symbol] = p
-        heapq.heappush(loads, (load + r.k, p))
-    return home
-
-
-def fit(counts: pa.Table, whole: Laws | None = None) -> Models:
-    """Interpolated Kneser-Ney models of each language from its 4-gram counts; from a part of them, with the laws of the whole."""
-    names = np.asarray(counts.column("lang").to_pylist(), object)
-    grams, n = counts.column("gram").to_numpy().view(_U), counts.column("n").to_numpy()
-    langs = whole.langs if whole else sorted(set(names.tolist()))
-    tables: list[list[tuple]] = [[] for _ in range(ORDER)]
-    sizes = []
-    for lang in langs:
-        mine = names == lang
-        keys, c = grams[mine], n[mine].astype(np.float64)
-        for order in range(ORDER, 0, -1):
-            if whole and order == 1:
-                keys, c = whole.symbols[lang]
-            discount = whole.discounts[lang, order] if whole else _discount((c == 1).sum(), (c == 2).sum())
-            heads, back, kinds = np.unique(keys >> _U(16), return_inverse=True, return_counts=True)
-            total = np.bincount(back, weights=c)
-            tables[order - 1].append((keys, (c - discount) / total[back], heads, discount * kinds / total))
-            if order > 1:
-                keys, c = np.unique(keys & _U((1 << (16 * (order - 1))) - 1), return_counts=True)
-                c = c.astype(np.float64)
-        sizes.append(len(tables[0][-1][0]))
-    models = Models(langs, [], [], np.log(1.0 / (np.array(sizes, np.float64) + 1)).astype(np.float32))
-    for order in range(1, ORDER + 1):
-        heads = np.unique(np.concatenate([t[2] for t in tables[order - 1]]))
-        left = np.zeros((len(heads), len(langs)))
-        for k, (_, _, own, weight) in enumerate(tables[order - 1]):
-            left[np.searchsorted(heads, own), k] = np.log(weight)
-        models.contexts.append(HashTable(heads, left))
-        keys = np.unique(np.concatenate([t[0] for t in tables[order - 1]]))
-        lower = models.score(keys & _U((1 << (16 * (order - 1))) - 1), order - 1)
-        value = left[np.searchsorted(heads, keys >> _U(16))] + lower
-        for k, (own, p, _, _) in enumerate(tables[order - 1]):
-            at = np.searchsorted(keys, own)
-            value[at, k] = np.logaddexp(np.log(np.maximum(p, 1e-300)), value[at, k])
-        models.grams.append(HashTable(keys, value))
-    return models
-
-
-def _entropies(docs: DataFrame, shared: Broadcast) -> DataFrame:
-    """docs (text and other columns) with n, the number of symbols (0 without a letter), and e, the cross-entropy per symbol under each language.
-
-    ``shared`` has the models, and for those of a part its number and the parts of symbols (else None): of other parts' grams e has nothing.
+            now = settle(now.groupBy("lang", _last(order).alias("gram")).agg(F.count("*").alias("n")), "grams")
+        found = now.groupBy("lang").agg(F.count("*").alias("size"), F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")).collect()
+        sizes = {r["lang"]: r["size"] for r in found}
+        discount = _of_lang({r["lang"]: _discount(r["ones"], r["twos"]) for r in found}) if found else F.lit(0.5)
+        grams = now.select("lang", F.col("gram").alias("key"), F.shiftrightunsigned("gram", 16).alias("head"), "n")
+        heads = settle(grams.groupBy("lang", "head").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")), "heads")
+        whole = F.broadcast(heads) if order == 1 else heads  # a row for each language
+        seen[order] = settle(grams.join(whole, ["lang", "head"]).select("lang", "key", ((F.col("n") - discount) / F.col("total")).alias("share")), "seen")
+        left[order] = heads.select("lang", "head", (discount * F.col("kinds") / F.col("total")).alias("weight"))
+    return Models(sorted(sizes), seen, left, {lang: 1.0 / (n + 1) for lang, n in sizes.items()})
+
+
+def log_probabilities(grams: DataFrame, models: Models) -> DataFrame:
+    """grams (gram and other columns, each gram once) with v, the log probability of the last symbol after the others by each language.
+
+    Tables of single symbols (at most 65,536 for each language) are broadcast, the others are joined by gram and language.
     """
+    now = grams.select("gram", F.explode(F.array(*[F.lit(x) for x in models.langs])).alias("lang")).withColumn("p", _of_lang(models.floor))
+    for order in range(1, ORDER + 1):
+        seen = F.broadcast(models.seen[order]) if order == 1 else models.seen[order]
+        left = F.broadcast(models.left[order]) if order <= 2 else models.left[order]
+        now = now.withColumn("key", _last(order)).withColumn("head", F.shiftrightunsigned("key", 16))
+        now = now.join(seen, ["lang", "key"], "left").join(left, ["lang", "head"], "left")
+        now = now.select("gram", "lang", (F.coalesce("share", F.lit(0.0)) + F.coalesce("weight", F.lit(1.0)) * F.col("p")).alias("p"))
+    each = now.groupBy("gram").agg(*[F.max(F.when(F.col("lang") == x, F.log("p"))).alias(f"p{k}") for k, x in enumerate(models.langs)])
+    return grams.join(each.select("gram", F.array(*[f"p{k}" for k in range(len(models.langs))]).alias("v")), "gram")
+
+
+def _head(table: DataFrame, langs: int, most: int) -> tuple[DataFrame, HashTable]:
+    """The table (gram, n, v) without its most common grams, and these: by classes of counts (powers of two), as many as ``most`` values hold."""
+    size = F.length(F.bin("n"))
+    room, least = most // (langs + 2), 65
+    for r in table.groupBy(size.alias("c")).agg(F.count("*").alias("k")).orderBy(F.desc("c")).collect():
+        if (room := room - r.k) < 0:
+            break
+        least = r.c
+    found = table.where(size >= least).select("gram", "v").toArrow()
+    values = found.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False) if found.num_rows else np.zeros(0)
+    return table.where(size < least), HashTable(found.column("gram").to_numpy().view(_U), values.reshape(-1, langs))
+
+
+def _entropies(docs: DataFrame, head: HashTable, langs: int) -> DataFrame:
+    """docs (text and other columns) with n, the number of symbols (0 without a letter), sums, their log probabilities by each language, and rest and times, the grams not in ``head``, which sums leave out, and how often they occur."""
     others = [c for c in docs.columns if c != "text"]
+    shared = docs.sparkSession.sparkContext.broadcast(head)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, part, home = shared.value
-        k = len(models.langs)
+        table = shared.value
         for batch in batches:
-            raw, offs = text_buffers(batch.column("text"))
-            for a, b in groups_of_rows(offs):
-                symbol, row = _symbols(raw[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-                count = np.bincount(row, minlength=b - a)
-                letters = np.bincount(row, weights=symbol != _SPACE, minlength=b - a)
-                sums = np.zeros((b - a, k))
-                if len(row):
-                    at = np.flatnonzero(count)
-                    keys = _grams(symbol, row)
-                    if home is None:
-                        score = models.score(keys)
-                    else:
-                        mine = home[(keys >> _U(16) & _U(0xFFFF)).astype(np.int64)] == part
-                        score = np.zeros((len(keys), k), np.float32)
-                        score[mine] = models.score(keys[mine])
-                    sums[at] = -np.add.reduceat(score, (np.cumsum(count) - count)[at], axis=0)
-                e = sums / np.maximum(count, 1)[:, None]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(a, b - a) for c in others), pa.array(np.where(letters > 0, count, 0)), pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a + 1) * k, k, dtype=np.int32)), pa.array(e.reshape(-1)))],
-                    names=[*others, "n", "e"],
-                )
+            size = batch.num_rows
+            count, letters, sums = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros((size, langs))
+            rest = [(np.zeros(0, np.int64), np.zeros(0, _U), np.zeros(0, np.int64))]
+            for row, key, symbol in _runs(batch.column("text")):
+                if not len(row):
+                    continue
+                a, b = int(row[0]), int(row[-1]) + 1
+                count[a:b] += np.bincount(row - a, minlength=b - a)
+                letters[a:b] += np.bincount(row[symbol != _SPACE] - a, minlength=b - a)
+                place, there = table.find(key)
+                value = np.where(there[:, None], table.values[place], np.float32(0))
+                starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+                sums[row[starts]] += np.add.reduceat(value, starts, axis=0, dtype=np.float64)
+                if not there.all():
+                    own, gram = row[~there], key[~there]
+                    order = np.lexsort((gram, own))
+                    own, gram = own[order], gram[order]
+                    fresh = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (gram[1:] != gram[:-1])]))
+                    rest.append((own[fresh], gram[fresh], np.diff(np.append(fresh, len(own)))))
+            own, gram, times = (np.concatenate(x) for x in zip(*rest))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(own, minlength=size))])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in others), pa.array(np.where(letters > 0, count, 0)), pa.ListArray.from_arrays(pa.array(np.arange(0, (size + 1) * langs, langs, dtype=np.int32)), pa.array(sums.reshape(-1))), list_array(ends, gram), list_array(ends, times)],
+                names=[*others, "n", "sums", "rest", "times"],
+            )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    return docs.mapInArrow(run, schema + ", n long, e array<double>")
-
-
-def _scored(rows: DataFrame, counts: DataFrame, part_grams: int) -> tuple[list[str], DataFrame]:
-    """The languages, and rows with n and e by the models of all counts."""
-    context = rows.sparkSession.sparkContext
-    if counts.count() <= part_grams:
-        models = fit(counts.toArrow())
-        return models.langs, settle(_entropies(rows, context.broadcast((models, None, None))), "entropies")
-    whole, home = laws(counts), _parts(counts, part_grams)
-    rows = settle(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
-    places = rows.sparkSession.createDataFrame([(int(s), int(home[s])) for s in np.flatnonzero(home)] or [(0, 0)], "symbol int, part int")
-    symbol = F.shiftrightunsigned("gram", 16).bitwiseAND(F.lit(0xFFFF)).cast("int")
-    dealt = settle(counts.withColumn("symbol", symbol).join(F.broadcast(places), "symbol", "left").select("lang", "gram", "n", F.coalesce("part", F.lit(0)).alias("part")), "grams")
-    done = []
-    for part in range(int(home.max()) + 1):
-        shared = context.broadcast((fit(dealt.where(F.col("part") == part).drop("part").toArrow(), whole), part, home))
-        done.append(settle(_entropies(rows, shared), "entropies"))
-        shared.destroy()
-    each = reduce(DataFrame.union, done)
-    others = [c for c in each.columns if c not in ("row", "e")]
-    total = F.array(*[F.sum(F.col("e")[k]) for k in range(len(whole.langs))]).alias("e")
-    return whole.langs, settle(each.groupBy("row").agg(*[F.first(c).alias(c) for c in others], total).drop("row"), "entropies")
-
-
-def _judged(docs: DataFrame, part_grams: int) -> DataFrame:
+    return docs.mapInArrow(run, schema + ", n long, sums array<double>, rest array<long>, times array<long>")
+
+
+def _scored(rows: DataFrame, counts: DataFrame, head_values: int) -> tuple[list[str], DataFrame]:
+    """The languages, and rows without texts, with n and e, the cross-entropy per symbol under each language; counts: those of all rows' grams, by language where it may be learned."""
+    models = fit(counts.where("lang is not null"))
+    langs = len(models.langs)
+    grams = counts.groupBy("gram").agg(F.sum("n").alias("n"))
+    tail, head = _head(settle(log_probabilities(grams, models), "probabilities"), langs, head_values)
+    part = settle(_entropies(rows.withColumn("row", F.monotonically_increasing_id()), head, langs), "sums")
+    e = lambda more: F.array(*[-(F.col("sums")[k] + more(k)) / F.greatest(F.lit(1), "n") for k in range(langs)]).alias("e")
+    others = [c for c in rows.columns if c != "text"] + ["n"]
+    some = F.size("rest") > 0
+    lost = part.where(some).select("row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select("row", F.col("x.rest").alias("gram"), "x.times")
+    more = lost.join(tail.select("gram", "v"), "gram").groupBy("row").agg(F.array(*[F.sum(F.col("times") * F.col("v")[k]) for k in range(langs)]).alias("more"))
+    whole = part.where(~some).select(*others, e(lambda k: F.lit(0.0)))
+    return models.langs, settle(whole.union(part.where(some).join(more, "row").select(*others, e(lambda k: F.col("more")[k]))), "entropies")
+
+
+def _judged(docs: DataFrame, head_values: int) -> DataFrame:
     """What :func:`identify` gives, and mark, a hash of the text."""
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
     rows = docs.select("doc_id", of_row.mark().alias("mark"), "text", "lang", F.coalesce(fold, F.lit(2)).cast("int").alias("fold"))
-    counts = gram_counts(rows.where("fold in (0, 1) and lang is not null"))
-    counts = settle(counts, "grams")
-    if counts.isEmpty():
+    counts = settle(gram_counts(rows.select("text", F.when(F.col("fold") < 2, F.col("lang")).alias("lang"))), "grams")
+    if counts.where("lang is not null").isEmpty():
         return rows.select("doc_id", "mark", (F.col("fold") == 2).alias("held_out"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("entropy"))
-    names, scored = _scored(rows, counts, part_grams)
+    names, scored = _scored(rows, counts, head_values)
     langs = F.array(*[F.lit(x) for x in names])
     least = F.array_min("e")
     confidence = lambda t: F.lit(1.0) / F.aggregate("e", F.lit(0.0), lambda s, x: s + F.exp((F.array_min("e") - x) * t))
@@ -321,7 +305,7 @@ def _judged(docs: DataFrame, part_grams: int) -> DataFrame:
     )
 
 
-def identify(docs: DataFrame, part_grams: int = PART_GRAMS) -> DataFrame:
+def identify(docs: DataFrame, head_values: int = HEAD_VALUES) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, rejected, entropy) for each row of ``docs`` (doc_id, text, lang).
 
     Models learn from the rows with a lang whose crc32(doc_id as text) mod 4 is 0 or 1; those of remainder 3 calibrate
@@ -331,10 +315,10 @@ def identify(docs: DataFrame, part_grams: int = PART_GRAMS) -> DataFrame:
     rejected: ``und``, or worse than the language's own calibration documents by a wide margin, given the text's length.
     Whole texts are used, of any length.  Rows that repeat are predicted alike.  An empty table gives an empty result.
     """
-    return _judged(docs, part_grams).drop("mark")
+    return _judged(docs, head_values).drop("mark")
 
 
-def spoken(docs: DataFrame, part_grams: int = PART_GRAMS) -> DataFrame:
+def spoken(docs: DataFrame, head_values: int = HEAD_VALUES) -> DataFrame:
     """``docs`` without the rows that :func:`identify` rejects; all columns stay, and so do accepted rows without a doc_id and repeated ones."""
-    bad = _judged(docs, part_grams).where("rejected").select("doc_id", F.col("mark").alias("bad")).distinct()
+    bad = _judged(docs, head_values).where("rejected").select("doc_id", F.col("mark").alias("bad")).distinct()
     return of_row.keyed(docs).join(bad, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("mark") == F.col("bad")), "left_anti").select("row.*")

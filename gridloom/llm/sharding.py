@@ -117,17 +117,11 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = 16, rounds: int
     return placed.select("node", "size", "shard")
 
 
-def shard(docs: DataFrame, shards: int = 16, rounds: int = 8) -> DataFrame:
-    """(doc_id, size, text_crc32, law, shard, slot, grown_shard): every row of ``docs`` in one of ``shards`` shards of near equal bytes.
-
-    Rows with equal texts are linked (each to the first of its hash bucket, these to the first of all; never all pairs) and
-    drawn into one shard as far as the byte quotas let them; a group larger than a shard is spread over several.  size is the text's UTF-8 bytes plus 1 (null: 1),
-    law is ``bytes``; slot numbers a shard's rows from 0 without gaps.  A null text has no checksum and no link.  Repeated rows
-    and null doc_ids are placed as rows of their own; other columns are ignored.  An empty table gives an empty result.
-    """
+def _placed(rows: DataFrame, shards: int, rounds: int) -> DataFrame:
+    """What :func:`shard` gives, and node; rows has node (unique long), doc_id and text."""
     text = F.col("text")
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
-    nodes = settle(docs.select(F.monotonically_increasing_id().alias("node"), "doc_id", size.alias("size"), F.crc32(text).alias("text_crc32"), F.md5(text).alias("digest")), "nodes")
+    nodes = settle(rows.select("node", "doc_id", size.alias("size"), F.crc32(text).alias("text_crc32"), F.md5(text).alias("digest")), "nodes")
     texts = nodes.where("digest is not null").withColumn("bucket", _bucket(COPIES, 6))
     buckets = texts.groupBy("digest", "bucket").agg(F.min("node").alias("near"), F.count("*").alias("n"))
     first = buckets.groupBy("digest").agg(F.min("near").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
@@ -140,4 +134,26 @@ def shard(docs: DataFrame, shards: int = 16, rounds: int = 8) -> DataFrame:
     counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     offsets = counts.select("shard", "bucket", (F.sum("n").over(W.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("before"))
     slot = F.col("before") + F.row_number().over(W.partitionBy("shard", "bucket").orderBy("doc_id", "node")) - 1
-    return placed.join(offsets, ["shard", "bucket"]).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", slot.cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    return placed.join(offsets, ["shard", "bucket"]).select("node", "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", slot.cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+def shard(docs: DataFrame, shards: int = 16, rounds: int = 8) -> DataFrame:
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard): every row of ``docs`` in one of ``shards`` shards of near equal bytes.
+
+    Rows with equal texts are linked (each to the first of its hash bucket, these to the first of all; never all pairs) and
+    drawn into one shard as far as the byte quotas let them; a group larger than a shard is spread over several.  size is the text's UTF-8 bytes plus 1 (null: 1),
+    law is ``bytes``; slot numbers a shard's rows from 0 without gaps.  A null text has no checksum and no link.  Repeated rows
+    and null doc_ids are placed as rows of their own; other columns are ignored.  An empty table gives an empty result.
+    """
+    return _placed(docs.select(F.monotonically_increasing_id().alias("node"), "doc_id", "text"), shards, rounds).drop("node")
+
+
+def sharded(docs: DataFrame, shards: int = 16, rounds: int = 8) -> DataFrame:
+    """``docs`` with all its columns beside those of :func:`shard`; a column of docs with the name of one of these gives way to it.
+
+    Rows are numbered in a written table, so that rows without a doc_id and repeated ones keep their own places.
+    """
+    rows = settle(docs.select(F.monotonically_increasing_id().alias("node"), F.struct("*").alias("row")), "rows")
+    placed = _placed(rows.select("node", "row.doc_id", "row.text"), shards, rounds)
+    own = [c for c in placed.columns if c not in ("node", "doc_id")]
+    return rows.join(placed.drop("doc_id"), "node").select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in own], *own)

@@ -27,6 +27,8 @@ HEADER = 512
 #: A payload's pages are dealt over so many groups, so that the pages of a very common payload don't meet in one task.
 GROUPS = 1024
 URN = "urn:page:"
+#: Fixed value of the WARC standard: the profile of a revisit whose payload has the digest of an earlier one.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def _revisits(sizes: DataFrame) -> DataFrame:
@@ -56,7 +58,8 @@ def write_archive(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None
     """Write pages (page_id, url, html) as WARC records under ``path``.
 
     Of pages with equal payloads of at least ``least`` bytes the one with the least page_id is a response, the others are
-    revisits without payload; smaller payloads are all responses.  A null html is an empty payload.
+    revisits without payload; smaller payloads are all responses.  A null html is an empty payload.  WARC-Date is the time of
+    writing; a row without a page_id gets a random record id, rows that repeat a page_id share theirs.
     """
     body = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long"), F.coalesce("url", F.lit("")).alias("url"), body.alias("body"), F.octet_length(body).cast("long").alias("bytes"), F.sha2(body, 256).alias("digest"))
@@ -70,8 +73,8 @@ def write_archive(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None
     line = lambda name, value: F.concat(F.lit(f"\r\n{name}: "), value)
     urn = lambda key: F.concat(F.lit(f"<{URN}"), key.cast("string"), F.lit(">"))
     head = F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: "), F.when(again, "revisit").otherwise("response"), line("WARC-Record-ID", F.coalesce(urn(F.col("page_id")), F.lit("<urn:page:>"))), line("WARC-Target-URI", F.regexp_replace("url", r"[\x00-\x20\x7f]", "")),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "digest")), F.when(again, line("WARC-Refers-To", urn(F.col("original")))).otherwise(""), line("Content-Length", F.when(again, F.lit(0)).otherwise(F.col("bytes")).cast("string")), F.lit(BREAK),
+        F.lit("WARC/1.1\r\nWARC-Type: "), F.when(again, "revisit").otherwise("response"), line("WARC-Record-ID", F.coalesce(urn(F.col("page_id")), F.concat(F.lit("<urn:uuid:"), F.expr("uuid()"), F.lit(">")))), line("WARC-Date", F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")), line("WARC-Target-URI", F.regexp_replace("url", r"[\x00-\x20\x7f]", "")),
+        line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "digest")), F.when(again, F.concat(line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To", urn(F.col("original"))))).otherwise(""), line("Content-Length", F.when(again, F.lit(0)).otherwise(F.col("bytes")).cast("string")), F.lit(BREAK),
     )
     room = F.octet_length("url") + HEADER + F.when(again, 0).otherwise(F.col("bytes"))
     for (records, above, most), n in zip(tiers, found):
@@ -88,14 +91,18 @@ def _files(path: str, spark) -> DataFrame:
 
 
 def candidates(path: str, spark) -> DataFrame:
-    """(file, at, next, type, page_id, refers_to, url, said, bytes, digest): each place in each file that parses as a record; said is the digest by the header, digest that of the bytes."""
+    """(file, at, next, type, page_id, refers_to, url, said, bytes, digest): each place in each file that parses as a record.
+
+    said is the digest by the header, digest that of the bytes; a candidate that begins inside one that was hashed is not hashed
+    (null), since both can't be records.  So no byte is hashed twice, however many headers a payload holds.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blank = re.compile(re.escape(BREAK.encode()))
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = content.as_buffer()
-                view, rows = memoryview(data), []
+                view, rows, hashed = memoryview(data), [], 0
                 for m in re.finditer(re.escape(MAGIC), view):
                     if m.start() and bytes(view[max(0, m.start() - 4) : m.start()]) != BREAK.encode():
                         continue  # a record starts the file or follows another's end; so headers of candidates don't overlap
@@ -110,10 +117,13 @@ def candidates(path: str, spark) -> DataFrame:
                     after = start + int(head["Content-Length"]) + 4
                     if after > len(view) or bytes(view[after - 4 : after]) != BREAK.encode():
                         continue
+                    digest = None
+                    if m.start() >= hashed:
+                        hashed, digest = after, hashlib.sha256(view[start : after - 4]).hexdigest()
                     number = lambda name: int(x[0]) if (x := re.findall(rf"^<{URN}(-?\d+)>$", head.get(name, ""))) else None
                     rows.append({
                         "file": file, "at": m.start(), "next": after, "type": head.get("WARC-Type"), "page_id": number("WARC-Record-ID"), "refers_to": number("WARC-Refers-To"), "url": head.get("WARC-Target-URI"),
-                        "said": head.get("WARC-Payload-Digest", "").removeprefix("sha256:"), "bytes": after - 4 - start, "digest": hashlib.sha256(view[start : after - 4]).hexdigest(),
+                        "said": head.get("WARC-Payload-Digest", "").removeprefix("sha256:"), "bytes": after - 4 - start, "digest": digest,
                     })
                 yield pa.RecordBatch.from_pylist(rows, _FIELDS)
 

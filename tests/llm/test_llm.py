@@ -1,7 +1,9 @@
 """The training-data operators against brute force, on odd inputs and on small tables."""
 
 import collections
+import functools
 import hashlib
+import math
 import re
 import textwrap
 import zlib
@@ -277,6 +279,26 @@ def test_warc_files_are_bounded(spark, tmp_path, monkeypatch):
     assert got == {k: hashlib.sha256(h.encode()).hexdigest() for k, _, h in pages}
 
 
+def test_warc_hashes_once(spark, tmp_path):
+    """A payload of headers that all end where it ends: candidates, but no byte is hashed twice; records have their mandatory fields."""
+    end = 40 * 200
+    trap = ""
+    while len(trap) < end - 200:
+        head = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: {:06d}\r\n\r\n"
+        trap += head.format(end - len(trap) - len(head.format(0))) + "\r\n\r\n"
+    trap += "x" * (end - len(trap))
+    pages = [(1, "a", trap), (2, "b", trap), (None, "c", "n" * 120), (3, "d", "n" * 120)]
+    warc.write_archive(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1), str(tmp_path / "w"))
+    found = warc.candidates(str(tmp_path / "w"), spark).collect()
+    assert len(found) > 60 and sum(r.digest is not None for r in found) == 4
+    got = {(r.page_id, r.url): (r.payload_digest, r.record_type, r.refers_to) for r in warc.read_archive(str(tmp_path / "w"), spark).collect()}
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == {(1, "a"): (digest(trap), "response", None), (2, "b"): (digest(trap), "revisit", 1), (None, "c"): (digest("n" * 120), "revisit", 3), (3, "d"): (digest("n" * 120), "response", None)}
+    text = b"".join(f.read_bytes() for f in (tmp_path / "w").glob("part-*")).decode()
+    assert len(re.findall(r"\r\nWARC-Date: \d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ\r\n", text)) == 4
+    assert text.count(f"\r\nWARC-Profile: {warc.PROFILE}\r\n") == 2 and len(re.findall(r"<urn:uuid:[0-9a-f-]{36}>", text)) == 1
+
+
 def test_warc_broken_chain(spark, tmp_path):
     record = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     (tmp_path / "part-0").write_bytes(record % 1 + record % 2)
@@ -300,42 +322,93 @@ def test_language_id(spark):
     assert n > 100 and right >= 0.97 * n and said.where("rejected").count() <= 0.02 * n
 
 
+def symbols_of(text):
+    """Lower-case letters, one space for each run of others, and a space before all."""
+    out = " "
+    for c in text:
+        c = c.lower() if c.isalpha() else " "
+        out += c if c != " " or out[-1] != " " else ""
+    return out
+
+
+def grams_of(text):
+    s = "   " + symbols_of(text)
+    return [s[k : k + 4] for k in range(len(s) - 3)]
+
+
+def kneser_ney(texts):
+    """The probability of a gram's last symbol by plain dictionaries: interpolated, continuation counts in lower orders."""
+    tables, now = {}, collections.Counter(g for t in texts for g in grams_of(t))
+    for order in (4, 3, 2, 1):
+        if order < 4:
+            now = collections.Counter(g[1:] for g in now)
+        ones, twos = (sum(n == k for n in now.values()) for k in (1, 2))
+        total, kinds = collections.Counter(), collections.Counter()
+        for g, n in now.items():
+            total[g[:-1]] += n
+            kinds[g[:-1]] += 1
+        tables[order] = now, ones / (ones + 2 * twos) if ones and twos else 0.5, total, kinds
+
+    def probability(gram):
+        if not gram:
+            return 1 / (len(tables[1][0]) + 1)
+        count, discount, total, kinds = tables[len(gram)]
+        lower, head = probability(gram[1:]), gram[:-1]
+        return (max(0, count[gram] - discount) + discount * kinds[head] * lower) / total[head] if total[head] else lower
+
+    return probability
+
+
+def test_language_id_brute_force(spark):
+    """Cross-entropies and languages equal those of plain dictionaries, with all grams in the broadcast array, some of them and none; two texts are longer than a piece."""
+    table = [r for r in spark.read.parquet(f"{DATA}/documents.parquet").orderBy("doc_id").collect() if len(r.text or "") < 4000][:90]
+    rng = np.random.default_rng(3)
+    long = ["".join(rng.choice(["é", "a ", "b, ", "12", "\U00010330", "中文", "  "], 700_000)) for _ in range(2)]
+    rows = [(r.doc_id, r.text, r.lang) for r in table] + [(10**6 + k, t, "xx") for k, t in enumerate(long)] + [(None, "abab", None), (10**7, None, "en"), (10**7 + 1, "12 34", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    learned = collections.defaultdict(list)
+    for k, text, lang in rows:
+        if lang and k is not None and zlib.crc32(str(k).encode()) % 4 < 2:
+            learned[lang].append(text or "")
+    models = {lang: kneser_ney(texts) for lang, texts in sorted(learned.items())}
+    memo, want = functools.cache(lambda lang, gram: math.log(models[lang](gram))), {}
+    for k, text, _ in rows:
+        grams = collections.Counter(grams_of(text or ""))
+        n = sum(grams.values())
+        scores = {lang: -sum(c * memo(lang, g) for g, c in grams.items()) / n for lang in models} if n else {}
+        best = min(scores, key=scores.get, default=None) if symbols_of(text or "").strip() else None
+        want[k] = (best or "und", scores[best] if best else None)
+    for values in (langid.HEAD_VALUES, 4000, 0):
+        got = langid.identify(docs, values).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert (r.lang_pred, r.entropy) == (want[r.doc_id][0], want[r.doc_id][1] and pytest.approx(want[r.doc_id][1], rel=1e-5)), r.doc_id
+
+
 def test_language_id_large_alphabet(spark):
-    """A language of more than 500,000 different 4-grams, most of them seen once: no gram is lost, in one table or in parts."""
+    """A language of more than 500,000 different 4-grams, most of them seen once: a small array of common grams gives what a large one gives."""
     rng = np.random.default_rng(8)
     book = ["".join(map(chr, w)) for w in rng.integers(0x4E00, 0x4E00 + 3000, (3000, 4))]
     rows = [(k, "".join(rng.choice(book, 10_000 if zlib.crc32(str(k).encode()) % 4 < 2 else 100)), "zh") for k in range(60)]
     rows += [(100 + k, " ".join(f"{a}{b}" for a, b in rng.choice(["ab", "cde", "fo", "gu"], (60, 2))), "xx") for k in range(60)] + [(None, "abab", None), (7, None, "zh")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
-    counts = langid.gram_counts(docs.where("crc32(cast(doc_id as string)) % 4 < 2 and lang is not null"))
+    counts = langid.gram_counts(docs.where("crc32(cast(doc_id as string)) % 4 < 2"))
     assert counts.where("lang = 'zh'").count() > 500_000
-    models, want = langid.fit(counts.toArrow()), collections.defaultdict(list)
-    for k, text, _ in rows:
-        raw = np.frombuffer((text or "").encode(), np.uint8)
-        if len(raw):
-            e = -models.score(langid._grams(*langid._symbols(raw, np.array([0, len(raw)])))).astype(float).mean(axis=0)
-            want[k].append((models.langs[int(e.argmin())], float(e.min())))
-        else:
-            want[k].append(("und", None))
-    one = {}
-    for options in ({}, {"part_grams": 200_000}):
-        got = collections.defaultdict(list)
-        for r in langid.identify(docs, **options).collect():
-            got[r.doc_id].append((r.lang_pred, r.entropy))
-            assert one.setdefault((r.doc_id, r.lang_pred), (r.held_out, r.rejected, pytest.approx(r.score, abs=1e-3))) == (r.held_out, r.rejected, r.score)
-        assert got.keys() == want.keys()
-        for k, said in want.items():
-            assert sorted(x[0] for x in got[k]) == sorted(x[0] for x in said)
-            assert sorted(x[1] or 0 for x in got[k]) == pytest.approx(sorted(x[1] or 0 for x in said), rel=1e-3), k
+    one, two = ({(r.doc_id, r.lang_pred): (r.held_out, r.rejected, round(r.score, 4), r.entropy and round(r.entropy, 4)) for r in langid.identify(docs, v).collect()} for v in (langid.HEAD_VALUES, 100_000))
+    assert one == two and len(one) == len(rows)
+    assert all(lang == ("zh" if k is not None and k < 60 else "xx") for k, lang in one if lang != "und")
 
 
 def test_kneser_ney_sums_to_one(spark):
     rows = spark.createDataFrame([("abab abba baab", "x"), ("cddc dcdc abcd", "y")], "text string, lang string")
-    models = langid.fit(langid.gram_counts(rows).toArrow())
+    models = langid.fit(langid.gram_counts(rows))
+    heads = ("aba", " ab", "dcd", "bbb")
+    key = lambda g: sum(ord(c) << (16 * k) for k, c in enumerate(reversed(g)))
+    grams = spark.createDataFrame([(key(h + c),) for h in heads for c in " abcdz"], "gram long")
+    found = {r.gram: np.exp(r.v) for r in langid.log_probabilities(grams, models).collect()}
     for k, own in enumerate((" abz", " abcdz")):  # a language's own symbols and one that stands for all others
-        for head in ("aba", " ab", "dcd", "bbb"):
-            keys = np.array([(ord(head[0]) << 48) | (ord(head[1]) << 32) | (ord(head[2]) << 16) | ord(c) for c in own], np.uint64)
-            assert abs(np.exp(models.score(keys)[:, k].astype(float)).sum() - 1) < 1e-5, (own, head)
+        for head in heads:
+            assert abs(sum(found[key(head + c)][k] for c in own) - 1) < 1e-9, (own, head)
 
 
 def test_quality(spark):
@@ -491,7 +564,10 @@ def test_stages_on_odd_rows(spark):
         if name == "mixing":
             assert rows and all(n >= 1 for n in texts.values())
         if name == "sharding":
-            assert len(rows) == len(before)
+            assert out.columns[: len(docs.columns)] == docs.columns and {r.shard for r in rows} <= set(range(16))
+            assert collections.Counter((r.doc_id, r.text, r.lang, r.source, r.rank) for r in rows) == collections.Counter((r.doc_id, r.text, r.lang, r.source, r.rank) for r in before)
+            clash = stage(spark, docs.withColumns({"shard": F.lit("q"), "node": F.lit("q"), "size": F.lit("q")}), DATA)
+            assert "node" in clash.columns and clash.columns.count("shard") == 1 and clash.where("node = 'q' and shard >= 0").count() == len(rows)
         before = rows
         docs = spark.createDataFrame(rows, out.schema)
 
