@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages, each one operator of ``gridloom.llm``.
 
 Each stage gets all rows that the one before it kept and passes on rows with the columns of ``documents``; the
-last one places them in shards.  Rows without a doc_id are judged by their texts and stay if clean.  A stage's result is written as Parquet and read again as the next one's input.
+last one adds each row's shard and place to them.  Rows without a doc_id are judged by their texts and stay if clean.  A stage's result is written as Parquet and read again as the next one's input.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from gridloom.llm.decontaminate import decontaminated
 from gridloom.llm.langid import spoken
 from gridloom.llm.mixing import mixed
 from gridloom.llm.nearcopies import deduplicated
-from gridloom.llm.sharding import shard
+from gridloom.llm.sharding import sharded
 from gridloom.tables import settle
 
 
@@ -38,7 +38,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document gets its shard and its place there."""
-    return shard(docs)
+    return sharded(docs)
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination), ("mixing", mixing), ("sharding", sharding)]
