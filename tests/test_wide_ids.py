@@ -30,7 +30,7 @@ def rows_of(wide, name):
     return found.columns, found.fetchall()
 
 
-@pytest.mark.parametrize("name", ["names_build", "areas_rollup", "check_b2"])
+@pytest.mark.parametrize("name", ["names_build", "lookup_rows", "areas_rollup", "check_b2"])
 def test_rows_of_parts_that_share_an_id(spark, wide, name):
     columns, rows = rows_of(wide, name)
     got = queries.QUERIES[name](spark, wide).select(*columns).collect()
