@@ -37,7 +37,7 @@ def test_rows_of_parts_that_share_an_id(spark, wide, name):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, rows))
 
 
-@pytest.mark.parametrize("name, entry", [("areas_json", r'"\d{6}":\{[^}]*\}')])
+@pytest.mark.parametrize("name, entry", [("names_json", r'"\d{6}":"[^"]*"'), ("areas_json", r'"\d{6}":\{[^}]*\}')])
 def test_documents_of_parts_that_share_an_id(spark, wide, name, entry):
     """The SQL leaves the order of entries with the same id open, so the entries are compared."""
     ((place, text),) = rows_of(wide, name)[1]
