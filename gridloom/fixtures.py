@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .tables import settle
+
 #: SQL that Spark and DuckDB both run; {lineitem} is the table.
 GRID = """
 SELECT
@@ -47,7 +49,12 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every cell of all years with its unit, null outside all of them."""
-    return spark.sql(UNITS, grid=grid(spark, sf_dir))
+    return units_of(spark, grid(spark, sf_dir))
+
+
+def units_of(spark: SparkSession, cells: DataFrame) -> DataFrame:
+    """The cells (grid_lon, grid_lat) once each with their units, written, so that Spark knows how few they are and does not shuffle a grid to meet them."""
+    return settle(spark.sql(UNITS, grid=cells), "units")
 
 
 def county(spark: SparkSession, sf_dir: str) -> DataFrame:

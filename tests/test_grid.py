@@ -275,3 +275,23 @@ def test_working_tables_need_a_shared_folder():
 
     with pytest.raises(ValueError, match="share"):
         work_path(N(conf=N(get=lambda *_: None), sparkContext=N(master="spark://host:7077")), "x")
+
+
+def test_c8_reads_the_table_once(spark, monkeypatch):
+    """The grid is scanned for its cells' sums alone; what follows works on these."""
+    from gridloom import fixtures, queries
+
+    grids, whole = [], fixtures.grid
+    monkeypatch.setattr(fixtures, "grid", lambda *a: grids.append(a) or whole(*a))
+    df = queries.check_c8(spark, "/root/testdata/sf0.001")
+    assert len(grids) == 1 and not [f for f in df.inputFiles() if "testdata" in f]
+    assert df.count() == 1
+
+
+def test_the_grid_is_not_shuffled_to_meet_a_few_cells(spark):
+    """The crosswalk of some thousand cells goes to the grid's tasks, and no row of the grid moves for it."""
+    from gridloom import queries
+
+    for name in ("aggregate_county", "dropped_cells"):
+        plan = queries.QUERIES[name](spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1, plan
