@@ -141,7 +141,11 @@ def snap_nearest(points: DataFrame, edges: DataFrame, keys: list[str], radius: f
     return best.select(*keys, F.col("m.geo_id").alias("geo_id"), F.col("m.d").alias("distance"))
 
 
-def nearest(points: DataFrame, edges: DataFrame, keys: list[str], side: float | None = None) -> DataFrame:
+#: Tiles, at most, that are broadcast to the points.
+CARRIED = 1 << 19
+
+
+def nearest(points: DataFrame, edges: DataFrame, keys: list[str], side: float | None = None, carried: int = CARRIED) -> DataFrame:
     """(keys, geo_id, distance) of the nearest unit however far, ties to the least id.
 
     Tiles that edges pass are put together to tiles of twice the side, and so on up to a few that hold all.  Points go down
@@ -149,29 +153,48 @@ def nearest(points: DataFrame, edges: DataFrame, keys: list[str], side: float |
     any other, since an edge passes each of them.  At the bottom a point meets the edges of the tiles that are left, so
     its distance and the number of edges elsewhere do not matter.  Only points without coordinates, or all points where
     there is no edge, stay out.  side: of the smallest tiles; by default twice the mean of the edges' lengths.
+
+    Points are dealt and sorted by their keys once and go down the levels of at most ``carried`` tiles where they are, since
+    these are broadcast.  Of a larger level the tiles below those that points have reached are broadcast, if they are so few;
+    else points and tiles are shuffled.
     """
-    edges = edges.where("x1 <> x2 or y1 <> y2")
+    edges = settle(edges.where("x1 <> x2 or y1 <> y2"), "edges")
     side = side or 2 * (edges.agg(F.avg(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")))).first()[0] or 1.0)
     lines = settle(tiled(edges, side), "tiled")
     tiles = settle(lines.select("tx", "ty").distinct(), "tiles")
     ends = tiles.agg(F.min("tx"), F.max("tx"), F.min("ty"), F.max("ty")).first()
     if ends[0] is None:
         return points.where("false").select(*keys, F.lit(None).cast(edges.schema["geo_id"].dataType).alias("geo_id"), F.lit(None).cast("double").alias("distance"))
-    top = 0
+    at = lambda df, k: df.select(F.shiftright("tx", k).alias("tx"), F.shiftright("ty", k).alias("ty"))
+    levels, top = [tiles], 0
     while ((ends[1] >> top) - (ends[0] >> top) + 1) * ((ends[3] >> top) - (ends[2] >> top) + 1) > 4:
+        levels.append(settle(at(levels[top], 1).distinct(), "tiles"))
         top += 1
-    at = lambda df, k: df.select(F.shiftright("tx", k).alias("tx"), F.shiftright("ty", k).alias("ty"))
-    roots = [F.struct(F.lit(r.tx).alias("tx"), F.lit(r.ty).alias("ty")) for r in at(tiles, top).distinct().collect()]  # four at most
-    asked = points.where("x is not null and y is not null").select(*keys, "x", "y", F.inline(F.array(*roots)))
+    roots = [F.struct(F.lit(r.tx).alias("tx"), F.lit(r.ty).alias("ty")) for r in levels[top].collect()]  # four at most
+    spark = edges.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    asked = points.where("x is not null and y is not null").select(*keys, "x", "y").repartition(parts, *keys).select(*keys, "x", "y", F.inline(F.array(*roots)))
     for k in range(top - 1, -1, -1):
-        below = at(tiles, k).distinct().select(F.shiftright("tx", 1).alias("ux"), F.shiftright("ty", 1).alias("uy"), "tx", "ty")
-        met = asked.withColumnsRenamed({"tx": "ux", "ty": "uy"}).join(below, ["ux", "uy"])
+        below, few = levels[k], levels[k].count() <= carried
+        if not few:
+            asked = settle(asked, "asked")
+            reached = settle(asked.select(F.col("tx").alias("ux"), F.col("ty").alias("uy")).distinct(), "reached")
+            few = 4 * reached.count() <= carried
+            if few:
+                below = levels[k].join(F.broadcast(reached), (F.shiftright("tx", 1) == F.col("ux")) & (F.shiftright("ty", 1) == F.col("uy")), "left_semi")
+                asked = asked.repartition(parts, *keys)
+        below = below.select(F.shiftright("tx", 1).alias("ux"), F.shiftright("ty", 1).alias("uy"), "tx", "ty")
+        met = asked.withColumnsRenamed({"tx": "ux", "ty": "uy"}).join(F.broadcast(below) if few else below, ["ux", "uy"])
         box = side * 2**k
         off = [(F.col(t) * box - F.col(c), F.col(c) - (F.col(t) + 1) * box) for t, c in (("tx", "x"), ("ty", "y"))]
         least = F.hypot(*[F.greatest(F.lit(0.0), *o) for o in off])
         most = F.hypot(*[F.greatest(F.abs(a), F.abs(b)) for a, b in off])
-        bound = met.groupBy(*keys, "x", "y").agg(F.min(most).alias("most"), F.collect_list(F.struct(least.alias("least"), "tx", "ty")).alias("t"))  # what four tiles each are left with
-        asked = settle(bound.select(*keys, "x", "y", "most", F.inline("t")).where("least <= most * (1 + 1e-9) + 1e-9").select(*keys, "x", "y", "tx", "ty"), "asked")
+        bound = met.select(*keys, "x", "y", "tx", "ty", least.alias("least"), F.min(most).over(W.partitionBy(*keys, "x", "y")).alias("most"))
+        asked = bound.where("least <= most * (1 + 1e-9) + 1e-9").select(*keys, "x", "y", "tx", "ty")
+    asked = settle(asked, "asked")
+    reached = settle(asked.select("tx", "ty").distinct(), "reached")
+    if reached.count() <= carried:  # edges of tiles that no point has reached do not move
+        lines = lines.join(F.broadcast(reached), ["tx", "ty"], "left_semi")
     best = asked.join(lines, ["tx", "ty"]).withColumn("d", _distance()).groupBy(*keys).agg(F.min(F.struct("d", "geo_id")).alias("m"))
     return best.select(*keys, F.col("m.geo_id").alias("geo_id"), F.col("m.d").alias("distance"))
 

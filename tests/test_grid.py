@@ -295,3 +295,28 @@ def test_the_grid_is_not_shuffled_to_meet_a_few_cells(spark):
     for name in ("aggregate_county", "dropped_cells"):
         plan = queries.QUERIES[name](spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_nearest_whatever_is_broadcast(spark):
+    """All levels broadcast, all shuffled, or the tiles that points have reached broadcast: the same, ties and points in one place included."""
+    squares = [(f"s{i}-{j}", 0, 0, [(i, j), (i + 1, j), (i + 1, j + 1), (i, j + 1)]) for i in range(12) for j in range(12)]
+    edges = polygon(spark, [(g, p, r, [(float(x), float(y)) for x, y in ring]) for g, p, r, ring in squares])
+    at = [(k, k % 5 * 0.25 + k // 5, 40.0 - k % 7) for k in range(60)] + [(60, 3.5, 40.0), (61, 3.5, 40.0)]
+    points = spark.createDataFrame(at, "k long, x double, y double")
+    got = {n: {tuple(r) for r in spatial.nearest(points, edges, ["k"], 0.5, n).collect()} for n in (1 << 19, 100, 0)}
+    assert len(got[0]) == 62 and got[0] == got[100] == got[1 << 19]
+
+
+def test_points_go_down_the_pyramid_where_they_are(spark, monkeypatch):
+    """Points are shuffled once for all levels that are broadcast, and written once."""
+    edges = polygon(spark, [(f"s{i}", 0, 0, [(i, 0.0), (i + 1.0, 0.0), (i + 1.0, 1.0), (i, 1.0)]) for i in map(float, range(200))])
+    points, plans, whole = spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 97).cast("double").alias("x"), F.lit(9.0).alias("y")), [], spatial.settle
+
+    def settle(df, name):
+        if name == "asked":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return whole(df, name)
+
+    monkeypatch.setattr(spatial, "settle", settle)
+    assert spatial.nearest(points, edges, ["k"]).count() == 500
+    assert len(plans) == 1 and plans[0].count("BroadcastHashJoin") > 4 and plans[0].count("Exchange hashpartitioning") == 1 and plans[0].count("Sort [") == 1, plans
