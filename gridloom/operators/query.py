@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import default_measure, percent
 from ..registry import DEFAULT_MEASURE, MEASURES, RAW_ABOVE
-from ..sinks import write_sorted
+from ..sinks import ROW_GROUP, write_sorted
 from ..tables import settle
 
 SMALL, SHOWN, CLASSES = 100, 500, 7
+#: Stands after the end of a name in the search index.
+END = "\n"
 
 
 def where_facets(df: DataFrame, facets: dict[str, list]) -> DataFrame:
@@ -139,39 +141,43 @@ def default_year(years: DataFrame) -> DataFrame:
     return years.groupBy("dataset").agg(F.coalesce(F.max(F.when(~F.col("preliminary"), F.col("year"))), F.max("year")).alias("year"))
 
 
-def _grams(text: Column, size: int) -> Column:
-    """The distinct runs of ``size`` characters of a text."""
-    n = F.length(text) - size + 1
-    return F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(text, i, F.lit(size))))).otherwise(F.array().cast("array<string>"))
+#: Units of a segment of a search index, about.
+SEGMENT = 25_000
 
 
-def write_search_index(names: DataFrame, path: str) -> None:
-    """An inverted index of units (level_rank, geo_id, name): each under the runs of two and three characters of its name and the first two of its id.
+def write_search_index(names: DataFrame, path: str, segment: int = SEGMENT) -> None:
+    """An inverted index of units (level_rank, geo_id, name): each under the runs of three characters of its name, the last two also with an end after them, and the first two of its id.
 
-    ``postings`` is sorted by gram in small row groups, so that the units of one gram are read by equality; ``grams`` holds how many each has.
+    ``postings`` has segments of about ``segment`` units, which a task each makes by itself, sorted by gram in small row groups, so
+    that the units of one gram are read by equality and no posting is shuffled; ``grams`` holds how many postings each has.
     """
-    lower, ids = F.lower("name"), F.lower("geo_id")
-    grams = F.array_union(F.array_union(_grams(lower, 2), _grams(lower, 3)), F.when(F.length(ids) > 1, F.array(F.concat(F.lit("^"), F.substring(ids, 1, 2)))).otherwise(F.array().cast("array<string>")))
-    postings = names.where("geo_id is not null").select(F.explode(grams).alias("gram"), "level_rank", "geo_id", "name")
-    write_sorted(postings, f"{path}/postings", ["gram", "level_rank", "name", "geo_id"])
-    write_sorted(postings.groupBy("gram").agg(F.count("*").alias("units")), f"{path}/grams", ["gram"])
+    units = settle(names.where("geo_id is not null"), "units")
+    parts = max(1, -(-units.count() // segment))
+    dealt, ids, unit = units.repartition(parts, "level_rank", "geo_id", "name"), F.lower("geo_id"), ["level_rank", "geo_id", "name"]
+    text = dealt.withColumn("text", F.concat(F.lower("name"), F.lit(END))).where("length(text) > 2")
+    named = text.select(F.explode(F.sequence(F.lit(1), F.length("text") - 2)).alias("at"), "text", *unit).select(F.substring("text", F.col("at"), F.lit(3)).alias("gram"), *unit)
+    begun = dealt.where(F.length(ids) > 1).select(F.concat(F.lit("^"), F.substring(ids, 1, 2)).alias("gram"), *unit)
+    named.unionByName(begun).sortWithinPartitions("gram").write.mode("overwrite").option("compression", "zstd").option("parquet.block.row.count.limit", str(ROW_GROUP)).parquet(f"{path}/postings")
+    write_sorted(units.sparkSession.read.parquet(f"{path}/postings").groupBy("gram").agg(F.count("*").alias("units")), f"{path}/grams", ["gram"])
 
 
 def place_search(spark: SparkSession, path: str, text: str, most: int = 8, labels: dict[str, str] | None = None, in_all: int = 10) -> DataFrame:
     """(kind, level_rank, geo_id, name) of what a text finds in an index: units whose name contains it or whose id begins with it, coarse levels first, then by name; then datasets whose label (labels: name -> label) contains it.
 
-    The text is trimmed and case does not count; it needs two characters.  Of its runs of three characters (of a text of
-    two: itself) the one with the fewest units is read, and those are held against the whole text.
+    The text is trimmed and case does not count; it needs two characters.  Of its runs of three characters the one with the
+    fewest units is read (of a text of two: all runs that begin with it), and those are held against the whole text.
     """
     t = text.strip().lower()
     found = spark.createDataFrame([], "kind string, level_rank int, geo_id string, name string")
     if len(t) < 2:
         return found
-    size = min(len(t), 3)
-    grams = sorted({t[k : k + size] for k in range(len(t) - size + 1)})
-    counts = {r.gram: r.units for r in spark.read.parquet(f"{path}/grams").where(F.col("gram").isin(grams)).collect()}  # as many as the text has grams
-    asked = ["^" + t[:2], *([min(grams, key=lambda g: (counts[g], g))] if len(counts) == len(grams) else [])]
-    near = spark.read.parquet(f"{path}/postings").where(F.col("gram").isin(asked))
+    if len(t) == 2:
+        asked = F.col("gram").isin(["^" + t]) | F.startswith("gram", F.lit(t))
+    else:
+        grams = sorted({t[k : k + 3] for k in range(len(t) - 2)})
+        counts = {r.gram: r.units for r in spark.read.parquet(f"{path}/grams").where(F.col("gram").isin(grams)).collect()}  # as many as the text has grams
+        asked = F.col("gram").isin(["^" + t[:2], *([min(grams, key=lambda g: (counts[g], g))] if len(counts) == len(grams) else [])])
+    near = spark.read.parquet(f"{path}/postings").where(asked)
     named = F.contains(F.lower("name"), F.lit(t)) | F.startswith(F.lower("geo_id"), F.lit(t))
     places = near.where(named).select("level_rank", "geo_id", "name").distinct().orderBy("level_rank", "name", "geo_id").limit(most)
     found = places.select(F.lit("place").alias("kind"), "level_rank", "geo_id", "name")

@@ -120,3 +120,18 @@ def test_pruned_rows_are_held_against_all_rows(spark):
     row = queries.rowgroup_prune(spark, DATA).first().asDict()
     whole = queries.write_partition(spark, DATA).where("geo_id = '01003'").count()
     assert row == {"rows": whole, "found": whole, "fewer": True}
+
+
+@pytest.mark.parametrize("segment", [25_000, 7])
+def test_search_index_in_segments(spark, tmp_path, segment):
+    """Texts at the beginning, inside and at the end of names, of two characters and more, repeated in a name, with letters that lower case makes longer; a posting for each place in a name."""
+    names = [(k % 3, f"U{k}", n) for k, n in enumerate(["Anna", "banana", "an", "n", "", None, "Hanover Bay", "bay an", "\u0130stan", "line\nan"] * 5)]
+    query.write_search_index(spark.createDataFrame(names, "level_rank int, geo_id string, name string"), str(tmp_path), segment)
+    postings = spark.read.parquet(f"{tmp_path}/postings")
+    assert postings.where("not startswith(gram, '^')").count() == sum(max(0, len(n.lower()) - 1) for _, _, n in names if n)
+    assert segment > 7 or len(postings.inputFiles()) > 4
+    for text in ("an", "AN ", "ana", "anan", "bay an", "u1", "u12", "na", "stan", "ne\nan", "zz", "y", "\u0130s"):
+        t = text.strip().lower()
+        want = sorted((r, n, g) for r, g, n in set(names) if len(t) > 1 and (n and t in n.lower() or g.lower().startswith(t)) and n is not None)
+        got = query.place_search(spark, str(tmp_path), text, most=100, in_all=100).collect()
+        assert [(r.level_rank, r.name, r.geo_id) for r in got if r.name is not None] == want, text
