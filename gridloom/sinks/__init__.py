@@ -34,14 +34,16 @@ def lookup_json(rows: DataFrame, value: str) -> DataFrame:
 
 
 def features_json(vertices: DataFrame) -> DataFrame:
-    """(geo_id, json): a GeoJSON feature of each unit; rings are closed, those of fewer than four points go."""
+    """(geo_id, json): a GeoJSON feature of each unit; rings are closed, those of fewer than four points go.
+
+    Rings become text first, so a task holds the points of one ring, and of a unit its text only.
+    """
     points = vertices.groupBy("geo_id", "part", "ring").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "x", "y"))), lambda p: F.array(p.x, p.y)).alias("points"))
     closed = F.when(F.element_at("points", 1) == F.element_at("points", -1), F.col("points")).otherwise(F.concat("points", F.slice("points", 1, 1)))
-    rings = points.withColumn("points", closed).where(F.size("points") >= 4)
-    parts = rings.groupBy("geo_id", "part").agg(F.transform(F.array_sort(F.collect_list(F.struct("ring", "points"))), lambda r: r.points).alias("rings"))
-    shapes = parts.groupBy("geo_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("part", "rings"))), lambda p: p.rings).alias("coordinates"))
-    geometry = F.struct(F.lit("MultiPolygon").alias("type"), "coordinates")
-    return shapes.select("geo_id", F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct("geo_id").alias("properties"), geometry.alias("geometry"))).alias("json"))
+    rings = points.withColumn("points", closed).where(F.size("points") >= 4).select("geo_id", "part", "ring", F.to_json("points").alias("text"))
+    listed = lambda key: F.concat(F.lit("["), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(key, "text"))), lambda r: r.text), ","), F.lit("]")).alias("text")
+    shapes = rings.groupBy("geo_id", "part").agg(listed("ring")).groupBy("geo_id").agg(listed("part"))
+    return shapes.select("geo_id", F.concat(F.lit('{"type":"Feature","properties":'), F.to_json(F.struct("geo_id")), F.lit(',"geometry":{"type":"MultiPolygon","coordinates":'), "text", F.lit("}}")).alias("json"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

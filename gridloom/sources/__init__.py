@@ -56,7 +56,9 @@ def read_boundaries(spark: SparkSession, path: str, id_field: str, name_field: s
         F.get_json_object("f", f"$.properties.{id_field}").alias("geo_id"), F.get_json_object("f", f"$.properties.{name_field}").alias("name"),
         F.when(F.get_json_object("f", "$.geometry.type") == "Polygon", F.concat(F.lit("["), F.get_json_object("f", "$.geometry.coordinates"), F.lit("]"))).otherwise(F.get_json_object("f", "$.geometry.coordinates")).alias("c"),
     )
-    rings = parts.select("geo_id", "name", F.posexplode(F.from_json("c", "array<array<array<array<double>>>>")).alias("part", "rings")).select("geo_id", "name", "part", F.posexplode("rings").alias("ring", "points"))
+    # the parts of a feature stay text until each is a row of its own
+    texts = parts.select("geo_id", "name", F.posexplode(F.from_json("c", "array<string>")).alias("part", "text"))
+    rings = texts.select("geo_id", "name", "part", F.posexplode(F.from_json("text", "array<array<array<double>>>")).alias("ring", "points"))
     return rings.select("geo_id", "name", "part", "ring", F.posexplode("points").alias("seq", "p")).select("geo_id", "name", "part", "ring", "seq", F.col("p")[0].alias("x"), F.col("p")[1].alias("y"))
 
 

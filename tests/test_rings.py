@@ -154,3 +154,16 @@ def test_an_arc_is_dealt_to_many_tasks(spark):
     sizes = thin.groupBy("arc", "piece").count().collect()
     assert len(sizes) == -(-n // rings.PIECE) and max(s["count"] for s in sizes) <= rings.PIECE
     assert rings.segments(thin).count() < n / 3
+
+
+def test_features_are_texts_of_their_rings(spark):
+    """The JSON is that of nested arrays, whatever the order of rows, and no aggregate holds the points of more than a ring."""
+    rows = [(g, p, r, s, x + 0.1 * s, (1e-7 if s % 2 else 12345.678) + r) for g, x in (('a"b', 1.5), ("c", -3.0)) for p in (10, 9) for r in (0, 1) for s, _ in enumerate("abcd" if r == 0 else "abcde")]
+    df = spark.createDataFrame(rows[::-1], "geo_id string, part int, ring int, seq int, x double, y double").repartition(5)
+    found = sinks.features_json(df)
+    want = {g: [[[*line, line[0]] for r in (0, 1) for line in [[[x, y] for g_, p_, r_, _, x, y in rows if (g_, p_, r_) == (g, p, r)]]] for p in (9, 10)] for g in ('a"b', "c")}
+    for row in found.collect():
+        said = json.loads(row.json)
+        assert said == {"type": "Feature", "properties": {"geo_id": row.geo_id}, "geometry": {"type": "MultiPolygon", "coordinates": want[row.geo_id]}}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list(struct(part") == 1 and "array<array<array" not in plan and "rings#" not in plan
