@@ -21,13 +21,13 @@ def write_sorted(df: DataFrame, path: str, order: list[str], partitions: list[st
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
 
-def lookup_json(rows: DataFrame, value: str) -> DataFrame:
-    """(geography, json): one JSON object of ``value`` by geo_id for each geography, keys sorted; rows that share an id all stay, in order of their text.
+def lookup_json(rows: DataFrame, value: str, order: tuple[str, ...] = ()) -> DataFrame:
+    """(geography, json): one JSON object of ``value`` by geo_id for each geography, keys sorted; rows that share an id all stay, in order of the columns ``order`` and then of their text.
 
     Ids that begin with the same characters are put together first, so only their joined texts come to the task that makes the object.
     """
     one = F.to_json(F.create_map("geo_id", value))
-    entry = F.struct("geo_id", F.substring(one, F.lit(2), F.length(one) - 2).alias("text"))
+    entry = F.struct("geo_id", *order, F.substring(one, F.lit(2), F.length(one) - 2).alias("text"))
     joined = lambda parts: F.array_join(F.transform(F.sort_array(F.collect_list(parts)), lambda p: p.text), ",")
     runs = rows.groupBy("geography", F.substring("geo_id", 1, RUN).alias("start")).agg(joined(entry).alias("text"))
     return runs.groupBy("geography").agg(F.concat(F.lit("{"), joined(F.struct("start", "text")), F.lit("}")).alias("json"))

@@ -48,6 +48,21 @@ def test_documents_of_parts_that_share_an_id(spark, wide, name, entry):
     assert len({e[:8] for e in entries}) < len(entries)
 
 
+def test_names_of_one_id_are_in_order_of_the_parts_keys(spark, tmp_path):
+    """The whole text of the SQL on one thread, which takes the parts as the table has them; names are such that their texts are in another order."""
+    duckdb.sql(f"COPY (SELECT * FROM '{DATA}/nation.parquet') TO '{tmp_path}/nation.parquet'")
+    duckdb.sql(f"COPY (SELECT * REPLACE (p_partkey * power(10, k)::bigint + 100000 * power(10, k)::bigint AS p_partkey, 'n' || (p_partkey + k * 7) % 5 || p_name AS p_name) FROM range(3) r(k), '{DATA}/part.parquet' ORDER BY k, p_partkey) TO '{tmp_path}/part.parquet'")
+    duckdb.sql(f"COPY (SELECT DISTINCT 41.0 AS l_quantity, p_partkey AS l_partkey, 1 AS l_orderkey, 1 AS l_linenumber, 'A' AS l_returnflag, 'F' AS l_linestatus, TIMESTAMP '1997-01-01' AS l_shipdate FROM '{tmp_path}/part.parquet') TO '{tmp_path}/lineitem.parquet'")
+    con = duckdb.connect(config={"threads": 1})
+    for t in ("part", "lineitem", "nation"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    ((_, want),) = con.sql(queries.ORACLES["names_json"]).fetchall()
+    ((_, got),) = queries.QUERIES["names_json"](spark, str(tmp_path)).select("geography", "json").collect()
+    entries = re.findall(r'"\d{6}":"[^"]*"', got)
+    assert got == want
+    assert len(entries) == 600 and sorted(entries) != entries
+
+
 def test_lookup_documents_are_those_of_a_map(spark):
     """Keys of any length and values that need escapes, against one map; and back."""
     ids = [("a", g, v) for g, v in (("1", 'x"y'), ("10", "ü\n"), ("1000", ""), ("10001", "c\\d"), ("10000", "e"), ("2", "f"))] + [("b", "US", "g")]
