@@ -94,7 +94,7 @@ def states(spark: SparkSession) -> DataFrame:
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One unit for each part: (part, geo_id, name, namelsad, aland_m2, awater_m2); two of three have a longer name.  geo_id has six digits, so parts from 1,000,000 on share theirs with others; part does not."""
     k = F.col("p_partkey")
-    longer = F.when(k % 3 != 0, F.concat_ws(" ", "p_name", F.lower("p_type")))
+    longer = F.when(k % 3 != 0, F.concat("p_name", F.lit(" "), F.lower("p_type")))
     return table(spark, sf_dir, "part").select(k.cast("string").alias("part"), F.lpad(k.cast("string"), 6, "0").alias("geo_id"), F.col("p_name").alias("name"), longer.alias("namelsad"), (F.col("p_size").cast("long") * 1_000_003).alias("aland_m2"), (k % 1000).cast("long").alias("awater_m2"))
 
 

@@ -63,6 +63,17 @@ def test_names_of_one_id_are_in_order_of_the_parts_keys(spark, tmp_path):
     assert len(entries) == 600 and sorted(entries) != entries
 
 
+@pytest.mark.parametrize("name", ["lookup_rows", "names_build", "names_json"])
+def test_parts_without_a_name_or_type(spark, tmp_path, name):
+    """They have no name, not that of a state or type alone; the document leaves them out."""
+    for t in ("nation", "lineitem"):
+        duckdb.sql(f"COPY (SELECT * FROM '{DATA}/{t}.parquet') TO '{tmp_path}/{t}.parquet'")
+    duckdb.sql(f"COPY (SELECT * REPLACE (CASE WHEN p_partkey % 7 > 0 THEN p_name END AS p_name, CASE WHEN p_partkey % 5 > 0 THEN p_type END AS p_type) FROM '{DATA}/part.parquet') TO '{tmp_path}/part.parquet'")
+    columns, rows = rows_of(tmp_path, name)
+    got = queries.QUERIES[name](spark, str(tmp_path)).select(*columns).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, rows))
+
+
 def test_lookup_documents_are_those_of_a_map(spark):
     """Keys of any length and values that need escapes, against one map; and back."""
     ids = [("a", g, v) for g, v in (("1", 'x"y'), ("10", "ü\n"), ("1000", ""), ("10001", "c\\d"), ("10000", "e"), ("2", "f"))] + [("b", "US", "g")]
