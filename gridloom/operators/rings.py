@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..tables import settle
+from ..tables import settle, sized
 from .chains import ranked
 from .spatial import tiled
 
@@ -45,10 +45,11 @@ def net(edges: DataFrame) -> DataFrame:
 
 def merged(edges: DataFrame, target: DataFrame) -> DataFrame:
     """Directed outer edges of merged units; target maps geo_id to the unit it joins (target).  A unit without one is an error."""
+    target = sized(target.select("geo_id", "target"), target.count())
     lost = edges.select("geo_id").distinct().join(target, "geo_id", "left_anti").count()
     if lost:
         raise ValueError(f"{lost} units have no id to be dissolved into")
-    return net(edges.join(target.select("geo_id", "target"), "geo_id").select(F.col("target").alias("geo_id"), *ENDS))
+    return net(edges.join(target, "geo_id").select(F.col("target").alias("geo_id"), *ENDS))
 
 
 # --- arcs and their simplification
@@ -70,8 +71,8 @@ def arcs(edges: DataFrame) -> DataFrame:
     end = lambda k, c: one.select(F.col(f"x{k}").alias("x"), F.col(f"y{k}").alias("y"), F.to_json("sides").alias("key"), F.col("e").alias(c))
     met = end(2, "before").unionByName(end(1, "after"), allowMissingColumns=True).groupBy("x", "y").agg(F.count("*").alias("n"), F.min("key").alias("a"), F.max("key").alias("b"), F.max("before").alias("before"), F.max("after").alias("after"))
     follows = met.where("n = 2 and a = b and before is not null and after is not null").select(F.col("before").alias("e"), F.col("after").alias("nxt"))
-    places = ranked(one.select("e").join(follows, "e", "left"))
-    return one.join(places, "e").select("sides", F.col("chain").alias("arc"), F.col("rank").alias("k"), *ENDS)
+    places = ranked(one.select("e").join(sized(follows, one.count()), "e", "left"))
+    return one.join(sized(places, one.count()), "e").select("sides", F.col("chain").alias("arc"), F.col("rank").alias("k"), *ENDS)
 
 
 def _kept(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
@@ -148,14 +149,14 @@ def conflicts(segs: DataFrame) -> DataFrame:
 
     Segments meet in the tiles they pass, whose side follows their mean length.
     """
-    lengths = segs.agg(F.avg(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))).alias("l")).first()[0]
+    lengths, many = segs.agg(F.avg(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))), F.count("*")).first()
     if not lengths:
         return segs.where("false").select("arc", "piece", "seg")
     own = tiled(segs.where("x1 <> x2 or y1 <> y2").withColumn("id", F.xxhash64("arc", "piece", "seg")), 2 * lengths)
     a = own.select("tx", "ty", F.col("id").alias("ida"), F.struct("arc", "piece", "seg", "n").alias("sa"), *[F.col(c).alias(n) for c, n in zip(ENDS, ("px", "py", "qx", "qy"))])
     b = own.select("tx", "ty", F.col("id").alias("idb"), F.struct("arc", "piece", "seg", "n").alias("sb"), *[F.col(c).alias(n) for c, n in zip(ENDS, ("rx", "ry", "sx", "sy"))])
     overlap = " and ".join(f"greatest(least(p{c}, q{c}), least(r{c}, s{c})) <= least(greatest(p{c}, q{c}), greatest(r{c}, s{c})) + 1e-12" for c in "xy")
-    near = a.join(b, ["tx", "ty"]).where(F.expr(f"ida < idb and (sa.n > 1 or sb.n > 1) and {overlap}"))
+    near = a.join(sized(b, many), ["tx", "ty"]).where(F.expr(f"ida < idb and (sa.n > 1 or sb.n > 1) and {overlap}"))
     near = near.withColumns({"o1": _turn("p", "q", "r"), "o2": _turn("p", "q", "s"), "o3": _turn("r", "s", "p"), "o4": _turn("r", "s", "q")})
     between = lambda z, u, v: F.expr(f"{z}x between least({u}x, {v}x) - 1e-12 and greatest({u}x, {v}x) + 1e-12 and {z}y between least({u}y, {v}y) - 1e-12 and greatest({u}y, {v}y) + 1e-12 and not ({z}x = {u}x and {z}y = {u}y) and not ({z}x = {v}x and {z}y = {v}y)")
     proper = (F.col("o1") * F.col("o2") < 0) & (F.col("o3") * F.col("o4") < 0)
@@ -177,14 +178,14 @@ def simplify(edges: DataFrame, tolerance: float, piece: int = PIECE) -> tuple[Da
         bad = settle(conflicts(settle(segments(thin), "segments")), "conflicts")
         if bad.isEmpty():
             return lines, thin
-        thin = settle(thin.join(bad.withColumn("back", F.lit(True)), ["arc", "piece", "seg"], "left").withColumn("seg", F.when(F.col("back"), F.col("k")).otherwise(F.col("seg"))).drop("back"), "thinned")
+        thin = settle(thin.join(sized(bad.withColumn("back", F.lit(True))), ["arc", "piece", "seg"], "left").withColumn("seg", F.when(F.col("back"), F.col("k")).otherwise(F.col("seg"))).drop("back"), "thinned")
 
 
 def simplified_edges(edges: DataFrame, tolerance: float, piece: int = PIECE) -> DataFrame:
     """Directed edges of all units after :func:`simplify`."""
     lines, thin = simplify(edges, tolerance, piece)
     beside = lines.groupBy("arc").agg(F.first("sides").alias("sides"))  # the same on all edges of an arc
-    s = segments(thin).where("x1 <> x2 or y1 <> y2").join(beside, "arc").select(F.inline("sides"), *ENDS)
+    s = segments(thin).where("x1 <> x2 or y1 <> y2").join(sized(beside, lines.count()), "arc").select(F.inline("sides"), *ENDS)
     return net(s.select("geo_id", *[F.when(F.col("forward"), F.col(a)).otherwise(F.col(b)).alias(a) for a, b in zip(ENDS, ("x2", "y2", "x1", "y1"))]))
 
 
@@ -195,7 +196,7 @@ def simplified_arcs(edges: DataFrame, tolerance: float, piece: int = PIECE) -> D
     ends = s.groupBy("arc").agg(F.max_by(F.struct(F.lit(1).cast("long").alias("seq"), F.col("x2").alias("x"), F.col("y2").alias("y")), "seg").alias("p")).select("arc", "p.*")
     points = s.select("arc", F.col("seg").alias("seq"), F.col("x1").alias("x"), F.col("y1").alias("y")).unionByName(ends)
     beside = lines.groupBy("arc").agg(F.array_join(F.transform(F.first("sides"), lambda x: x["geo_id"]), "|").alias("units"))
-    return points.join(beside, "arc").select("units", "arc", "seq", "x", "y")
+    return points.join(sized(beside, lines.count()), "arc").select("units", "arc", "seq", "x", "y")
 
 
 # --- rings
@@ -218,7 +219,7 @@ def assembled(edges: DataFrame) -> DataFrame:
     if odd:
         raise ValueError(f"{odd} edges do not close to rings")
     places = ranked(follows.select(F.col("before").alias("e"), "nxt"))
-    return own.join(places, "e").select("geo_id", F.col("chain").alias("ring"), F.col("rank").alias("k"), *ENDS)
+    return own.join(sized(places, own.count()), "e").select("geo_id", F.col("chain").alias("ring"), F.col("rank").alias("k"), *ENDS)
 
 
 def nested(edges: DataFrame) -> DataFrame:
@@ -229,16 +230,17 @@ def nested(edges: DataFrame) -> DataFrame:
     """
     rings = edges.groupBy("geo_id", "ring").agg((F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2).alias("area"), (F.count("*") + 1).alias("points"), F.min_by(F.struct(((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y")), "k").alias("at"))
     rings = settle(rings.where("points >= 4 and abs(area) > 1e-15"), "rings")
+    many, hollow = rings.agg(F.count("*"), F.count_if(F.col("area") < 0)).first()
     height = (edges.agg(F.avg(F.abs(F.col("y2") - F.col("y1")))).first()[0] or 0.5) * 2
     band = lambda y: F.floor(y / height).cast("long")
     outer = rings.where("area > 0").select("geo_id", "ring", F.col("area").alias("around"))
     holes = rings.where("area < 0").select("geo_id", F.col("ring").alias("hole"), F.col("at.x").alias("x"), F.col("at.y").alias("y")).withColumn("band", band(F.col("y")))
-    lines = edges.where("y1 <> y2").join(outer, ["geo_id", "ring"]).join(holes.select("geo_id").distinct(), "geo_id", "left_semi")
+    lines = edges.where("y1 <> y2").join(sized(outer, many), ["geo_id", "ring"]).join(sized(holes.select("geo_id").distinct()), "geo_id", "left_semi")
     lines = lines.withColumn("band", F.explode(F.sequence(band(F.least("y1", "y2")), band(F.greatest("y1", "y2")))))
-    met = holes.join(lines, ["geo_id", "band"]).where("least(y1, y2) <= y and y < greatest(y1, y2) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1)")
+    met = sized(holes, hollow).join(lines, ["geo_id", "band"]).where("least(y1, y2) <= y and y < greatest(y1, y2) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1)")
     inside = met.groupBy("geo_id", "hole", "ring", "around").agg(F.count("*").alias("n")).where("n % 2 = 1")
     held = inside.groupBy("geo_id", "hole").agg(F.min(F.struct("around", "ring")).getField("ring").alias("part"))
-    placed = rings.join(held.withColumnRenamed("hole", "ring"), ["geo_id", "ring"], "left")
+    placed = rings.join(sized(held.withColumnRenamed("hole", "ring"), hollow), ["geo_id", "ring"], "left")
     return placed.where("area > 0 or part is not null").select("geo_id", "ring", "area", "points", F.coalesce("part", "ring").alias("part"))
 
 
@@ -248,4 +250,4 @@ def features(edges: DataFrame) -> DataFrame:
     rings = nested(e)
     number = F.row_number().over(W.partitionBy("geo_id", "part").orderBy(F.col("area") < 0, "ring")) - 1
     named = rings.withColumns({"number": number, "place": F.col("part")}).select("geo_id", "ring", "number", "place")
-    return e.join(named, ["geo_id", "ring"]).select("geo_id", F.col("place").alias("part"), F.col("number").alias("ring"), F.col("k").alias("seq"), F.col("x1").alias("x"), F.col("y1").alias("y"))
+    return e.join(sized(named, e.count()), ["geo_id", "ring"]).select("geo_id", F.col("place").alias("part"), F.col("number").alias("ring"), F.col("k").alias("seq"), F.col("x1").alias("x"), F.col("y1").alias("y"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions import lattice
-from ..tables import settle
+from ..tables import settle, sized
 
 _UP = ("case when y1 <= y2 then x1 else x2 end as x1", "least(y1, y2) as y1", "case when y1 <= y2 then x2 else x1 end as x2", "greatest(y1, y2) as y2")
 
@@ -87,7 +87,8 @@ def covering(edges: DataFrame, side: float) -> tuple[DataFrame, DataFrame]:
     ends = levels.withColumns({"p": first, "q": last}).where("p <= q").select("*", F.explode(F.array_distinct(F.array("p", "q"))).alias("part"))
     whole = F.expr("shiftleft(shiftright(part, 1), level + 1) >= a and shiftleft(shiftright(part, 1) + 1, level + 1) - 1 <= b")  # the run twice as long is inside too
     inner = ends.where(~whole).select("geo_id", "ty", "level", "part")
-    return inner, passed.join(marked.select("geo_id", "tx", "ty", "low_in"), ["geo_id", "tx", "ty"])
+    border = passed.join(sized(marked.select("geo_id", "tx", "ty", "low_in"), marked.count()), ["geo_id", "tx", "ty"])
+    return inner, sized(border, passed.count())
 
 
 def parity_join(points: DataFrame, edges: DataFrame, keys: list[str], side: float | None = None) -> DataFrame:
@@ -104,9 +105,9 @@ def parity_join(points: DataFrame, edges: DataFrame, keys: list[str], side: floa
     inner, border = covering(edges, side)
     number = lambda v: F.floor((F.col(v) + shift) / side).cast("long")
     placed = points.select(*keys, "x", "y", number("x").alias("tx"), number("y").alias("ty"))
-    deepest = inner.agg(F.max("level")).first()[0]
+    deepest, many = inner.agg(F.max("level"), F.count("*")).first()
     runs = placed.select(*keys, "ty", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(deepest or 0)), lambda k: F.call_function("shiftright", F.col("tx"), k))).alias("level", "part"))
-    inside = runs.join(inner, ["ty", "level", "part"]).select(*keys, "geo_id")
+    inside = runs.join(sized(inner, many), ["ty", "level", "part"]).select(*keys, "geo_id")
     up = "(case when y1 <= y2 then x1 else x2 end) + try_divide((y - least(y1, y2)) * (case when y1 <= y2 then x2 - x1 else x1 - x2 end), abs(y2 - y1))"
     right, low = (F.col("tx") + 1) * side - shift, F.col("ty") * side - shift
     met = placed.join(border, ["tx", "ty"]).withColumns({"right": right, "low": low})
@@ -116,7 +117,7 @@ def parity_join(points: DataFrame, edges: DataFrame, keys: list[str], side: floa
     crossed = F.when(level, 1).otherwise(0) + F.when(side_cut, 1).otherwise(0)
     near = met.groupBy(*keys, "geo_id").agg(((F.sum(crossed) + F.max(F.col("low_in").cast("int"))) % 2).alias("odd")).where("odd = 1").select(*keys, "geo_id")
     best = inside.unionByName(near).groupBy(*keys).agg(F.min("geo_id").alias("geo_id"))
-    return points.join(best, keys, "left")
+    return points.join(best.hint("merge"), keys, "left")  # neither side is bounded
 
 
 def _distance() -> F.Column:
@@ -221,6 +222,7 @@ def dissolve(edges: DataFrame, target: DataFrame) -> DataFrame:
 
 def dissolve_by_parent(edges: DataFrame, mapping: DataFrame) -> DataFrame:
     """Dissolve by (parent_id, child_id); a unit without a child id is an error."""
+    mapping = sized(mapping, mapping.count())
     lost = edges.select("geo_id").distinct().join(mapping, F.col("geo_id") == F.col("parent_id"), "left_anti").count()
     if lost:
         raise ValueError(f"{lost} units have no id to be dissolved into")

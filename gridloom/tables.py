@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows, at most, of a table that is broadcast.
+FEW = 1 << 16
+
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``; where that is unset and the master is local (tests on one machine), below a temporary one."""
@@ -25,3 +28,12 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sized(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """One side of a join, broadcast if it has at most ``FEW`` rows (``rows``, or as many as it is found to have), else merged with the other side; that one is never broadcast.
+
+    By itself Spark goes by the bytes of Parquet files, but rows in sorted order or exploded from others take a hundred times as
+    many in the driver's memory, where a broadcast is built.
+    """
+    return df.hint("broadcast" if (df.count() if rows is None else rows) <= FEW else "merge")

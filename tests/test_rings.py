@@ -6,7 +6,7 @@ import json
 import numpy as np
 import pytest
 
-from gridloom import sinks
+from gridloom import queries, sinks, tables
 from gridloom.operators import chains, rings
 
 
@@ -167,3 +167,27 @@ def test_features_are_texts_of_their_rings(spark):
         assert said == {"type": "Feature", "properties": {"geo_id": row.geo_id}, "geometry": {"type": "MultiPolygon", "coordinates": want[row.geo_id]}}
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("collect_list(struct(part") == 1 and "array<array<array" not in plan and "rings#" not in plan
+
+
+def broadcasts(spark, since):
+    """Rows of each table that was broadcast in executions from number ``since`` on, and the number of the next one, from Spark's own metrics."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    store, found, last = spark._jsparkSession.sharedState().statusStore(), [], since
+    runs = store.executionsList()
+    for n in (runs.apply(k).executionId() for k in range(runs.size())):
+        last = max(last, n + 1)
+        nodes, values = store.planGraph(n).allNodes(), store.executionMetrics(n)
+        for node in (nodes.apply(k) for k in range(nodes.size())) if n >= since else ():
+            for m in (node.metrics().apply(k) for k in range(node.metrics().size())) if node.name() == "BroadcastExchange" else ():
+                if m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                    found.append(int(values.apply(m.accumulatorId()).replace(",", "")))
+    return found, last
+
+
+def test_only_small_tables_reach_the_driver(spark, monkeypatch):
+    """No table of more than FEW rows is broadcast, however few bytes its files have: neither edges, points nor rings."""
+    monkeypatch.setattr(tables, "FEW", 100, raising=False)
+    _, start = broadcasts(spark, 0)
+    assert queries.QUERIES["boundaries_geojson"](spark, "/root/testdata/sf0.001").count() == 25
+    found, _ = broadcasts(spark, start)
+    assert found and max(found) <= 100
