@@ -33,7 +33,7 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 def sized(df: DataFrame, rows: int | None = None) -> DataFrame:
     """One side of a join, broadcast if it has at most ``FEW`` rows (``rows``, or as many as it is found to have), else merged with the other side; that one is never broadcast.
 
-    By itself Spark goes by the bytes of Parquet files, but rows in sorted order or exploded from others take a hundred times as
-    many in the driver's memory, where a broadcast is built.
+    By itself Spark goes by the bytes of Parquet files, but rows that are sorted or exploded from others take many times as many
+    in the driver's memory, where a broadcast is built.
     """
     return df.hint("broadcast" if (df.count() if rows is None else rows) <= FEW else "merge")
